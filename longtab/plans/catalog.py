@@ -293,3 +293,153 @@ for _rank in ("ko", "ec", "reaction", "module", "pathway"):
         q.__name__ = f"q_collapse_{rank}"
         return q
     register(f"collapse_{_rank}", _GENE_PROFILE_SQL + f"SELECT * FROM {_rank}")(_mk(_rank))
+
+
+# --- feature tables (SET1, SET6, REL8, SRC12, SRC13, FLT11) ------------------------------------
+from ..operators import audit as AU  # noqa: E402
+from ..operators import features as FT  # noqa: E402
+from ..operators import lookup as LK  # noqa: E402
+
+_MERGED = "(SELECT sample_id, feature_id, sum(value) AS value FROM v_tables GROUP BY sample_id, feature_id HAVING sum(value) <> 0)"
+_TIPS = ("(SELECT DISTINCT replace(t, ' ', '_') AS tip FROM (SELECT unnest(regexp_extract_all(newick, "
+         "'[(,]([^(),:;]+)', 1)) AS t FROM v_tree) x WHERE t <> '')")
+
+
+def _merged(spark, sf):
+    return FT.merge_tables(V.view(spark, sf, "v_tables"))
+
+
+def _tips(spark, sf):
+    return FT.tree_tips(V.view(spark, sf, "v_tree"))
+
+
+@register("feature_merge", "SELECT * FROM " + _MERGED + " m")
+def q_feature_merge(spark, sf):
+    return _merged(spark, sf)
+
+
+@register("feature_dups", """
+WITH t AS (SELECT table_id, sample_id FROM v_tables
+           UNION ALL SELECT 'syn' AS table_id, sample_id FROM v_syndna WHERE sample_id IN ('S1', 'S2'))
+SELECT sample_id, count(DISTINCT table_id) AS n_tables FROM t GROUP BY sample_id HAVING count(DISTINCT table_id) > 1
+""")
+def q_feature_dups(spark, sf):
+    syn = (V.view(spark, sf, "v_syndna").filter(F.col("sample_id").isin("S1", "S2"))
+           .select(F.lit("syn").alias("table_id"), "sample_id"))
+    t = V.view(spark, sf, "v_tables").select("table_id", "sample_id").unionByName(syn)
+    return FT.duplicate_samples(t).select("sample_id", "n_tables")
+
+
+@register("tree_tips", "SELECT * FROM " + _TIPS + " t")
+def q_tree_tips(spark, sf):
+    return _tips(spark, sf)
+
+
+@register("tree_filter", f"SELECT m.* FROM {_MERGED} m WHERE feature_id IN (SELECT tip FROM {_TIPS} t)")
+def q_tree_filter(spark, sf):
+    return FT.tree_filter(_merged(spark, sf), _tips(spark, sf))
+
+
+@register("tree_removed", f"SELECT DISTINCT feature_id FROM {_MERGED} m WHERE feature_id NOT IN (SELECT tip FROM {_TIPS} t)")
+def q_tree_removed(spark, sf):
+    return FT.tree_removed(_merged(spark, sf), _tips(spark, sf))
+
+
+@register("feature_pivot", f"PIVOT {_MERGED} ON sample_id USING sum(value) GROUP BY feature_id")
+def q_feature_pivot(spark, sf):
+    return FT.to_wide(_merged(spark, sf))
+
+
+@register("empty_samples", """
+WITH man AS (SELECT DISTINCT sample_id FROM v_reads),
+c AS (SELECT sample_id, count(*) AS n FROM v_read_hits WHERE ref_id = 'plasmid' AND (flag & 4) = 0 GROUP BY sample_id)
+SELECT man.sample_id, cast(coalesce(c.n, 0) AS bigint) AS total,
+       CASE WHEN coalesce(c.n, 0) = 0 THEN 'empty' ELSE 'ok' END AS state
+FROM man LEFT JOIN c ON man.sample_id = c.sample_id
+""")
+def q_empty_samples(spark, sf):
+    hits = (A.flag_filter(V.view(spark, sf, "v_read_hits"), primary=False, no_supplementary=False)
+            .filter(F.col("ref_id") == "plasmid").withColumn("value", F.lit(1)))
+    return FT.sample_totals(V.view(spark, sf, "v_reads"), hits)
+
+
+# --- REL1, REL11 -------------------------------------------------------------------------------
+_LOOKUP_SQL = """
+WITH lk AS (SELECT run_prefix, max_by(sample_name, ord) AS sample_id, min(ord) AS ord FROM v_prep GROUP BY run_prefix),
+pos AS (SELECT file_no, file_name, unnest(range(1, length(file_name) + 1)) AS i FROM v_files),
+c AS (SELECT file_no, file_name, 0 AS tier, file_name AS pre, 0 AS rk FROM v_files
+      UNION ALL SELECT file_no, file_name, 1, substr(file_name, 1, i - 1), 1 - i FROM pos WHERE substr(file_name, i, 1) = '_'
+      UNION ALL SELECT file_no, file_name, 2, substr(file_name, 1, i - 1), 1 - i FROM pos WHERE substr(file_name, i, 1) = '.'
+      UNION ALL SELECT file_no, file_name, 3, substr(file_name, 1, i), 0 FROM pos),
+h AS (SELECT c.file_no, lk.sample_id, c.tier,
+             row_number() OVER (PARTITION BY c.file_no ORDER BY c.tier, CASE WHEN c.tier = 3 THEN lk.ord ELSE c.rk END) AS rn
+      FROM c JOIN lk ON c.pre = lk.run_prefix),
+m AS (SELECT f.file_no, f.file_name, h.sample_id, h.tier FROM v_files f LEFT JOIN h ON f.file_no = h.file_no AND h.rn = 1)
+"""
+
+
+def _matched(spark, sf):
+    lk = LK.build_lookup(V.view(spark, sf, "v_prep"))
+    return LK.match_files(V.view(spark, sf, "v_files"), lk)
+
+
+@register("sample_lookup", _LOOKUP_SQL + "SELECT * FROM m")
+def q_sample_lookup(spark, sf):
+    return _matched(spark, sf).select("file_no", "file_name", "sample_id", "tier")
+
+
+@register("analysis_manifest", _LOOKUP_SQL + """
+SELECT sample_id, file_name AS path, 100 + file_no % 3 AS artifact_id FROM m WHERE sample_id IS NOT NULL
+""")
+def q_analysis_manifest(spark, sf):
+    m = _matched(spark, sf).withColumn("artifact_id", 100 + F.col("file_no") % 3)
+    return LK.analysis_manifest(m)
+
+
+# --- REL10, AGG16 ------------------------------------------------------------------------------
+_STEPS_SQL = """
+WITH ex AS (SELECT DISTINCT job_id, task FROM v_status),
+pj AS (SELECT job_id, count(*) AS expected FROM ex GROUP BY job_id),
+grid AS (SELECT job_id, expected, cast(unnest(range(1, 8)) AS bigint) AS step FROM pj),
+cnt AS (SELECT job_id, cast(step AS bigint) AS step,
+               count(DISTINCT CASE WHEN state IN ('completed', 'skipped') THEN task END) AS done,
+               count(DISTINCT CASE WHEN state = 'failed' THEN task END) AS failed
+        FROM v_status GROUP BY job_id, step),
+steps AS (SELECT g.job_id, g.step, g.expected, coalesce(c.done, 0) AS done, coalesce(c.failed, 0) AS failed,
+                 g.expected - coalesce(c.done, 0) AS missing
+          FROM grid g LEFT JOIN cnt c ON g.job_id = c.job_id AND g.step = c.step)
+"""
+
+
+def _steps(spark, sf):
+    st = V.view(spark, sf, "v_status")
+    return AU.step_audit(st, st.select("job_id", "task"), 7)
+
+
+@register("audit_steps", _STEPS_SQL + "SELECT * FROM steps")
+def q_audit_steps(spark, sf):
+    return _steps(spark, sf)
+
+
+@register("audit_outputs", _STEPS_SQL + """
+SELECT job_id, cast(sum(failed) AS bigint) AS n_failed, cast(sum(missing) AS bigint) AS n_missing,
+       sum(failed) = 0 AND sum(missing) = 0 AS ok
+FROM steps GROUP BY job_id
+""")
+def q_audit_outputs(spark, sf):
+    return AU.job_verdict(_steps(spark, sf))
+
+
+@register("audit_failures", "SELECT job_id, step, task, sample_id, message FROM v_status WHERE state = 'failed'")
+def q_audit_failures(spark, sf):
+    return AU.failures(V.view(spark, sf, "v_status"))
+
+
+@register("audit_syndna", """
+WITH t AS (SELECT sample_id, sum(read_count) AS n FROM v_syndna GROUP BY sample_id)
+SELECT m.sample_id, cast(coalesce(t.n, 0) AS bigint) AS total,
+       CASE WHEN coalesce(t.n, 0) = 0 THEN 'empty' ELSE 'ok' END AS state
+FROM v_manifest m LEFT JOIN t ON m.sample_id = t.sample_id
+""")
+def q_audit_syndna(spark, sf):
+    return FT.sample_totals(V.view(spark, sf, "v_manifest"), V.view(spark, sf, "v_syndna"), "read_count")

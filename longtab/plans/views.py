@@ -245,6 +245,22 @@ SELECT genome_id AS user_genome, 'd__Archaea;p__' || sample_id AS classification
 FROM (SELECT DISTINCT genome_id, sample_id FROM {v_contigs}) g WHERE sample_id = 'src0'
 """
 
+# A Newick tree over the even parts, grouped by size into labelled subtrees; tips of parts
+# ending in 2 carry a space (written as an underscore in feature ids).
+VIEWS["v_tree"] = """
+SELECT '(' || string_agg(sub, ',') || ')root;' AS newick FROM (
+  SELECT '(' || string_agg(tip, ',') || ')n' || cast(p_size AS string) || ':0.5' AS sub FROM (
+    SELECT p_size, CASE WHEN p_partkey % 10 = 2 THEN 'p ' ELSE 'p' END || cast(p_partkey AS string)
+                   || ':0.' || cast(p_size AS string) AS tip
+    FROM {part} WHERE p_partkey % 2 = 0) t
+  GROUP BY p_size) s
+"""
+
+# Expected samples of a spike-in run: one more sample than the counts cover.
+VIEWS["v_manifest"] = """
+SELECT DISTINCT 'S' || cast(o_orderkey % 9 AS string) AS sample_id FROM {orders}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
