@@ -443,3 +443,260 @@ FROM v_manifest m LEFT JOIN t ON m.sample_id = t.sample_id
 """)
 def q_audit_syndna(spark, sf):
     return FT.sample_totals(V.view(spark, sf, "v_manifest"), V.view(spark, sf, "v_syndna"), "read_count")
+
+
+# --- assembly post-processing (PIPE4) ----------------------------------------------------------
+from ..functions import names as NM  # noqa: E402
+from ..operators import contigs as CT  # noqa: E402
+from ..operators import quality as QL  # noqa: E402
+
+SMALL_KIB = 8             # size split threshold used on the document-sized contigs
+GATE_BYTES = 150000       # binning gate used on the document-sized samples
+
+_SEG = "(SELECT sample_id, contig_id, seq FROM v_gfa WHERE rec_type = 'S')"
+_FB = "(strlen(contig_id) + 2 + length(seq) + ceil(length(seq) / 60))"
+_LCG = f"(SELECT sample_id, contig_id, seq, CASE WHEN ceil({_FB} / 1024) < {SMALL_KIB} THEN 'small_LCG' ELSE 'LCG' END AS kind FROM {_SEG} s WHERE regexp_matches(contig_id, '.c$'))"
+_NOLCG = f"(SELECT s.sample_id, s.contig_id, s.seq, 'noLCG' AS kind FROM {_SEG} s WHERE NOT EXISTS (SELECT 1 FROM {_LCG} l WHERE l.kind = 'LCG' AND l.sample_id = s.sample_id AND l.contig_id = s.contig_id))"
+_C2B = f"""(SELECT b.* FROM v_bins b WHERE NOT ((binner = 'MetaBAT' AND bin_id IN ('bin.unbinned', 'bin.lowDepth', 'bin.tooShort', 'bin.BinInfo'))
+                                        OR (binner = 'CONCOCT' AND bin_id IN ('unbinned')))
+            AND EXISTS (SELECT 1 FROM {_NOLCG} n WHERE n.sample_id = b.sample_id AND n.contig_id = b.contig_id))"""
+_BEST = f"""(SELECT sample_id, contig_id, binner, bin_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY sample_id, contig_id ORDER BY score DESC, binner, bin_id) AS rn
+  FROM {_C2B} c WHERE score > 0.5) r WHERE rn = 1)"""
+
+
+def _segments(spark, sf):
+    return CT.segments(V.view(spark, sf, "v_gfa"))
+
+
+def _lcg(spark, sf):
+    return CT.split_circular(_segments(spark, sf), SMALL_KIB)
+
+
+def _nolcg(spark, sf):
+    return CT.non_circular(_segments(spark, sf), _lcg(spark, sf))
+
+
+def _best(spark, sf):
+    return CT.best_bin(CT.contig_bins(V.view(spark, sf, "v_bins"), _nolcg(spark, sf)))
+
+
+@register("circular_contigs", f"SELECT sample_id, contig_id, length(seq) AS length FROM {_SEG} s WHERE regexp_matches(contig_id, '.c$')")
+def q_circular_contigs(spark, sf):
+    s = _segments(spark, sf)
+    return s.filter(CT.is_circular("contig_id")).select("sample_id", "contig_id", F.length("seq").alias("length"))
+
+
+@register("lcg_size_split", f"SELECT sample_id, contig_id, kind FROM {_LCG} l")
+def q_lcg_size_split(spark, sf):
+    return _lcg(spark, sf).select("sample_id", "contig_id", "kind")
+
+
+@register("nolcg_contigs", f"SELECT sample_id, contig_id, kind FROM {_NOLCG} n")
+def q_nolcg_contigs(spark, sf):
+    return _nolcg(spark, sf).select("sample_id", "contig_id", "kind")
+
+
+@register("binning_gate", f"""
+WITH haslcg AS (SELECT DISTINCT sample_id FROM {_LCG} l WHERE kind = 'LCG'),
+per AS (SELECT n.sample_id, count(*) AS n_contigs,
+               sum(CASE WHEN h.sample_id IS NULL THEN strlen(n.contig_id) + 2 + length(n.seq) + 1
+                        ELSE strlen(n.contig_id) + 2 + length(n.seq) + ceil(length(n.seq) / 60) END) AS b
+        FROM {_NOLCG} n LEFT JOIN haslcg h ON n.sample_id = h.sample_id GROUP BY n.sample_id)
+SELECT sample_id, n_contigs, cast(b AS bigint) AS nolcg_bytes, b > {GATE_BYTES} AS passed FROM per
+""")
+def q_binning_gate(spark, sf):
+    return CT.binning_gate(_nolcg(spark, sf), _lcg(spark, sf), GATE_BYTES)
+
+
+@register("contig_min_len", f"SELECT sample_id, contig_id, length(seq) AS length FROM {_SEG} s WHERE length(seq) >= 16000")
+def q_contig_min_len(spark, sf):
+    return CT.min_length(_segments(spark, sf)).select("sample_id", "contig_id", F.length("seq").alias("length"))
+
+
+@register("bin_exclude", """
+SELECT * FROM v_bins WHERE NOT ((binner = 'MetaBAT' AND bin_id IN ('bin.unbinned', 'bin.lowDepth', 'bin.tooShort', 'bin.BinInfo'))
+                               OR (binner = 'CONCOCT' AND bin_id IN ('unbinned')))
+""")
+def q_bin_exclude(spark, sf):
+    return CT.drop_pseudo_bins(V.view(spark, sf, "v_bins"))
+
+
+@register("contig2bin", f"SELECT sample_id, binner, contig_id, bin_id FROM {_C2B} c")
+def q_contig2bin(spark, sf):
+    return CT.contig_bins(V.view(spark, sf, "v_bins"), _nolcg(spark, sf)).select(
+        "sample_id", "binner", "contig_id", "bin_id")
+
+
+@register("best_bin", f"SELECT * FROM {_BEST} b")
+def q_best_bin(spark, sf):
+    return _best(spark, sf)
+
+
+@register("genome_names", f"""
+SELECT sample_id, sample_id || '_' || binner || '_' || bin_id AS genome_id, contig_id, 'MAG' AS kind FROM {_BEST} b
+UNION ALL
+SELECT sample_id, sample_id || '.' || contig_id AS genome_id, contig_id, kind FROM {_LCG} l
+""")
+def q_genome_names(spark, sf):
+    return CT.mag_names(_best(spark, sf)).unionByName(CT.lcg_names(_lcg(spark, sf)))
+
+
+@register("genome_pool", f"""
+SELECT DISTINCT sample_id, genome_id, kind FROM (
+  SELECT sample_id, sample_id || '_' || binner || '_' || bin_id AS genome_id, 'MAG' AS kind FROM {_BEST} b
+  UNION ALL SELECT sample_id, sample_id || '.' || contig_id, kind FROM {_LCG} l WHERE kind = 'LCG') p
+""")
+def q_genome_pool(spark, sf):
+    mags = CT.mag_names(_best(spark, sf)).select("sample_id", "genome_id", "kind")
+    lcgs = CT.lcg_names(_lcg(spark, sf)).filter(F.col("kind") == "LCG").select("sample_id", "genome_id", "kind")
+    return QL.pool_genomes(mags, lcgs).distinct()
+
+
+# --- quality, N50, score (SET2, FLT10, WIN4, AGG9, AGG14) --------------------------------------
+_N50 = """(SELECT genome_id, max(len) AS n50 FROM (
+  SELECT genome_id, len, sum(len) OVER (PARTITION BY genome_id ORDER BY len DESC, contig_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+         sum(len) OVER (PARTITION BY genome_id) AS tot
+  FROM (SELECT genome_id, contig_id, cast(length(seq) AS bigint) AS len FROM v_contigs) c) w
+WHERE 2 * cum >= tot GROUP BY genome_id)"""
+
+
+@register("quality_merge", """
+SELECT cast(artifact_id AS varchar) || '_' || bin_id AS genome_id, completeness, contamination, strain_heterogeneity FROM v_quality
+""")
+def q_quality_merge(spark, sf):
+    return QL.merge_quality(V.view(spark, sf, "v_quality")).select(
+        "genome_id", "completeness", "contamination", "strain_heterogeneity")
+
+
+@register("genome_quality_gate", """
+SELECT cast(artifact_id AS varchar) || '_' || bin_id AS genome_id, completeness, contamination FROM v_quality
+WHERE completeness >= 50 AND contamination <= 10
+""")
+def q_genome_quality_gate(spark, sf):
+    return QL.quality_gate(QL.merge_quality(V.view(spark, sf, "v_quality"))).select(
+        "genome_id", "completeness", "contamination")
+
+
+@register("n50", "SELECT * FROM " + _N50 + " n")
+def q_n50(spark, sf):
+    return QL.n50(V.view(spark, sf, "v_contigs"))
+
+
+@register("genome_lengths", "SELECT genome_id, cast(sum(length(seq)) AS bigint) AS length FROM v_contigs GROUP BY genome_id")
+def q_genome_lengths(spark, sf):
+    return QL.genome_lengths(V.view(spark, sf, "v_contigs"))
+
+
+@register("genome_score", f"""
+SELECT q.bin_id AS genome_id, n.n50,
+       round(CASE WHEN n.n50 > 0 THEN q.completeness - 5.0 * q.contamination + 1.0 * q.contamination * q.strain_heterogeneity / 100.0
+                                      + 0.5 * log10(n.n50) END, 6) AS score
+FROM v_quality q JOIN {_N50} n ON q.bin_id = n.genome_id
+""")
+def q_genome_score(spark, sf):
+    q = V.view(spark, sf, "v_quality").withColumnRenamed("bin_id", "genome_id")
+    s = QL.genome_score(q, QL.n50(V.view(spark, sf, "v_contigs")))
+    return s.select("genome_id", "n50", r6("score").alias("score"))
+
+
+# --- genome concatenation (PIPE6: REL9, FLT12, AGG11, AGG12) -----------------------------------
+@register("genome_id_map", """
+SELECT f.file_name, split_part(trim(f.file_name), '.fna', 1) AS file_stem, m.genome_id
+FROM v_genome_files f LEFT JOIN v_genome_meta m ON split_part(trim(f.file_name), '.fna', 1) = m.file_stem
+WHERE f.file_no % 5 = 2
+""")
+def q_genome_id_map(spark, sf):
+    files = V.view(spark, sf, "v_genome_files").filter(F.col("file_no") % 5 == 2)
+    return QL.map_genome_ids(files, V.view(spark, sf, "v_genome_meta")).select("file_name", "file_stem", "genome_id")
+
+
+@register("genome_id_dups", """
+SELECT m.genome_id, count(*) AS n_files
+FROM v_genome_files f JOIN v_genome_meta m ON split_part(trim(f.file_name), '.fna', 1) = m.file_stem
+WHERE f.file_no % 5 = 2 GROUP BY m.genome_id HAVING count(*) > 1
+""")
+def q_genome_id_dups(spark, sf):
+    files = V.view(spark, sf, "v_genome_files").filter(F.col("file_no") % 5 == 2)
+    return QL.duplicate_genomes(QL.map_genome_ids(files, V.view(spark, sf, "v_genome_meta")))
+
+
+@register("title_filter", "SELECT rec_no, title FROM v_titles WHERE NOT regexp_matches(title, '[^a-zA-Z0-9](ring|bolt)[^a-zA-Z0-9]')")
+def q_title_filter(spark, sf):
+    return QL.title_filter(V.view(spark, sf, "v_titles"), "ring,bolt")
+
+
+@register("genome_concat", """
+SELECT genome_id, string_agg(seq, repeat('N', 20) ORDER BY ord) AS seq FROM v_contigs WHERE length(seq) > 0 GROUP BY genome_id
+""")
+def q_genome_concat(spark, sf):
+    return QL.concat_genomes(V.view(spark, sf, "v_contigs"))
+
+
+@register("genome_concat_stats", """
+SELECT count(DISTINCT genome_id) AS genomes, count(*) AS sequences, cast(sum(length(seq)) AS bigint) AS characters
+FROM v_contigs WHERE length(seq) > 0
+""")
+def q_genome_concat_stats(spark, sf):
+    return QL.concat_stats(V.view(spark, sf, "v_contigs"))
+
+
+# --- scalar functions (FN4-FN11) ---------------------------------------------------------------
+@register("fn_names", """
+SELECT file_no, 'runs/x/' || file_name AS path, file_name AS basename, split_part(file_name, '_', 1) AS aid,
+       CASE WHEN ends_with(file_name, '.gz') THEN substr(file_name, 1, length(file_name) - 3) ELSE file_name END AS no_gz,
+       regexp_replace(file_name, '_', '.') AS first_us_to_dot
+FROM v_files
+""")
+def q_fn_names(spark, sf):
+    f = V.view(spark, sf, "v_files").withColumn("path", F.concat(F.lit("runs/x/"), "file_name"))
+    return f.select("file_no", "path", NM.basename("path").alias("basename"),
+                    NM.before_first("file_name", "_").alias("aid"),
+                    NM.strip_suffix("file_name", ".gz").alias("no_gz"),
+                    NM.replace_first("file_name", "_", ".").alias("first_us_to_dot"))
+
+
+@register("fn_fraction", "SELECT event_id, value, CASE WHEN value >= 1 THEN value / 100 ELSE value END AS fraction FROM events")
+def q_fn_fraction(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    return e.select("event_id", "value", A.fraction_col("value").alias("fraction"))
+
+
+@register("fn_sig6", "SELECT l_orderkey, l_linenumber, cast(printf('%.6g', l_extendedprice / 7.0) AS double) AS v FROM lineitem")
+def q_fn_sig6(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li.select("l_orderkey", "l_linenumber", NM.sig6(F.col("l_extendedprice") / 7.0).alias("v"))
+
+
+@register("fn_gap", """
+SELECT spec_no, spec, CASE WHEN regexp_matches(spec, '^(.*)\\*([0-9]+)$')
+                           THEN repeat(regexp_extract(spec, '^(.*)\\*([0-9]+)$', 1), cast(regexp_extract(spec, '^(.*)\\*([0-9]+)$', 2) AS integer))
+                           ELSE spec END AS gap
+FROM v_gap_specs
+""")
+def q_fn_gap(spark, sf):
+    g = V.view(spark, sf, "v_gap_specs")
+    return g.select("spec_no", "spec", NM.expand_gap("spec").alias("gap"))
+
+
+_EXT1 = "regexp_extract(file_name, '^(.*[^.].*)(\\.[^.]*)$', 2)"
+_ROOT1 = f"substr(file_name, 1, length(file_name) - length({_EXT1}))"
+_EXT2 = f"regexp_extract({_ROOT1}, '^(.*[^.].*)(\\.[^.]*)$', 2)"
+_STEM = f"(CASE WHEN length({_EXT1}) > 1 AND {_EXT1} IN ('.gz', '.bz2', '.xz', '.lz') THEN substr({_ROOT1}, 1, length({_ROOT1}) - length({_EXT2})) ELSE {_ROOT1} END)"
+
+
+@register("fn_ncbi", f"""
+SELECT file_no, file_name, stem,
+       CASE WHEN regexp_matches(stem, '^GC[FA]_([0-9]{{9}})\\.[0-9]+_.*$') THEN 'G' || regexp_extract(stem, '^GC[FA]_([0-9]{{9}})\\.[0-9]+_.*$', 1)
+            ELSE stem END AS genome_id
+FROM (SELECT file_no, file_name, {_STEM} AS stem FROM v_genome_files) s
+""")
+def q_fn_ncbi(spark, sf):
+    f = V.view(spark, sf, "v_genome_files").withColumn("stem", NM.genome_stem("file_name"))
+    return f.select("file_no", "file_name", "stem", NM.ncbi_id("stem").alias("genome_id"))
+
+
+@register("fn_revcomp", "SELECT read_id, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM v_reads")
+def q_fn_revcomp(spark, sf):
+    return V.view(spark, sf, "v_reads").select("read_id", NM.revcomp("seq").alias("rc"))

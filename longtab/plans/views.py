@@ -261,6 +261,38 @@ VIEWS["v_manifest"] = """
 SELECT DISTINCT 'S' || cast(o_orderkey % 9 AS string) AS sample_id FROM {orders}
 """
 
+# Sequence titles for the keyword filter.
+VIEWS["v_titles"] = """
+SELECT p_partkey AS rec_no, '>ctg' || cast(p_partkey AS string) || ' ' || p_name || ' len=' || cast(p_size AS string) AS title
+FROM {part}
+"""
+
+# Genome file names (NCBI-style, compressed, plain) and a metadata map for some of them.
+VIEWS["v_genome_files"] = """
+SELECT p_partkey AS file_no,
+       CASE WHEN p_partkey % 5 = 0 THEN 'GCF_' || lpad(cast(p_partkey AS string), 9, '0') || '.1_ASM'
+                                        || cast(p_size AS string) || 'v1_genomic.fna.gz'
+            WHEN p_partkey % 5 = 1 THEN 'GCA_' || lpad(cast(p_partkey AS string), 9, '0') || '.2_x.fna.bz2'
+            WHEN p_partkey % 5 = 2 THEN replace(p_name, ' ', '_') || '_' || cast(p_partkey AS string) || '.fna'
+            WHEN p_partkey % 5 = 3 THEN 'g' || cast(p_partkey AS string) || '.fa.xz'
+            ELSE 'GCF_' || cast(p_partkey AS string) || '.1_short.fna' END AS file_name
+FROM {part}
+"""
+VIEWS["v_genome_meta"] = """
+SELECT replace(p_name, ' ', '_') || '_' || cast(p_partkey AS string) AS file_stem,
+       'GEN' || cast(p_partkey % 300 AS string) AS genome_id
+FROM {part} WHERE p_partkey % 5 = 2 AND p_partkey % 4 <> 0
+"""
+
+# Gap specifications for genome concatenation.
+VIEWS["v_gap_specs"] = """
+SELECT p_partkey AS spec_no,
+       CASE WHEN p_partkey % 3 = 0 THEN 'N*' || cast(p_size AS string)
+            WHEN p_partkey % 3 = 1 THEN p_brand || '*' || cast(p_size % 4 AS string)
+            ELSE p_type || '*x' END AS spec
+FROM {part}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
