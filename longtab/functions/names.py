@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Compression extensions stripped before the real extension.
 COMPRESSION_EXTS = (".gz", ".bz2", ".xz", ".lz")
@@ -75,7 +76,7 @@ def sig6(x) -> Column:
     return _sig6_udf(_c(x).cast("double"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _sig6_udf(v: pd.Series) -> pd.Series:
     return v.map(lambda a: float("%.6g" % a) if a == a else a)
 
