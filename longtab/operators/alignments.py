@@ -25,7 +25,8 @@ FLAG_SUPPLEMENTARY = 0x800
 def fraction(x: float) -> float:
     """Thresholds arrive as fractions (0.95) or percents (95, 99.9): values >= 1 are percents."""
     x = float(x)
-    return x / 100.0 if x >= 1.0 else x
+    # rounded so that 99.9 gives exactly 0.999 (99.9 / 100 is 0.9990000000000001)
+    return round(x / 100.0, 12) if x >= 1.0 else x
 
 
 def fraction_col(c) -> Column:

@@ -700,3 +700,202 @@ def q_fn_ncbi(spark, sf):
 @register("fn_revcomp", "SELECT read_id, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc FROM v_reads")
 def q_fn_revcomp(spark, sf):
     return V.view(spark, sf, "v_reads").select("read_id", NM.revcomp("seq").alias("rc"))
+
+
+# --- reads: spike-in / host removal, duplicates, adapters, k-mer screen (PIPE2, PIPE3) -------
+from ..operators import reads as RD  # noqa: E402
+from ..operators import spikein as SP  # noqa: E402
+
+ADAPTER_SPEC = "africa.fasta,america.fasta, ,asia.fasta,europe.fasta,middle east.fasta,ACGTTGCAAC"
+ADAPTER_PRESET = "SYMMETRIC"
+KMER_K = 21
+KMER_MIN_SHARE = 0.1
+
+
+@register("reads_anti_hits", """
+SELECT r.sample_id, r.read_id FROM v_reads r
+WHERE NOT EXISTS (SELECT 1 FROM v_read_hits h WHERE h.ref_id = 'plasmid' AND (h.flag & 4) = 0
+                  AND h.sample_id = r.sample_id AND h.read_id = r.read_id)
+""")
+def q_reads_anti_hits(spark, sf):
+    hits = V.view(spark, sf, "v_read_hits").filter(F.col("ref_id") == "plasmid")
+    return RD.reads_without_hits(V.view(spark, sf, "v_reads"), hits).select("sample_id", "read_id")
+
+
+@register("reads_anti_host", f"""
+WITH r1 AS (SELECT r.sample_id, r.read_id FROM v_reads r
+            WHERE NOT EXISTS (SELECT 1 FROM v_read_hits h WHERE h.ref_id = 'plasmid' AND (h.flag & 4) = 0
+                              AND h.sample_id = r.sample_id AND h.read_id = r.read_id)),
+host AS (SELECT sample_id, read_id FROM v_read_hits
+         WHERE ref_id = 'host' AND (flag & 2052) = 0 AND {_ID} >= 0.999 AND {_QC} >= 0.95)
+SELECT r1.sample_id, r1.read_id FROM r1
+WHERE NOT EXISTS (SELECT 1 FROM host h WHERE h.sample_id = r1.sample_id AND h.read_id = r1.read_id)
+""")
+def q_reads_anti_host(spark, sf):
+    hits = V.view(spark, sf, "v_read_hits")
+    r1 = RD.reads_without_hits(V.view(spark, sf, "v_reads"), hits.filter(F.col("ref_id") == "plasmid"))
+    return RD.reads_without_host(r1, hits.filter(F.col("ref_id") == "host")).select("sample_id", "read_id")
+
+
+@register("read_dedup", """
+WITH r AS (SELECT sample_id, read_id,
+                  md5(least(seq, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')))) AS k,
+                  CASE WHEN length(qual) > 0 THEN
+                       cast(list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) AS bigint) / length(qual)
+                       ELSE 0.0 END AS mq
+           FROM v_reads),
+b AS (SELECT *, row_number() OVER (PARTITION BY sample_id, k ORDER BY mq DESC, read_id) AS rn,
+             count(*) OVER (PARTITION BY sample_id, k) AS dup_count FROM r)
+SELECT sample_id, read_id, mq AS mean_quality, dup_count FROM b WHERE rn = 1
+""")
+def q_read_dedup(spark, sf):
+    return RD.dedup_reads(V.view(spark, sf, "v_reads")).select("sample_id", "read_id", "mean_quality", "dup_count")
+
+
+_ADAPTERS_SQL = f"""
+WITH items AS (SELECT cast(g.i AS integer) AS item_no, trim(string_split('{ADAPTER_SPEC}', ',')[g.i]) AS item
+               FROM (SELECT unnest(range(1, len(string_split('{ADAPTER_SPEC}', ',')) + 1)) AS i) g),
+adapters AS (SELECT i.item_no, f.adapter_id, f.seq FROM items i JOIN v_adapter_files f ON i.item = f.file_name
+             UNION ALL
+             SELECT item_no, 'adapter_' || item || '_' || cast(item_no AS varchar) AS adapter_id, upper(item) AS seq
+             FROM items WHERE item <> '' AND item NOT IN (SELECT file_name FROM v_adapter_files)),
+ad AS (SELECT adapter_id AS id, '+' AS orient, seq AS a, length(seq) AS n FROM adapters
+       UNION ALL SELECT adapter_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')), length(seq) FROM adapters),
+h5 AS (SELECT r.sample_id, r.read_id, ad.id, ad.orient, ad.n, instr(substr(r.seq, 1, ad.n + 60), ad.a) - 1 AS off
+       FROM v_lima_reads r, ad WHERE instr(substr(r.seq, 1, ad.n + 60), ad.a) > 0),
+h3 AS (SELECT r.sample_id, r.read_id, ad.id, ad.orient, ad.n, instr(substr(reverse(r.seq), 1, ad.n + 60), reverse(ad.a)) - 1 AS off
+       FROM v_lima_reads r, ad WHERE instr(substr(reverse(r.seq), 1, ad.n + 60), reverse(ad.a)) > 0),
+b5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, read_id ORDER BY off, id, orient) AS rn FROM h5) x WHERE rn = 1),
+b3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, read_id ORDER BY off, id, orient) AS rn FROM h3) x WHERE rn = 1),
+t AS (SELECT r.sample_id, r.read_id, r.seq, r.qual, b5.id AS adapter5, b3.id AS adapter3,
+             b5.off + b5.n AS s0, length(r.seq) - b3.off - b3.n AS s1,
+             b5.id IS NOT NULL AND b3.id IS NOT NULL AND b5.id = b3.id AS fits
+      FROM v_lima_reads r LEFT JOIN b5 ON r.sample_id = b5.sample_id AND r.read_id = b5.read_id
+                          LEFT JOIN b3 ON r.sample_id = b3.sample_id AND r.read_id = b3.read_id),
+trimmed AS (SELECT sample_id, read_id, adapter5, adapter3,
+                   CASE WHEN fits AND s1 > s0 THEN 'trimmed' ELSE 'none' END AS outcome,
+                   CASE WHEN fits AND s1 > s0 THEN substr(seq, s0 + 1, s1 - s0) END AS seq
+            FROM t)
+"""
+
+
+def _adapters(spark, sf):
+    return RD.adapter_set(ADAPTER_SPEC, V.view(spark, sf, "v_adapter_files"))
+
+
+def _trimmed(spark, sf, mismatches=0):
+    return RD.trim_adapters(V.view(spark, sf, "v_lima_reads"), _adapters(spark, sf), ADAPTER_PRESET,
+                            mismatches=mismatches)
+
+
+@register("adapter_set", _ADAPTERS_SQL + "SELECT item_no, adapter_id, seq FROM adapters")
+def q_adapter_set(spark, sf):
+    return _adapters(spark, sf)
+
+
+@register("adapter_trim", _ADAPTERS_SQL + "SELECT * FROM trimmed")
+def q_adapter_trim(spark, sf):
+    return _trimmed(spark, sf).select("sample_id", "read_id", "adapter5", "adapter3", "outcome", "seq")
+
+
+@register("adapter_trim_mismatch")
+def q_adapter_trim_mismatch(spark, sf):
+    """Hamming search with 2 mismatches (checked against a brute-force loop in the tests)."""
+    return _trimmed(spark, sf, mismatches=2).select("sample_id", "read_id", "adapter5", "adapter3", "outcome", "seq")
+
+
+@register("adapter_peek", _ADAPTERS_SQL + """,
+seen AS (SELECT sample_id, read_id, id AS adapter_id FROM b5 UNION SELECT sample_id, read_id, id FROM b3),
+tot AS (SELECT sample_id, count(*) AS n FROM v_lima_reads GROUP BY sample_id),
+c AS (SELECT sample_id, adapter_id, count(DISTINCT read_id) AS n_reads FROM seen GROUP BY sample_id, adapter_id)
+SELECT c.sample_id, c.adapter_id, c.n_reads, c.n_reads / tot.n AS share
+FROM c JOIN tot ON c.sample_id = tot.sample_id WHERE c.n_reads / tot.n >= 0.01
+""")
+def q_adapter_peek(spark, sf):
+    return RD.peek_adapters(V.view(spark, sf, "v_lima_reads"), _adapters(spark, sf), mismatches=0)
+
+
+@register("audit_adapter", _ADAPTERS_SQL + """
+SELECT sample_id, cast(sum(CASE WHEN outcome = 'trimmed' THEN 1 ELSE 0 END) AS bigint) AS n_trimmed, count(*) AS n_reads,
+       CASE WHEN sum(CASE WHEN outcome = 'trimmed' THEN 1 ELSE 0 END) > 0 THEN 'trimmed' ELSE 'unchanged' END AS outcome
+FROM trimmed GROUP BY sample_id
+""")
+def q_audit_adapter(spark, sf):
+    return RD.sample_outcome(_trimmed(spark, sf))
+
+
+@register("kmer_screen", f"""
+WITH rk AS (SELECT sample_id, read_id, substr(seq, i + 1, {KMER_K}) AS kmer
+            FROM (SELECT sample_id, read_id, seq, unnest(range(0, length(seq) - {KMER_K} + 1)) AS i FROM v_reads WHERE length(seq) >= {KMER_K}) x),
+ref AS (SELECT DISTINCT substr(seq, i + 1, {KMER_K}) AS kmer
+        FROM (SELECT seq, unnest(range(0, length(seq) - {KMER_K} + 1)) AS i FROM v_bench_ref WHERE length(seq) >= {KMER_K}) y),
+sh AS (SELECT sample_id, read_id, count(*) AS n_shared FROM rk WHERE kmer IN (SELECT kmer FROM ref) GROUP BY sample_id, read_id),
+tot AS (SELECT sample_id, read_id, cast(greatest(length(seq) - {KMER_K} + 1, 0) AS bigint) AS n_kmers FROM v_reads)
+SELECT tot.sample_id, tot.read_id, tot.n_kmers, coalesce(sh.n_shared, 0) AS n_shared,
+       tot.n_kmers > 0 AND coalesce(sh.n_shared, 0) >= {KMER_MIN_SHARE} * tot.n_kmers AS screened
+FROM tot LEFT JOIN sh ON tot.sample_id = sh.sample_id AND tot.read_id = sh.read_id
+""")
+def q_kmer_screen(spark, sf):
+    return RD.kmer_screen(V.view(spark, sf, "v_reads"), V.view(spark, sf, "v_bench_ref"), KMER_K, KMER_MIN_SHARE)
+
+
+# --- spike-in fit (AGG10) ----------------------------------------------------------------------
+@register("syndna_fit", """
+WITH t AS (SELECT sample_id, sum(read_count) AS total FROM v_syndna GROUP BY sample_id),
+c AS (SELECT s.sample_id, log10(s.read_count / t.total * 1e6) AS x, log10(s.mass_ng) AS y
+      FROM v_syndna s JOIN t ON s.sample_id = t.sample_id WHERE t.total >= 1 AND s.read_count > 0 AND s.mass_ng > 0),
+g AS (SELECT sample_id, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2,
+             regr_count(y, x) AS n, var_pop(x) AS vx, var_pop(y) AS vy, avg(x) AS mx FROM c GROUP BY sample_id),
+h AS (SELECT *, sign(slope) * sqrt(r2) AS rvalue FROM g),
+k AS (SELECT *, CASE WHEN n - 2 > 0 AND vx > 0 THEN sqrt((1 - rvalue * rvalue) * vy / vx / (n - 2)) END AS se FROM h)
+SELECT sample_id, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(rvalue, 6) AS rvalue,
+       round(se, 6) AS stderr, round(se * sqrt(vx + mx * mx), 6) AS intercept_stderr, n
+FROM k
+""")
+def q_syndna_fit(spark, sf):
+    fits, _ = SP.calibrate(V.view(spark, sf, "v_syndna"))
+    return fits.select("sample_id", r6("slope").alias("slope"), r6("intercept").alias("intercept"),
+                       r6("rvalue").alias("rvalue"), r6("stderr").alias("stderr"),
+                       r6("intercept_stderr").alias("intercept_stderr"), "n")
+
+
+@register("syndna_pvalue")
+def q_syndna_pvalue(spark, sf):
+    """Full fit rows including the two-sided p-value (no t distribution in the oracle)."""
+    fits, _ = SP.calibrate(V.view(spark, sf, "v_syndna"))
+    return fits
+
+
+# --- small sources over derived tables (SRC14, SRC17, FLT13) -----------------------------------
+@register("counts_last", """
+SELECT sample_id, max(Counts) AS counts FROM v_lima_counts v
+WHERE row_no = (SELECT max(row_no) FROM v_lima_counts w WHERE w.sample_id = v.sample_id) GROUP BY sample_id
+""")
+def q_counts_last(spark, sf):
+    """SRC17: the Counts column of the last row (ties on the row number go to the larger count)."""
+    c = V.view(spark, sf, "v_lima_counts")
+    return c.groupBy("sample_id").agg(F.max_by("Counts", F.struct("row_no", "Counts")).alias("counts"))
+
+
+@register("count_project", f"""
+SELECT sample_id, regexp_replace(ref_id, '^All_synDNA_inserts\\.fasta/', '') AS feature_id, cast(count(*) AS double) AS value
+FROM v_align WHERE ref_id <> '*' AND {_ID} >= 0.95 GROUP BY sample_id, ref_id
+""")
+def q_count_project(spark, sf):
+    d = COV.contig_depth(A.min_filter(_aln(spark, sf), 0.95, 0.0), V.view(spark, sf, "v_lengths"))
+    return FT_count_table(d)
+
+
+def FT_count_table(depth):
+    """FLT13: contig-depth rows -> COO counts: contig id without the reference-file prefix,
+    the read count as the value, the sample id as the column."""
+    return depth.select("sample_id",
+                        F.regexp_replace("contig_id", r"^All_synDNA_inserts\.fasta/", "").alias("feature_id"),
+                        F.col("read_count").cast("double").alias("value"))
+
+
+@register("src_taxonomy", "SELECT * FROM v_tax_bac UNION ALL BY NAME SELECT * FROM v_tax_ar")
+def q_src_taxonomy(spark, sf):
+    bac = V.view(spark, sf, "v_tax_bac")
+    ar = V.view(spark, sf, "v_tax_ar")
+    return bac.unionByName(ar, allowMissingColumns=True)

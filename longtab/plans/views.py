@@ -293,6 +293,33 @@ SELECT p_partkey AS spec_no,
 FROM {part}
 """
 
+# Reads carrying adapters: same adapter at both ends (every 4th read, after a few junk
+# bases), two different adapters, one adapter only, or none.
+VIEWS["v_lima_reads"] = """
+SELECT sample_id, read_id, seq, translate(seq, 'ACGT', 'I?5+') AS qual FROM (
+  SELECT d.source AS sample_id, 'q' || cast(d.doc_id AS string) AS read_id,
+         CASE WHEN d.doc_id % 4 = 0 THEN repeat('A', cast(d.doc_id % 5 AS integer)) || a5.seq || d.dna
+                                         || reverse(translate(a5.seq, 'ACGT', 'TGCA'))
+              WHEN d.doc_id % 4 = 1 THEN a5.seq || d.dna || reverse(translate(a3.seq, 'ACGT', 'TGCA')) || 'CC'
+              WHEN d.doc_id % 4 = 2 THEN d.dna || reverse(translate(a3.seq, 'ACGT', 'TGCA'))
+              ELSE d.dna END AS seq
+  FROM (SELECT doc_id, source, """ + dna("text") + """ AS dna FROM {documents}) d
+  JOIN {v_adapter_files} a5 ON a5.rec_no = d.doc_id % 5
+  JOIN {v_adapter_files} a3 ON a3.rec_no = (d.doc_id + 2) % 5) r
+"""
+
+# Per-sample counts tables of the adapter tool, rows in file order.
+VIEWS["v_lima_counts"] = """
+SELECT 'S' || cast(l_orderkey % 8 AS string) AS sample_id, l_orderkey * 10 + l_linenumber AS row_no,
+       cast(l_quantity AS bigint) AS Counts
+FROM {lineitem}
+"""
+
+# Host reference for the k-mer screen: the benchmark passages (some are inside documents).
+VIEWS["v_bench_ref"] = """
+SELECT item_id, """ + dna("text") + """ AS seq FROM {benchmark}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
