@@ -34,24 +34,21 @@ def contig_depth(aln: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def genome_depth(aln: DataFrame, lengths: DataFrame, lo: float = 0.05, hi: float = 0.95,
                  chunk: int = IV.DEFAULT_CHUNK) -> DataFrame:
-    """AGG5: per (sample, genome): covered_bases, trimmed_mean, mean, length, read_count."""
+    """AGG5: per (sample, genome): covered_bases, trimmed_mean, mean, length, read_count.
+
+    One depth-run pipeline feeds one histogram pass (``intervals.depth_stats``); the read count
+    is a separate partial aggregate over the same alignments."""
     keys = ["sample_id", "ref_id"]
     a = C.with_alignment_coords(aln.filter(F.col("ref_id") != "*"))
     runs = IV.depth_runs(a, keys, chunk=chunk)
-    width = F.col("stop") - F.col("start")
-    stats = runs.groupBy(*keys).agg(
-        F.sum(F.when(F.col("depth") > 0, width).otherwise(0)).alias("covered_bases"),
-        F.sum(width * F.col("depth")).alias("_depth_sum"))
-    counts = a.groupBy(*keys).agg(F.countDistinct("read_id").alias("read_count"))
     L = broadcast_if_small(lengths.select("ref_id", "length"))
-    sl = stats.join(L, "ref_id")
-    tm = IV.trimmed_mean(runs, sl.select(*keys, "length"), keys, lo, hi)
-    return (sl.join(tm, keys).join(counts, keys)
-              .select("sample_id", F.col("ref_id").alias("genome_id"), "covered_bases",
-                      "trimmed_mean",
-                      F.when(F.col("length") > 0, F.col("_depth_sum") / F.col("length"))
-                       .otherwise(F.lit(0.0)).alias("mean"),
-                      "length", "read_count"))
+    stats = IV.depth_stats(runs, L, keys, lo, hi)
+    counts = a.groupBy(*keys).agg(F.countDistinct("read_id").alias("read_count"))
+    return (stats.join(counts, keys)
+                 .select("sample_id", F.col("ref_id").alias("genome_id"), "covered_bases", "trimmed_mean",
+                         F.when(F.col("length") > 0, F.col("depth_sum") / F.col("length"))
+                          .otherwise(F.lit(0.0)).alias("mean"),
+                         "length", "read_count"))
 
 
 def coverage_summary(depth: DataFrame) -> DataFrame:

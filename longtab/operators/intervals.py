@@ -85,28 +85,32 @@ def depth_runs(df: DataFrame, keys: list[str], start: str = "start", stop: str =
                 .filter(F.col(stop).isNotNull()))
 
 
-def trimmed_mean(runs: DataFrame, lengths: DataFrame, keys: list[str], lo: float = 0.05,
-                 hi: float = 0.95) -> DataFrame:
-    """WIN3: mean per-base depth after dropping the lowest ``lo`` and highest ``1-hi`` share of
-    bases (ranks in ``[floor(lo*L), L - floor((1-hi)*L))``), exact integer rank arithmetic.
-
-    ``lengths`` carries ``keys + [length]``; bases outside every run have depth 0."""
+def depth_stats(runs: DataFrame, lengths: DataFrame, keys: list[str], lo: float = 0.05,
+                hi: float = 0.95) -> DataFrame:
+    """WIN3 and friends in one pass over the depth histogram: ``covered_bases``, ``depth_sum``
+    and ``trimmed_mean`` per key.
+
+    Trimmed mean: mean per-base depth after dropping the lowest ``lo`` and highest ``1-hi``
+    share of bases (ranks in ``[floor(lo*L), L - floor((1-hi)*L))``), exact integer rank
+    arithmetic.  Bases outside every run have depth 0; they take the lowest ranks, so the
+    positive-depth buckets are simply shifted by their count (no zero row is materialised).
+    ``lengths`` carries ``length`` and a subset of ``keys`` to join on."""
     width = F.col("stop") - F.col("start")
-    hist = (runs.filter(F.col("depth") > 0).groupBy(*keys, "depth").agg(F.sum(width).alias("_w")))
-    L = lengths.select(*keys, "length")
-    covered = hist.groupBy(*keys).agg(F.sum("_w").alias("_cov"))
-    zeros = (L.join(covered, keys, "left")
-              .select(*keys, F.lit(0).cast("bigint").alias("depth"),
-                      (F.col("length") - F.coalesce("_cov", F.lit(0))).alias("_w"))
-              .filter(F.col("_w") > 0))
-    h = hist.unionByName(zeros).join(L, keys)
+    lkeys = [c for c in lengths.columns if c != "length"]
+    hist = (runs.filter(F.col("depth") > 0).groupBy(*keys, "depth").agg(F.sum(width).alias("_w"))
+                .join(lengths.select(*lkeys, "length"), lkeys))
     w = Window.partitionBy(*keys).orderBy("depth")
-    h = h.withColumn("_hi_cum", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    h = h.withColumn("_lo_cum", F.col("_hi_cum") - F.col("_w"))
+    h = (hist.withColumn("_cum", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_cov", F.sum("_w").over(Window.partitionBy(*keys))))
+    zeros = F.col("length") - F.col("_cov")
+    hi_cum = zeros + F.col("_cum")
+    lo_cum = hi_cum - F.col("_w")
     cut_lo = F.floor(F.col("length") * F.lit(lo))
     cut_hi = F.col("length") - F.floor(F.col("length") * F.lit(1.0 - hi))
-    kept = F.greatest(F.lit(0), F.least("_hi_cum", cut_hi) - F.greatest("_lo_cum", cut_lo))
-    agg = h.groupBy(*keys, "length").agg(
+    kept = F.greatest(F.lit(0), F.least(hi_cum, cut_hi) - F.greatest(lo_cum, cut_lo))
+    agg = h.groupBy(*keys).agg(
+        F.first("length").alias("length"), F.first("_cov").cast("bigint").alias("covered_bases"),
+        F.sum(F.col("_w") * F.col("depth")).alias("depth_sum"),
         F.sum(kept * F.col("depth")).alias("_s"), F.first(cut_hi - cut_lo).alias("_n"))
-    return agg.select(*keys, F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))
-                      .otherwise(F.lit(0.0)).alias("trimmed_mean"))
+    return agg.select(*keys, "length", "covered_bases", "depth_sum",
+                      F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")).otherwise(F.lit(0.0)).alias("trimmed_mean"))

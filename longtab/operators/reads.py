@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions import names as NM
 from . import alignments as A
+from ..session import spread
 
 # Fixed values (our definitions).
 ADAPTER_WINDOW = 60          # bases searched at each read end beyond the adapter length
@@ -237,11 +238,18 @@ def sample_outcome(trimmed: DataFrame) -> DataFrame:
 
 # --- k-mer screen --------------------------------------------------------------------------------
 def kmers(df: DataFrame, id_cols: list[str], k: int = KMER, seq: str = "seq") -> DataFrame:
-    """All k-mers with their 0-based position (whole sequences, no truncation)."""
-    n = F.length(seq) - k
-    return (df.filter(F.length(seq) >= k)
-              .select(*id_cols, seq, F.explode(F.sequence(F.lit(0), n)).alias("kpos"))
-              .select(*id_cols, "kpos", F.substring(seq, F.col("kpos") + 1, k).alias("kmer")))
+    """All k-mers of whole sequences, as ASCII byte strings.
+
+    * The sequence is first projected to a binary column: substring on a binary value is O(k),
+      on a UTF-8 string it walks from the start; and a lambda re-evaluates any outer
+      expression per element, so the encode must not sit inside it.
+    * The k-mers are cut inside the array before the ``explode``, so exploded rows never carry
+      the parent sequence.
+    * Few input partitions are spread over the task slots first."""
+    b = (spread(df.filter(F.length(seq) >= k), *id_cols)
+         .select(*id_cols, F.encode(F.col(seq), "US-ASCII").alias("_b")))
+    arr = F.transform(F.sequence(F.lit(0), F.length("_b") - k), lambda i: F.substring(F.col("_b"), i + 1, k))
+    return b.select(*id_cols, F.explode(arr).alias("kmer"))
 
 
 def kmer_screen(reads: DataFrame, reference: DataFrame, k: int = KMER, min_share: float = 0.1) -> DataFrame:

@@ -58,3 +58,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread rows over the cluster's task slots when the input arrives in fewer
+    partitions than slots (e.g. a few large files holding long sequences), before a CPU-heavy
+    per-row step such as a k-mer explode.  Inputs that are already well split are untouched."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
