@@ -899,3 +899,52 @@ def q_src_taxonomy(spark, sf):
     bac = V.view(spark, sf, "v_tax_bac")
     ar = V.view(spark, sf, "v_tax_ar")
     return bac.unionByName(ar, allowMissingColumns=True)
+
+
+# --- genome similarity and dereplication (SEQ4, SEQ5) ------------------------------------------
+from ..operators import similarity as SM  # noqa: E402
+
+SK_K, SK_S, DREP_ANI = 21, 64, 0.95
+
+_SKETCH_SQL = f"""
+WITH km AS (SELECT genome_id, substr(seq, i + 1, {SK_K}) AS km
+            FROM (SELECT genome_id, seq, unnest(range(0, length(seq) - {SK_K} + 1)) AS i
+                  FROM v_drep_genomes WHERE length(seq) >= {SK_K}) x),
+hs AS (SELECT DISTINCT genome_id,
+              ('0x' || substr(md5(least(km, reverse(translate(km, 'ACGT', 'TGCA')))), 1, 15))::bigint AS h FROM km),
+sk AS (SELECT genome_id, h FROM (SELECT *, row_number() OVER (PARTITION BY genome_id ORDER BY h) AS r FROM hs) y
+       WHERE r <= {SK_S})
+"""
+
+
+def _sketches(spark, sf):
+    return SM.sketches(V.view(spark, sf, "v_drep_genomes"), SK_K, SK_S, "md5")
+
+
+@register("genome_sketch", _SKETCH_SQL + "SELECT * FROM sk")
+def q_genome_sketch(spark, sf):
+    return _sketches(spark, sf)
+
+
+@register("sketch_pairs", _SKETCH_SQL + f""",
+rk AS (SELECT genome_id, -score AS sn FROM v_drep_genomes),
+lead AS (SELECT h, arg_min(sk.genome_id, (rk.sn, sk.genome_id)) AS leader FROM sk JOIN rk ON sk.genome_id = rk.genome_id GROUP BY h),
+e AS (SELECT DISTINCT sk.genome_id AS a, lead.leader AS b FROM sk JOIN lead ON sk.h = lead.h WHERE lead.leader <> sk.genome_id),
+u AS (SELECT a, b, h, max(in_a) AS in_a, max(in_b) AS in_b FROM (
+        SELECT e.a, e.b, sk.h, 1 AS in_a, 0 AS in_b FROM e JOIN sk ON sk.genome_id = e.a
+        UNION ALL SELECT e.a, e.b, sk.h, 0, 1 FROM e JOIN sk ON sk.genome_id = e.b) z GROUP BY a, b, h),
+low AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY h) AS r FROM u) q WHERE r <= {SK_S}),
+j AS (SELECT a, b, sum(in_a * in_b) / count(*) AS j FROM low GROUP BY a, b)
+SELECT a, b, j, round(CASE WHEN j > 0 THEN 1 + ln(2 * j / (1 + j)) / {SK_K} END, 6) AS ani FROM j
+""")
+def q_sketch_pairs(spark, sf):
+    scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
+    e = SM.leader_edges(_sketches(spark, sf), scores, SK_K, SK_S)
+    return e.select("a", "b", "j", r6("ani").alias("ani"))
+
+
+@register("dereplicate")
+def q_dereplicate(spark, sf):
+    """Greedy representatives and membership (checked against a sequential loop in the tests)."""
+    scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
+    return SM.dereplicate(_sketches(spark, sf), scores, DREP_ANI, SK_K, SK_S)

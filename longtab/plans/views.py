@@ -320,6 +320,13 @@ VIEWS["v_bench_ref"] = """
 SELECT item_id, """ + dna("text") + """ AS seq FROM {benchmark}
 """
 
+# Genomes to dereplicate: one per document (near copies exist), with a quality score.
+VIEWS["v_drep_genomes"] = """
+SELECT 'd' || cast(doc_id AS string) AS genome_id, """ + dna("text") + """ AS seq,
+       cast((doc_id * 37) % 101 AS double) AS score
+FROM {documents}
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
