@@ -25,11 +25,42 @@ def _c(c) -> Column:
 
 
 def op_sum(cigar, ops: str) -> Column:
-    """Sum of the run lengths whose op is one of ``ops``."""
+    """Sum of the run lengths whose op is one of ``ops`` (one regex pass)."""
     runs = F.regexp_extract_all(_c(cigar), F.lit(r"(\d+)[" + ops + "]"), 1)
     return F.aggregate(runs, F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint"))
 
 
+def stats(cigar) -> Column:
+    """The op-class sums every metric needs, each computed once: ``mx`` (M,=,X), ``eq`` (=),
+    ``i``, ``d``, ``n``, ``clip`` (S,H) and ``has_m``.  Compute it in one projection and derive
+    identity / coverage / spans from it with plain arithmetic."""
+    c = _c(cigar)
+    return F.struct(op_sum(c, "M=X").alias("mx"), op_sum(c, "=").alias("eq"), op_sum(c, "I").alias("i"),
+                    op_sum(c, "D").alias("d"), op_sum(c, "N").alias("n"), op_sum(c, "SH").alias("clip"),
+                    c.rlike(r"\dM").alias("has_m"))
+
+
+def identity_from(st: Column, nm) -> Column:
+    cols = st["mx"] + st["i"] + st["d"]
+    mism = _c(nm).cast("bigint") - st["i"] - st["d"]
+    matches = F.when(st["has_m"], st["mx"] - mism).otherwise(st["eq"])
+    return F.when(cols > 0, matches / cols)
+
+
+def coverage_from(st: Column) -> Column:
+    aligned = st["mx"] + st["i"]
+    total = aligned + st["clip"]
+    return F.when(total > 0, aligned / total)
+
+
+def refspan_from(st: Column) -> Column:
+    return st["mx"] + st["d"] + st["n"]
+
+
+def qspan_from(st: Column, cigar) -> Column:
+    return st["mx"] + st["i"] + op_sum(cigar, "S")
+
+
 def has_op(cigar, op: str) -> Column:
     return _c(cigar).rlike(r"\d" + op)
 
@@ -38,15 +69,12 @@ def alignment_columns(cigar) -> Column:
     return op_sum(cigar, "M=XID")
 
 
-def matches(cigar, nm) -> Column:
-    mismatch_edits = _c(nm).cast("bigint") - op_sum(cigar, "ID")
-    return F.when(has_op(cigar, "M"), op_sum(cigar, "M=X") - mismatch_edits).otherwise(op_sum(cigar, "="))
-
-
 def seq_identity(cigar, nm) -> Column:
     """BLAST-style identity; null when the alignment has no columns (e.g. ``*``)."""
-    cols = alignment_columns(cigar)
-    return F.when(cols > 0, matches(cigar, nm) / cols)
+    cols = op_sum(cigar, "M=XID")
+    mism = _c(nm).cast("bigint") - op_sum(cigar, "ID")
+    matches = F.when(has_op(cigar, "M"), op_sum(cigar, "M=X") - mism).otherwise(op_sum(cigar, "="))
+    return F.when(cols > 0, matches / cols)
 
 
 def query_coverage(cigar) -> Column:

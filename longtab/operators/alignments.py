@@ -48,23 +48,44 @@ def flag_filter(aln: DataFrame, mapped: bool = True, primary: bool = True,
     return aln.filter(F.col("flag").bitwiseAND(F.lit(mask)) == 0) if mask else aln
 
 
+_STATS = ("mx", "eq", "i", "d", "n", "clip", "has_m")
+
+
+def with_cigar_stats(aln: DataFrame) -> DataFrame:
+    """Adds the CIGAR op-class sums as columns, each computed once per row.
+
+    They are produced by ``inline`` of a one-element array (a Generate node): predicates on the
+    sums cannot be pushed below it, so a filter that uses a sum several times does not re-run
+    the regex passes (pushing a filter through a plain projection would inline them)."""
+    return aln.select("*", F.inline(F.array(C.stats("cigar"))))
+
+
 def with_metrics(aln: DataFrame) -> DataFrame:
-    return (aln.withColumn("identity", C.seq_identity("cigar", "tag_nm"))
-               .withColumn("query_coverage", C.query_coverage("cigar")))
+    """Adds ``identity`` and ``query_coverage`` from one parse of the CIGAR."""
+    cols = aln.columns
+    s = with_cigar_stats(aln)
+    st = F.struct(*[F.col(c) for c in _STATS])
+    return s.select(*cols, C.identity_from(st, "tag_nm").alias("identity"),
+                    C.coverage_from(st).alias("query_coverage"))
+
+
+def _metric_filter(aln: DataFrame, cond) -> DataFrame:
+    cols = aln.columns
+    s = with_cigar_stats(aln)
+    st = F.struct(*[F.col(c) for c in _STATS])
+    return s.filter(cond(C.identity_from(st, "tag_nm"), C.coverage_from(st))).select(*cols)
 
 
 def identity_coverage_filter(aln: DataFrame, identity: float = 0.9,
                              coverage: float = 0.9) -> DataFrame:
     """FLT3, the profile query: keep identity > p AND query coverage > c (both strict)."""
-    return aln.filter((C.seq_identity("cigar", "tag_nm") > F.lit(float(identity)))
-                      & (C.query_coverage("cigar") > F.lit(float(coverage))))
+    return _metric_filter(aln, lambda i, c: (i > F.lit(float(identity))) & (c > F.lit(float(coverage))))
 
 
 def min_filter(aln: DataFrame, min_identity: float, min_aligned: float = 0.0) -> DataFrame:
     """FLT4: read identity >= p and aligned fraction >= a; percents or fractions accepted."""
     p, a = fraction(min_identity), fraction(min_aligned)
-    return aln.filter((C.seq_identity("cigar", "tag_nm") >= F.lit(p))
-                      & (C.query_coverage("cigar") >= F.lit(a)))
+    return _metric_filter(aln, lambda i, c: (i >= F.lit(p)) & (c >= F.lit(a)))
 
 
 def attach_lengths(aln: DataFrame, lengths: DataFrame, how: str = "inner") -> DataFrame:

@@ -19,7 +19,7 @@ Distributed form, no pair enumeration inside hash groups:
 * candidate edges are only (genome, leader of one of its hashes) with the leader a new
   representative: at most ``s`` per genome.  Their ANI updates each genome's claim
   (best-ranked representative within the threshold).
-The state is checkpointed every round (lineage cut in ``spark.checkpoint.dir``).
+The state is written every round as a table in ``spark.checkpoint.dir`` (lineage cut).
 """
 
 from __future__ import annotations
@@ -30,13 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import reads as RD
 
 SKETCH_K = 21
 SKETCH_SIZE = 64
 ANI_THRESHOLD = 0.99
 MAX_ROUNDS = 200
+_DEBUG = bool(__import__("os").environ.get("LONGTAB_DEBUG"))
 
 
 def _hash(km: Column, how: str) -> Column:
@@ -108,23 +109,39 @@ def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHO
     """SEQ5: ``(genome_id, rep_id, is_rep, ani, round)`` for every sketched genome."""
     spark = sk.sparkSession
     ensure_checkpoint_dir(spark)
-    sk = sk.checkpoint()
-    rank = ranking(scores, genome_col, score_col).join(sk.select(genome_col).distinct(), genome_col)
+    sk = cut_lineage(sk, "sketch")
+    j_min = ani_to_j(threshold, k) * (1 - 1e-9)     # safety margin: never settle on a float tie
+    rank = cut_lineage(ranking(scores, genome_col, score_col).join(sk.select(genome_col).distinct(), genome_col),
+                       "rank")
     rank_b = rank.select(F.col(genome_col).alias("_claim"), F.col("_score_neg").alias("_c_neg"))
     # state: one row per genome: claim (best representative within threshold so far), decision
     state = rank.select(genome_col, F.lit(None).cast("string").alias("_claim"),
                         F.lit(None).cast("double").alias("_claim_ani"),
                         F.lit(None).cast("string").alias("rep_id"), F.lit(None).cast("int").alias("round"))
-    state = state.checkpoint()
+    state = cut_lineage(state, "state0")
     for rnd in range(1, max_rounds + 1):
         und = state.filter(F.col("rep_id").isNull()).select(genome_col)
         if not und.take(1):
             break
+        if _DEBUG:
+            print("round", rnd, und.count(), flush=True)
         usk = sk.join(und, genome_col, "left_semi")
         lead = _leaders(usk, rank, genome_col)
         own = usk.join(lead, "h").persist()          # used twice this round; recomputable from checkpoints
-        top = (own.groupBy(genome_col).agg(F.min((F.col("_leader") == F.col(genome_col)).cast("int")).alias("_t"))
-                  .filter(F.col("_t") == 1).select(genome_col))
+        # blockers: hashes whose best undecided holder is better-ranked than the genome's claim
+        # (or than the genome itself when it has no claim)
+        cl = state.select(genome_col, "_claim").join(rank_b.withColumnRenamed("_c_neg", "_cneg"), "_claim", "left")
+        lr = rank.select(F.col(genome_col).alias("_leader"), F.col("_score_neg").alias("_lneg"))
+        o = own.join(cl, genome_col).join(lr, "_leader")
+        better_than_claim = F.struct("_lneg", "_leader") < F.struct("_cneg", "_claim")
+        blocks = (F.col("_leader") != F.col(genome_col)) & (F.col("_claim").isNull() | better_than_claim)
+        per = o.groupBy(genome_col, "_claim").agg(
+            F.sum(blocks.cast("int")).alias("_b"), F.count("*").alias("_sz"))
+        # settle: a genome leading all its hashes (no better undecided sharer at all), or a claimed
+        # genome whose blocking hashes are too few for any blocker to reach the threshold
+        # (j <= shared / |sketch|, so a blocker sharing < j_min * |sketch| hashes cannot be similar)
+        top = per.filter((F.col("_b") == 0) | (F.col("_claim").isNotNull() & (F.col("_b") < j_min * F.col("_sz"))))
+        top = top.select(genome_col)
         # settle the top genomes: member of their claim, or a new representative
         st = (state.join(top.withColumn("_top", F.lit(True)), genome_col, "left")
                    .withColumn("_settle", F.coalesce(F.col("_top"), F.lit(False)) & F.col("rep_id").isNull()))
@@ -148,8 +165,8 @@ def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHO
                                                 | (F.struct("_nneg", "_nb") < F.struct("_oneg", "_claim")))
         state = (st.withColumn("_claim_ani", F.when(take_new, F.col("_na")).otherwise(F.col("_claim_ani")))
                    .withColumn("_claim", F.when(take_new, F.col("_nb")).otherwise(F.col("_claim")))
-                   .select(genome_col, "_claim", "_claim_ani", "rep_id", "round")
-                   .checkpoint())
+                   .select(genome_col, "_claim", "_claim_ani", "rep_id", "round"))
+        state = cut_lineage(state, f"state{rnd}")
         own.unpersist()
     else:
         if state.filter(F.col("rep_id").isNull()).take(1):

@@ -17,6 +17,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -381,6 +383,10 @@ def spark_table_ref(sf_dir: str):
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One domain view as a Spark DataFrame (lazy; scans are pruned and pushed down)."""
+    """One domain view as a Spark DataFrame (lazy; scans are pruned and pushed down).
+
+    The driver tables are single small files (a few row groups), so a view arrives in fewer
+    partitions than task slots; it is spread before the CPU-heavy operators.  On inputs that
+    are already split (the cluster case) this is a no-op."""
     ref = spark_table_ref(sf_dir)
-    return spark.sql(with_clause([name], "spark", ref) + f"SELECT * FROM {name}")
+    return spread(spark.sql(with_clause([name], "spark", ref) + f"SELECT * FROM {name}"))

@@ -68,3 +68,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
+
+
+def cut_lineage(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    Same purpose as ``checkpoint()`` (a lineage cut that survives executor loss, stored in
+    ``spark.checkpoint.dir``), but the plan runs once: an eager checkpoint computes it to count
+    and again to write it unless it was cached first."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/longtab-tables/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
