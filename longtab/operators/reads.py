@@ -18,7 +18,6 @@ from pyspark.sql.window import Window
 
 from ..functions import names as NM
 from . import alignments as A
-from ..session import spread
 
 # Fixed values (our definitions).
 ADAPTER_WINDOW = 60          # bases searched at each read end beyond the adapter length
@@ -244,10 +243,9 @@ def kmers(df: DataFrame, id_cols: list[str], k: int = KMER, seq: str = "seq") ->
       on a UTF-8 string it walks from the start; and a lambda re-evaluates any outer
       expression per element, so the encode must not sit inside it.
     * The k-mers are cut inside the array before the ``explode``, so exploded rows never carry
-      the parent sequence.
-    * Few input partitions are spread over the task slots first."""
-    b = (spread(df.filter(F.length(seq) >= k), *id_cols)
-         .select(*id_cols, F.encode(F.col(seq), "US-ASCII").alias("_b")))
+      the parent sequence.  (Inputs arriving in very few partitions should be spread over the
+      task slots first — ``session.spread``; the domain views do it.)"""
+    b = df.filter(F.length(seq) >= k).select(*id_cols, F.encode(F.col(seq), "US-ASCII").alias("_b"))
     arr = F.transform(F.sequence(F.lit(0), F.length("_b") - k), lambda i: F.substring(F.col("_b"), i + 1, k))
     return b.select(*id_cols, F.explode(arr).alias("kmer"))
 

@@ -17,7 +17,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread
+from ..session import scan_partitions, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -389,4 +389,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     partitions than task slots; it is spread before the CPU-heavy operators.  On inputs that
     are already split (the cluster case) this is a no-op."""
     ref = spark_table_ref(sf_dir)
-    return spread(spark.sql(with_clause([name], "spark", ref) + f"SELECT * FROM {name}"))
+    df = spark.sql(with_clause([name], "spark", ref) + f"SELECT * FROM {name}")
+    raw = {t for v in closure([name]) for t in _PLACEHOLDER.findall(VIEWS[v]) if t in TABLES}
+    n_in = max(scan_partitions(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in raw)
+    return spread(df, n_in)

@@ -60,12 +60,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows over the cluster's task slots when the input arrives in fewer
-    partitions than slots (e.g. a few large files holding long sequences), before a CPU-heavy
-    per-row step such as a k-mer explode.  Inputs that are already well split are untouched."""
+def scan_partitions(spark: SparkSession, path: str) -> int:
+    """Input splits of a plain file scan (a listing; no stage is executed)."""
+    return spark.read.parquet(path).rdd.getNumPartitions()
+
+
+def spread(df: DataFrame, input_partitions: int, *keys: str) -> DataFrame:
+    """Hash-spread rows over the task slots when the input arrived in fewer partitions than
+    slots (e.g. a few large files of long sequences), before CPU-heavy per-row steps.  Inputs that
+    are already well split — the cluster case — are returned untouched.  ``input_partitions`` is
+    measured on the raw scan (``scan_partitions``): asking a derived DataFrame for its partition
+    count would run its shuffle stages under adaptive execution."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if input_partitions >= slots:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
