@@ -948,3 +948,104 @@ def q_dereplicate(spark, sf):
     """Greedy representatives and membership (checked against a sequential loop in the tests)."""
     scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
     return SM.dereplicate(_sketches(spark, sf), scores, DREP_ANI, SK_K, SK_S)
+
+
+# --- file sources: write a derived table with our sinks, read it back with our readers -------
+# (SRC1, SRC3-SRC10).  The files live in a fresh folder under spark.checkpoint.dir; the oracle is
+# the view itself, so a key passes only if the round trip is lossless.
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import seqio as SQ  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+
+
+def _scratch(spark, tag: str) -> str:
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/longtab-files/{tag}-{uuid.uuid4().hex}"
+
+
+@register("src_fasta", "SELECT contig_id, seq FROM v_contigs")
+def q_src_fasta(spark, sf):
+    path = _scratch(spark, "fasta")
+    SQ.write_fasta(V.view(spark, sf, "v_contigs"), path, width=60, compression="gzip")
+    return SQ.read_fasta(spark, path, genome_from_file=False).select("contig_id", "seq")
+
+
+@register("src_fastq", "SELECT read_id, seq, qual FROM v_reads")
+def q_src_fastq(spark, sf):
+    path = _scratch(spark, "fastq")
+    SQ.write_fastq(V.view(spark, sf, "v_reads"), path, partition_by="sample_id")
+    files = [p for p in TB._list_files(spark, path) if p.endswith(".gz")]
+    return SQ.read_fastq(spark, files).select("read_id", "seq", "qual")
+
+
+@register("src_gfa", "SELECT rec_type, contig_id, seq FROM v_gfa")
+def q_src_gfa(spark, sf):
+    path = _scratch(spark, "gfa")
+    g = V.view(spark, sf, "v_gfa")
+    g.select(F.concat_ws("\t", "rec_type", "contig_id", "seq").alias("value")).write.text(path)
+    return SQ.read_gfa(spark, path).select("rec_type", "contig_id", "seq")
+
+
+@register("src_sam", "SELECT read_id, flag, ref_id, pos, mapq, cigar, tag_nm FROM v_align")
+def q_src_sam(spark, sf):
+    path = _scratch(spark, "sam")
+    SQ.write_sam_text(_aln(spark, sf), path)
+    return SQ.read_sam(spark, path).select("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "tag_nm")
+
+
+@register("src_manifest", _LOOKUP_SQL + """
+SELECT sample_id, file_name AS path, cast(100 + file_no % 3 AS bigint) AS artifact_id FROM m WHERE sample_id IS NOT NULL
+""")
+def q_src_manifest(spark, sf):
+    path = _scratch(spark, "manifest")
+    m = LK.analysis_manifest(_matched(spark, sf).withColumn("artifact_id", (100 + F.col("file_no") % 3).cast("bigint")))
+    TB.write_manifest(m, path)
+    return TB.read_manifest(spark, path)
+
+
+@register("src_lengths", "SELECT ref_id, length FROM v_lengths")
+def q_src_lengths(spark, sf):
+    path = _scratch(spark, "lengths")
+    V.view(spark, sf, "v_lengths").write.option("sep", "\t").csv(path)
+    return TB.read_lengths(spark, path)
+
+
+@register("src_coords", "SELECT ref_id, gene_id, start, stop FROM v_genes")
+def q_src_coords(spark, sf):
+    path = _scratch(spark, "coords")
+    g = V.view(spark, sf, "v_genes")
+    # 1-based inclusive, every other gene written reversed (end first)
+    line = F.when(F.col("start") % 2 == 0,
+                  F.concat_ws("\t", "gene_id", (F.col("start") + 1).cast("string"), F.col("stop").cast("string"))) \
+            .otherwise(F.concat_ws("\t", "gene_id", F.col("stop").cast("string"), (F.col("start") + 1).cast("string")))
+    blocks = g.groupBy("ref_id").agg(F.array_join(F.collect_list(line), "\n").alias("_b"))
+    blocks.select(F.concat(F.lit(">"), "ref_id", F.lit("\n"), "_b").alias("value")).write.text(path)
+    return TB.read_coords(spark, path).select("ref_id", "gene_id", "start", "stop")
+
+
+@register("src_maps", "SELECT map, source, target FROM v_maps")
+def q_src_maps(spark, sf):
+    maps = V.view(spark, sf, "v_maps")
+    out = None
+    for name in ("ko", "ec", "reaction", "module", "pathway"):
+        path = _scratch(spark, f"map-{name}")
+        (maps.filter(F.col("map") == name).groupBy("source")
+             .agg(F.array_join(F.array_sort(F.collect_list("target")), "\t").alias("_t"))
+             .select(F.concat_ws("\t", "source", "_t").alias("value")).write.text(path))
+        one = TB.read_map(spark, path, name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("src_quality", """
+SELECT cast(artifact_id AS varchar) || '_' || bin_id AS "Bin Id", completeness AS "Completeness",
+       contamination AS "Contamination", strain_heterogeneity AS "Strain heterogeneity" FROM v_quality
+""")
+def q_src_quality(spark, sf):
+    path = _scratch(spark, "quality")
+    q = QL.merge_quality(V.view(spark, sf, "v_quality"))
+    (q.select(F.col("genome_id").alias("Bin Id"), F.col("completeness").alias("Completeness"),
+              F.col("contamination").alias("Contamination"),
+              F.col("strain_heterogeneity").alias("Strain heterogeneity"))
+      .write.option("sep", "\t").option("header", "true").option("compression", "gzip").csv(path))
+    return TB.read_quality(spark, path).drop("file_name")
