@@ -70,3 +70,23 @@ def test_taxonomy_optional_and_status(spark, tmp_path):
     (d / "failed_2.log").write_text("S7\n")
     st = sorted(map(tuple, TB.read_status(spark, str(tmp_path / "st")).collect()))
     assert st == [(2, 1, "completed", ""), (2, 2, "failed", "S7")]
+
+
+def test_prep_lineage_pooled_genomes_and_counts(spark, tmp_path):
+    (tmp_path / "prep.tsv").write_text("sample_name\trun_prefix\tdepth\nSKB8.640193\tS22205_S104\t007\n")
+    p = TB.read_prep(spark, str(tmp_path / "prep.tsv")).first()
+    assert (p.sample_name, p.run_prefix, p.depth) == ("SKB8.640193", "S22205_S104", "007")   # strings kept
+    (tmp_path / "tax.tsv").write_text("G1\tk__B; p__F;c__X\n")
+    lin = TB.read_lineage(spark, str(tmp_path / "tax.tsv")).first()
+    assert lin.ranks == ["k__B", "p__F", "c__X"]
+    for aid, sample, kind, name in (("101_x", "S1", "LCG", "S1.ctg1c"), ("102_y", "S2", "MAG", "S2_MetaBAT_bin.1")):
+        d = tmp_path / "pool" / aid / sample / kind
+        d.mkdir(parents=True)
+        with gzip.open(d / f"{name}.fna.gz", "wt") as fh:
+            fh.write(f">{name}_c1\nACGT\n")
+    g = sorted((r.artifact_id, r.sample_id, r.kind, r.genome_id, r.seq)
+               for r in TB.read_genome_files(spark, str(tmp_path / "pool")).collect())
+    assert g == [("101", "S1", "LCG", "S1.ctg1c", "ACGT"), ("102", "S2", "MAG", "S2_MetaBAT_bin.1", "ACGT")]
+    (tmp_path / "c.counts").write_text("IdxFirst\tCounts\tMean\n0\t5\t1\n1\t9\t2\n")
+    c = TB.read_counts_last(spark, str(tmp_path / "c.counts")).first()
+    assert c.counts == 9
