@@ -50,8 +50,12 @@ def _islands(df: DataFrame, part: list[str], start: str, stop: str) -> DataFrame
 
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", stop: str = "stop",
                     chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """WIN1: union of intervals per key; touching intervals (``b.start == a.stop``) merge."""
-    base = df.select(*keys, start, stop).filter(F.col(stop) > F.col(start))
+    """WIN1: union of intervals per key; touching intervals (``b.start == a.stop``) merge.
+
+    Intervals sharing a start are first collapsed to the longest (same union; a partial
+    aggregate), so a chunk window never holds more rows than the chunk has positions."""
+    base = (df.select(*keys, start, stop).filter(F.col(stop) > F.col(start))
+              .groupBy(*keys, start).agg(F.max(stop).alias(stop)))
     local = _islands(base.withColumn("_chunk", F.floor(F.col(start) / chunk)),
                      keys + ["_chunk"], start, stop).drop("_chunk")
     return _islands(local, keys, start, stop)
