@@ -25,9 +25,11 @@ def step_audit(status: DataFrame, expected: DataFrame, n_steps: int) -> DataFram
                            F.explode(F.sequence(F.lit(1), F.lit(n_steps))).alias("step"))
                    .withColumn("step", F.col("step").cast("bigint")))
     st = status.join(exp, ["job_id", "task"], "left_semi")
-    counts = st.groupBy("job_id", F.col("step").cast("bigint").alias("step")).agg(
-        F.countDistinct(F.when(F.col("state").isin(*DONE_STATES), F.col("task"))).alias("done"),
-        F.countDistinct(F.when(F.col("state") == "failed", F.col("task"))).alias("failed"))
+    per_task = st.groupBy("job_id", F.col("step").cast("bigint").alias("step"), "task").agg(
+        F.max(F.col("state").isin(*DONE_STATES).cast("int")).alias("_done"),
+        F.max((F.col("state") == "failed").cast("int")).alias("_failed"))
+    counts = per_task.groupBy("job_id", "step").agg(
+        F.sum("_done").cast("bigint").alias("done"), F.sum("_failed").cast("bigint").alias("failed"))
     out = grid.join(counts, ["job_id", "step"], "left").fillna(0, ["done", "failed"])
     return out.withColumn("missing", F.col("expected") - F.col("done"))
 

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions import names as NM
 from . import alignments as A
+from ..session import broadcast_if_small
 
 # Fixed values (our definitions).
 ADAPTER_WINDOW = 60          # bases searched at each read end beyond the adapter length
@@ -255,7 +256,9 @@ def kmer_screen(reads: DataFrame, reference: DataFrame, k: int = KMER, min_share
     ``screened = shared / total >= min_share``.  Reads shorter than k are never screened."""
     rk = kmers(reads, ["sample_id", "read_id"], k)
     ref = kmers(reference, [], k).select("kmer").distinct()
-    shared = rk.join(ref, "kmer", "left_semi").groupBy("sample_id", "read_id").agg(
+    # a proven-small reference set is broadcast, so the (much larger) read k-mers never shuffle;
+    # a large one goes through the planner's shuffle join (AQE splits skewed k-mers)
+    shared = rk.join(broadcast_if_small(ref), "kmer", "left_semi").groupBy("sample_id", "read_id").agg(
         F.count("*").alias("n_shared"))
     total = reads.select("sample_id", "read_id",
                          F.greatest(F.length("seq") - k + 1, F.lit(0)).cast("bigint").alias("n_kmers"))
