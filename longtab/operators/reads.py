@@ -182,11 +182,24 @@ def find_adapters(reads: DataFrame, adapters: DataFrame, window: int = ADAPTER_W
     return out
 
 
+def _adapter_ranks(adapters: DataFrame) -> Column:
+    """Literal map adapter id -> position in the adapter list (``item_no`` order when the set
+    has it, then id).  The set is bounded by MAX_ADAPTERS, so the map stays small."""
+    order = (["item_no"] if "item_no" in adapters.columns else []) + ["adapter_id"]
+    rows = adapters.select(*order).limit(MAX_ADAPTERS + 1).collect()
+    if len(rows) > MAX_ADAPTERS:
+        raise ValueError(f"more than {MAX_ADAPTERS} adapters")
+    ids = [r["adapter_id"] for r in sorted(rows, key=lambda r: tuple(r))]
+    return F.create_map(*[x for i, a in enumerate(ids) for x in (F.lit(a), F.lit(i))])
+
+
 def trim_adapters(reads: DataFrame, adapters: DataFrame, preset: str = "ASYMMETRIC",
-                  window: int = ADAPTER_WINDOW, mismatches: int = ADAPTER_MISMATCHES) -> DataFrame:
+                  window: int = ADAPTER_WINDOW, mismatches: int = ADAPTER_MISMATCHES,
+                  neighbors: bool = False) -> DataFrame:
     """SEQ1: reads with adapters at both ends fitting the preset are cut to the insert.
 
-    SYMMETRIC: the same adapter at both ends; ASYMMETRIC: two different adapters.  Other reads
+    SYMMETRIC: the same adapter at both ends; ASYMMETRIC: two different adapters; with
+    ``neighbors`` an asymmetric pair must be adjacent in the adapter list.  Other reads
     are not written (``outcome = 'none'``).  Returns all reads with ``outcome`` and, for the
     trimmed ones, the trimmed ``seq``/``qual``."""
     preset = preset.upper()
@@ -196,6 +209,9 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, preset: str = "ASYMMETR
     both = F.col("hit5").isNotNull() & F.col("hit3").isNotNull()
     same = F.col("hit5.id") == F.col("hit3.id")
     fits = both & (same if preset == "SYMMETRIC" else ~same)
+    if neighbors and preset == "ASYMMETRIC":
+        rank = _adapter_ranks(adapters)
+        fits = fits & (F.abs(F.element_at(rank, F.col("hit5.id")) - F.element_at(rank, F.col("hit3.id"))) == 1)
     start = F.col("hit5.offset") + F.col("hit5.n")          # 0-based first kept base
     stop = F.length("seq") - F.col("hit3.offset") - F.col("hit3.n")
     keep = fits & (stop > start)

@@ -55,6 +55,21 @@ def test_trim_symmetric(spark):
     assert out == {"r1": ("trimmed", "CCCCAAAA"), "r2": ("none", None)}
 
 
+def test_trim_neighbors(spark):
+    ads = [("a1", "ACGTTGCAAGGT"), ("a2", "TTTTGGGGCCAA"), ("a3", "GATCGATCCTAG")]
+    ins = "CCCCAAAA"
+    reads = spark.createDataFrame(
+        [("s", "adj", ads[0][1] + ins + _rc(ads[1][1]), "I" * 32),
+         ("s", "far", ads[0][1] + ins + _rc(ads[2][1]), "I" * 32),
+         ("s", "same", ads[1][1] + ins + _rc(ads[1][1]), "I" * 32)],
+        "sample_id string, read_id string, seq string, qual string")
+    ad = spark.createDataFrame(ads, "adapter_id string, seq string")
+    plain = {r.read_id: r.outcome for r in RD.trim_adapters(reads, ad, "ASYMMETRIC", 10, 0).collect()}
+    near = {r.read_id: r.outcome for r in RD.trim_adapters(reads, ad, "ASYMMETRIC", 10, 0, neighbors=True).collect()}
+    assert plain == {"adj": "trimmed", "far": "trimmed", "same": "none"}
+    assert near == {"adj": "trimmed", "far": "none", "same": "none"}
+
+
 def test_adapter_set_ids(spark):
     files = spark.createDataFrame([("twist.fasta", "tw_1", "AAAA")], "file_name string, adapter_id string, seq string")
     got = sorted(map(tuple, RD.adapter_set("CCGG, twist.fasta,,ttaa", files).collect()))
