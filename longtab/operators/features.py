@@ -6,7 +6,7 @@ only an export format.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Merge types and the ranks each one publishes.
@@ -50,17 +50,27 @@ def merge_ranked(tables: DataFrame, merge_type: str) -> DataFrame:
              .agg(F.sum("value").alias("value")).filter(F.col("value") != 0))
 
 
+# Fixed pattern: a label right after ``(`` or ``,`` (group 2), unquoted or single-quoted with
+# ``''`` for a quote; the second branch swallows quoted inner-node labels so their text is
+# never read as tips.
+TIP_PATTERN = r"([(,])('(?:[^']|'')*'|[^(),:;']+)|'(?:[^']|'')*'"
+
+
+def tip_label(raw: Column) -> Column:
+    """Quoted labels lose their quotes and ``''`` becomes ``'``; spaces become underscores."""
+    inner = F.regexp_replace(F.substring(raw, F.lit(2), F.length(raw) - 2), "''", "'")
+    return F.regexp_replace(F.when(raw.startswith("'"), inner).otherwise(raw), " ", "_")
+
+
 def tree_tips(trees: DataFrame, col: str = "newick") -> DataFrame:
     """SRC13: tip names of Newick texts.  A tip is the label right after ``(`` or ``,``;
-    inner-node labels (after ``)``) are not tips; spaces become underscores.
-
-    The text is split on commas first so the label extraction runs row-parallel after a
-    repartition instead of inside one task."""
-    pieces = trees.select(F.posexplode(F.split(F.col(col), ",")).alias("_i", "_piece"))
-    pieces = pieces.filter((F.col("_i") > 0) | F.col("_piece").startswith("("))
-    label = F.regexp_extract("_piece", r"^\(*([^(),:;]+)", 1)
-    return (pieces.select(F.regexp_replace(label, " ", "_").alias("tip"))
-                  .filter(F.col("tip") != "").distinct())
+    inner-node labels (after ``)``) are not tips; quoted labels may hold any character.
+
+    One regex pass per text (linear in its length); the exploded labels are de-duplicated by
+    a shuffle, so the tip list never has to fit in one group."""
+    raw = trees.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(TIP_PATTERN), 2)).alias("_raw"))
+    return (raw.filter(F.col("_raw") != "").select(tip_label(F.col("_raw")).alias("tip"))
+               .filter(F.col("tip") != "").distinct())
 
 
 def tree_filter(table: DataFrame, tips: DataFrame) -> DataFrame:

@@ -301,8 +301,11 @@ from ..operators import features as FT  # noqa: E402
 from ..operators import lookup as LK  # noqa: E402
 
 _MERGED = "(SELECT sample_id, feature_id, sum(value) AS value FROM v_tables GROUP BY sample_id, feature_id HAVING sum(value) <> 0)"
-_TIPS = ("(SELECT DISTINCT replace(t, ' ', '_') AS tip FROM (SELECT unnest(regexp_extract_all(newick, "
-         "'[(,]([^(),:;]+)', 1)) AS t FROM v_tree) x WHERE t <> '')")
+_TIP_LABEL = ("replace(CASE WHEN starts_with(t, '''') THEN replace(substr(t, 2, length(t) - 2), '''''', '''') "
+              "ELSE t END, ' ', '_')")
+_TIP_RE = FT.TIP_PATTERN.replace("'", "''")
+_TIPS = (f"(SELECT DISTINCT {_TIP_LABEL} AS tip FROM (SELECT unnest(regexp_extract_all(newick, '{_TIP_RE}', 2)) AS t "
+         f"FROM v_tree) x WHERE t <> '' AND {_TIP_LABEL} <> '')")
 
 
 def _merged(spark, sf):

@@ -8,6 +8,19 @@ def test_tree_tips_skip_inner_labels_and_replace_spaces(spark):
     assert sorted(r.tip for r in FT.tree_tips(t).collect()) == ["a", "b_c", "d", "e"]
 
 
+def test_tree_tips_quoted_labels(spark):
+    import duckdb
+    from longtab.plans import catalog
+    nwk = "(('a,b':1,'it''s x'),c_d,'(q)')'in,(ner)':2,(e)'x,(y)';"
+    t = spark.createDataFrame([(nwk,)], "newick string")
+    got = sorted(r.tip for r in FT.tree_tips(t).collect())
+    assert got == ["(q)", "a,b", "c_d", "e", "it's_x"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v_tree (newick VARCHAR)")
+    con.execute("INSERT INTO v_tree VALUES (?)", [nwk])
+    assert sorted(r[0] for r in con.execute("SELECT tip FROM " + catalog._TIPS + " t").fetchall()) == got
+
+
 def test_tree_filter_and_removed_partition_the_features(spark):
     table = spark.createDataFrame([("s1", "a", 1.0), ("s1", "z", 2.0), ("s2", "b_c", 3.0)],
                                   "sample_id string, feature_id string, value double")
