@@ -52,8 +52,8 @@ def merge_ranked(tables: DataFrame, merge_type: str) -> DataFrame:
 
 # Fixed pattern: a label right after ``(`` or ``,`` (group 2), unquoted or single-quoted with
 # ``''`` for a quote; the second branch swallows quoted inner-node labels so their text is
-# never read as tips.
-TIP_PATTERN = r"([(,])('(?:[^']|'')*'|[^(),:;']+)|'(?:[^']|'')*'"
+# never read as tips; the third swallows ``[...]`` comments.
+TIP_PATTERN = r"([(,])('(?:[^']|'')*'|[^(),:;'\[]+)|'(?:[^']|'')*'|\[[^\]]*\]"
 
 
 def tip_label(raw: Column) -> Column:

@@ -11,7 +11,7 @@ def test_tree_tips_skip_inner_labels_and_replace_spaces(spark):
 def test_tree_tips_quoted_labels(spark):
     import duckdb
     from longtab.plans import catalog
-    nwk = "(('a,b':1,'it''s x'),c_d,'(q)')'in,(ner)':2,(e)'x,(y)';"
+    nwk = "(('a,b':1,'it''s x'),c_d[&n=1]:3,'(q)')'in,(ner)':2,(e)'x,(y)'[&c,(z)];"
     t = spark.createDataFrame([(nwk,)], "newick string")
     got = sorted(r.tip for r in FT.tree_tips(t).collect())
     assert got == ["(q)", "a,b", "c_d", "e", "it's_x"]
