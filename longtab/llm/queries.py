@@ -74,8 +74,8 @@ ORACLE: dict[str, str] = {
     "op5_embed_dedup": r"""
 WITH RECURSIVE ok AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND label IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
-    AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 pairs AS (
   SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
@@ -99,16 +99,16 @@ goal AS (SELECT source, source_size, least(cap::DOUBLE, met * w) AS target,
   FROM levels CROSS JOIN met),
 places AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY
     greatest(length(bin(size)) - 4, 0) * 16 + (size >> greatest(length(bin(size)) - 4, 0)),
-    md5(coalesce(doc_id::VARCHAR, '')), doc_id, size) AS at FROM sized),
+    md5(coalesce(doc_id::VARCHAR, '')), doc_id, size) AS nth FROM sized),
 rates AS (SELECT p.*, g.source_size, g.target, g.shift, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate
   FROM places p JOIN goal g ON p.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
-  (least(floor(at * rate + shift) - floor((at - 1) * rate + shift), 2) * size)::BIGINT AS taken FROM rates""",
+  (least(floor(nth * rate + shift) - floor((nth - 1) * rate + shift), 2) * size)::BIGINT AS taken FROM rates""",
     "op9_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, sha1(body) AS h FROM p),
 f AS (SELECT h, min(page_id) AS first_id FROM d GROUP BY h)
-SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), i ->
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(d.h, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '')
     AS payload_digest,
   CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
