@@ -29,7 +29,7 @@ from longtab.llm.common import WORD
 from longtab.session import cut_lineage
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2, (5, 2, 1), "mix"
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 1000
 
 
 def word_count(text: str) -> Column:
