@@ -32,6 +32,17 @@ def hashed_sample(df: DataFrame, key: str, bound: int, seed: str) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(bound)
 
 
+def hashed_texts(df: DataFrame, text: str, bound: int, seed: str) -> DataFrame:
+    """At most ``bound`` distinct texts, those with the smallest hashes: ``(text)``.
+
+    The hashes are ranked without the texts; only texts at or below the last rank's hash move, each once
+    (copies meet in a pre-aggregation), so what is gathered does not grow with the input."""
+    keyed = df.select(F.col(text).alias("text"), F.xxhash64(F.lit(seed), F.col(text)).alias("hash"))
+    last = keyed.select("hash").distinct().orderBy("hash").limit(bound).agg(F.max("hash")).first()[0]
+    near = keyed.where(F.col("hash") <= (last if last is not None else 0))
+    return near.groupBy("hash").agg(F.first("text").alias("text")).orderBy("hash").limit(bound).select("text")
+
+
 def by_chars(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of consecutive texts holding about ``limit`` characters (one text at least)."""
     a, size = 0, 0

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from longtab.llm import boosting
-from longtab.llm.common import hashed_sample, map_batches, texts_of
+from longtab.llm.common import hashed_texts, map_batches, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 # Bounds of the training sample: documents, and characters of a document that may be in it.
@@ -194,8 +194,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     """Fit on a bounded sample (``sample_docs`` rows of at most SAMPLE_CHARS characters)."""
     short = docs.select(F.col(f"`{text_col}`").alias("t")).where(
         F.col("t").isNotNull() & (F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike("[0-9@]"))
-    keyed = short.select("t", F.xxhash64("t").alias("h"))
-    texts = [r.t for r in hashed_sample(keyed, "h", sample_docs, "pii").collect()]
+    texts = [r.text for r in hashed_texts(short, "t", sample_docs, "pii").collect()]
     rows = training_rows(texts)
     out = []
     for k in range(len(KINDS)):
