@@ -32,7 +32,7 @@ from longtab.llm.common import map_batches, texts_of
 from longtab.session import cut_lineage
 
 CAPACITY = 2048
-CHUNK_ROWS = 2000
+CHUNK_ROWS = 500
 # Search bounds of the branch-and-bound; the incumbent stands when they are reached.
 NODES, FILLINGS, STEPS = 6000, 4, 160
 
