@@ -43,7 +43,8 @@ class Model:
 
 @dataclass
 class Chains:
-    words: Words
+    words: Words | None     # positions of the tokens, where they are asked for
+    doc: np.ndarray         # text of every token
     feats: np.ndarray       # [tokens, FIELDS]
     seq: np.ndarray         # first token of every sentence
     size: np.ndarray        # tokens of every sentence
@@ -66,7 +67,17 @@ def chains(texts: list[str]) -> Chains:
     cols = [word, affix_hash(w, 3), affix_hash(w, 4), affix_hash(w, 5), affix_hash(w, 4, suffix=True), before, after,
             np.zeros(n, dtype=np.uint64)]
     feats = np.stack([bucket(c, i + 1, BITS) for i, c in enumerate(cols)], axis=1).astype(np.int32)
-    return Chains(w, feats, new, size)
+    return Chains(w, w.doc, feats, new, size)
+
+
+def sample_chains(texts: list[str]) -> Chains:
+    """``chains`` of a sample, slice by slice: only tokens' features stay in memory, no characters."""
+    parts, tokens = [], 0
+    for a, b in by_chars(texts):
+        c = chains(texts[a:b])
+        parts.append((c.doc + a, c.feats, c.seq + tokens, c.size))
+        tokens += len(c.feats)
+    return Chains(None, *(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 
 def messages(c: Chains, em: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +114,7 @@ def marginals(c: Chains, model: Model) -> np.ndarray:
 
 def _evidence(c: Chains, p: np.ndarray, n_docs: int) -> np.ndarray:
     """Per document: 1, log(1 + expected toxic tokens), strongest token's probability, share of toxic tokens."""
-    doc = c.words.doc
+    doc = c.doc
     total = np.bincount(doc, p, n_docs)
     top = np.zeros(n_docs)
     np.maximum.at(top, doc, p)
@@ -112,7 +123,7 @@ def _evidence(c: Chains, p: np.ndarray, n_docs: int) -> np.ndarray:
 
 def token_labels(c: Chains, toxic: np.ndarray) -> np.ndarray:
     """1 for tokens of toxic documents whose word, prefix or suffix occurs mostly in toxic documents."""
-    doc, out = c.words.doc, np.zeros(len(c.words.doc), bool)
+    doc, out = c.doc, np.zeros(len(c.doc), bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     for f in range(5):
         pair = np.unique(doc.astype(np.int64) << 32 | c.feats[:, f])
@@ -125,12 +136,12 @@ def token_labels(c: Chains, toxic: np.ndarray) -> np.ndarray:
     return out & toxic[doc]
 
 
-def _part(c: Chains, pick: np.ndarray) -> Chains:
-    """The sentences ``pick`` as a table of their own."""
+def _part(c: Chains, pick: np.ndarray) -> tuple[Chains, np.ndarray]:
+    """The sentences ``pick`` as a table of their own, and where their tokens were."""
     size = c.size[pick]
     first = np.cumsum(size) - size
     at = np.repeat(c.seq[pick] - first, size) + np.arange(size.sum())
-    return Chains(c.words, c.feats[at], first, size), at
+    return Chains(None, c.doc[at], c.feats[at], first, size), at
 
 
 def fit_field(c: Chains, y: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +194,7 @@ def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model
         return Model(np.zeros(1 << BITS), np.zeros((2, 2)), np.array([np.log((base + 1e-4) / (1 - base + 1e-4)), 0, 0, 0]), base)
     half = np.arange(len(texts)) % 2 == 0
     half = half if toxic[half].any() and not toxic[half].all() else np.ones(len(texts), bool)
-    c = chains([t for t, h in zip(texts, half, strict=True) if h])
+    c = sample_chains([t for t, h in zip(texts, half, strict=True) if h])
     weight, trans = fit_field(c, token_labels(c, toxic[half]))
     model = Model(weight, trans, np.zeros(4), base)
     rest = ~half if toxic[~half].any() and not toxic[~half].all() else half
