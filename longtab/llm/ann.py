@@ -138,7 +138,9 @@ def shards(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         return pd.DataFrame([{"dim": pdf["dim"].iloc[0], "shard": pdf["shard"].iloc[0], "nodes": len(x), "entry": entry,
                               "ids": ids[order].tobytes(), "first": first.astype(np.int64).tobytes(), "vectors": x.tobytes(),
                               "graph": graph.astype(np.int32).tobytes()}])
-    return dealt.select("vec_id", "embedding", "dim", "shard").groupBy("dim", "shard").applyInPandas(
+    # a shard is much work for few bytes: partitions by number, which are not merged by size
+    tasks = 4 * max(1, total.agg(F.sum("shards")).first()[0] or 0)
+    return dealt.select("vec_id", "embedding", "dim", "shard").repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(
         run, "dim int, shard int, nodes int, entry int, ids binary, first binary, vectors binary, graph binary")
 
 
