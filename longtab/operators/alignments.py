@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
-from ..session import broadcast_if_small
 
 SAM_FIELDS = ("read_id", "flag", "ref_id", "pos", "mapq", "cigar")
 
@@ -90,7 +89,7 @@ def min_filter(aln: DataFrame, min_identity: float, min_aligned: float = 0.0) ->
 
 def attach_lengths(aln: DataFrame, lengths: DataFrame, how: str = "inner") -> DataFrame:
     """REL5: reference length per alignment (the SAM header is stripped, so it comes from a table)."""
-    return aln.join(broadcast_if_small(lengths.select("ref_id", "length")), "ref_id", how)
+    return aln.join(lengths.select("ref_id", "length"), "ref_id", how)
 
 
 def sam_text(aln: DataFrame) -> DataFrame:

@@ -48,10 +48,10 @@ def failures(status: DataFrame) -> DataFrame:
 
 
 def outcome_by_suffix(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """SRC19: classify output files: ``*.fastq.gz`` written reads, other ``*.fastq*`` kept as is."""
+    """SRC19: classify output files: ``*.fastq.gz`` is the input copied unchanged, ``*.fastq`` the trimmed reads."""
     p = F.col(path_col)
-    return files.withColumn("outcome", F.when(p.endswith("fastq.gz"), "trimmed")
-                            .when(p.contains(".fastq"), "unchanged").otherwise("other"))
+    return files.withColumn("outcome", F.when(p.endswith(".fastq.gz"), "unchanged")
+                            .when(p.endswith(".fastq"), "trimmed").otherwise("other"))
 
 
 def sample_audit(per_sample: DataFrame, expected: DataFrame, outcome_col: str = "outcome") -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from . import intervals as IV
 from ..functions import cigar as C
-from ..session import broadcast_if_small
 
 
 def contig_depth(aln: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -26,7 +25,7 @@ def contig_depth(aln: DataFrame, lengths: DataFrame) -> DataFrame:
     per = (aln.filter(F.col("ref_id") != "*")
               .groupBy("sample_id", "ref_id")
               .agg(F.sum(span).alias("_bases"), F.count("*").alias("read_count")))
-    return (per.join(broadcast_if_small(lengths.select("ref_id", "length")), "ref_id")
+    return (per.join(lengths.select("ref_id", "length"), "ref_id")
                .select("sample_id", F.col("ref_id").alias("contig_id"),
                        F.when(F.col("length") > 0, F.col("_bases") / F.col("length")).alias("mean"),
                        "read_count"))
@@ -41,7 +40,7 @@ def genome_depth(aln: DataFrame, lengths: DataFrame, lo: float = 0.05, hi: float
     keys = ["sample_id", "ref_id"]
     a = C.with_alignment_coords(aln.filter(F.col("ref_id") != "*"))
     runs = IV.depth_runs(a, keys, chunk=chunk)
-    L = broadcast_if_small(lengths.select("ref_id", "length"))
+    L = lengths.select("ref_id", "length")
     stats = IV.depth_stats(runs, L, keys, lo, hi)
     counts = a.groupBy(*keys).agg(F.countDistinct("read_id").alias("read_count"))
     return (stats.join(counts, keys)
@@ -72,7 +71,7 @@ def consolidate(intervals: DataFrame, lengths: DataFrame, chunk: int = IV.DEFAUL
     intervals) and the per-sample figure beside it.
 
     Output: ``sample_id`` (``'*'`` for the all-sample row), ref_id, covered, length, fraction."""
-    L = broadcast_if_small(lengths.select("ref_id", "length"))
+    L = lengths.select("ref_id", "length")
     per_sample = intervals.groupBy("sample_id", "ref_id").agg(
         F.sum(F.col("stop") - F.col("start")).alias("covered"))
     pooled = (IV.merge_intervals(intervals, ["ref_id"], chunk=chunk)

@@ -22,15 +22,18 @@ def ranks_for(merge_type: str) -> tuple[str, ...]:
     try:
         return MERGE_RANKS[merge_type.lower()]
     except KeyError:
-        raise ValueError(f"Type '{merge_type}' not supported") from None
+        raise ValueError(f"unknown merge type {merge_type!r}; known: {sorted(MERGE_RANKS)}") from None
 
 
 def merge_tables(tables: DataFrame, table_col: str = "table_id") -> DataFrame:
     """SET1: union of per-table COO rows along samples.  Tables without rows or with an
-    all-zero total contribute nothing; (sample, feature) values are summed, which is the
-    identity when sample sets are disjoint (check with ``duplicate_samples``)."""
-    return (tables.groupBy("sample_id", "feature_id").agg(F.sum("value").alias("value"))
-                  .filter(F.col("value") != 0))
+    all-zero total contribute nothing.  Sample sets must be disjoint: a sample of several tables is
+    left out (``duplicate_samples`` reports it as a row), never added up."""
+    m = tables.groupBy("sample_id", "feature_id").agg(
+        F.sum("value").alias("value"), F.min(table_col).alias("_lo"), F.max(table_col).alias("_hi"))
+    clash = (m.groupBy("sample_id").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+              .filter(F.col("_lo") != F.col("_hi")).select("sample_id"))
+    return m.join(clash, "sample_id", "left_anti").filter(F.col("value") != 0).select("sample_id", "feature_id", "value")
 
 
 def duplicate_samples(tables: DataFrame, table_col: str = "table_id") -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
 
 def build_lookup(prep: DataFrame, key: str = "run_prefix", value: str = "sample_name",
@@ -43,7 +42,7 @@ def match_files(files: DataFrame, lookup: DataFrame, name_col: str = "file_name"
     cands = F.concat(exact, _cut_prefixes(name, "_", 1), _cut_prefixes(name, ".", 2), every)
     keyed = files.select(name_col).distinct()
     ex = keyed.select(name_col, F.explode(cands).alias("c")).select(name_col, "c.tier", "c.pre", "c.rk")
-    lk = broadcast_if_small(lookup.select(F.col("run_prefix").alias("pre"), "sample_id", "ord"))
+    lk = lookup.select(F.col("run_prefix").alias("pre"), "sample_id", "ord")
     hit = ex.join(lk, "pre")
     rank = F.struct(F.col("tier"), F.when(F.col("tier") == 3, F.col("ord")).otherwise(F.col("rk")))
     best = hit.groupBy(name_col).agg(F.min_by(F.struct("sample_id", "tier"), rank).alias("_b"))

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import intervals as IV
-from ..session import broadcast_if_small
 
 
 def split_counts(hits: DataFrame, feature_col: str, read_col: str = "read_id",
@@ -55,17 +54,16 @@ def gene_profile(aln: DataFrame, genes: DataFrame, **kw) -> DataFrame:
     return split_counts(read_gene_hits(aln, genes, **kw), "gene_id")
 
 
-def collapse(table: DataFrame, mapping: DataFrame, divide: bool = False, checked: bool = False) -> DataFrame:
+def collapse(table: DataFrame, mapping: DataFrame, divide: bool = False) -> DataFrame:
     """AGG3 / REL7: move counts from source features to target features.
 
     Each target gets the full count (``divide=True`` splits it evenly); features with no
-    mapping are dropped.  The map is broadcast only after its size is checked (``checked=True``:
-    the caller already proved it and marked it).
+    mapping are dropped.  Whether the map is broadcast is up to the session's byte threshold.
     """
     m = mapping.select(F.col("source").alias("feature_id"), F.col("target"))
     if divide:
         m = m.withColumn("_k", F.count("*").over(Window.partitionBy("feature_id")))
-    joined = table.join(m if checked else broadcast_if_small(m), "feature_id")
+    joined = table.join(m, "feature_id")
     val = F.col("value") / F.col("_k") if divide else F.col("value")
     return (joined.groupBy("sample_id", F.col("target").alias("feature_id"))
                   .agg(F.sum(val).alias("value")))
@@ -80,7 +78,7 @@ PUBLISHED_RANKS = ("none", "per-gene", "ko", "ec", "pathway")
 def functional_tables(gene_table: DataFrame, maps: DataFrame) -> dict[str, DataFrame]:
     """All collapsed ranks, each stage reading the previous (rounded) table lazily."""
     out = {"gene": gene_table}
-    mb = broadcast_if_small(maps)           # one size proof for all five maps; the hint survives the filters
+    mb = maps
     for name, src, map_name in FUNCTION_CHAIN:
-        out[name] = collapse(out[src], mb.filter(F.col("map") == map_name), checked=True)
+        out[name] = collapse(out[src], mb.filter(F.col("map") == map_name))
     return out

@@ -18,12 +18,10 @@ from pyspark.sql.window import Window
 
 from ..functions import names as NM
 from . import alignments as A
-from ..session import broadcast_if_small
 
 # Fixed values (our definitions).
 ADAPTER_WINDOW = 60          # bases searched at each read end beyond the adapter length
 ADAPTER_MISMATCHES = 2       # Hamming mismatches allowed in an adapter hit
-PEEK_READS = 10000           # reads looked at per sample when guessing adapters
 PEEK_MIN_SHARE = 0.01        # adapters seen in at least this share of peeked reads are kept
 MAX_ADAPTERS = 10000         # the adapter set is shipped inside the plan; refuse larger sets
 KMER = 21
@@ -223,19 +221,11 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, preset: str = "ASYMMETR
              .drop("hit5", "hit3"))
 
 
-def peek_reads(reads: DataFrame, n: int = PEEK_READS) -> DataFrame:
-    """The ``n`` reads per sample with the smallest ``xxhash64(read_id)``.  ``row_number <= n``
-    is planned as a per-partition group limit before the shuffle, so a huge sample ships at
-    most ``n`` rows per task."""
-    w = Window.partitionBy("sample_id").orderBy(F.xxhash64("read_id"), "read_id")
-    return reads.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-
-def peek_adapters(reads: DataFrame, adapters: DataFrame, n: int = PEEK_READS,
+def peek_adapters(reads: DataFrame, adapters: DataFrame,
                   min_share: float = PEEK_MIN_SHARE, window: int = ADAPTER_WINDOW,
                   mismatches: int = ADAPTER_MISMATCHES) -> DataFrame:
-    """SEQ2: adapters seen (at either end) in at least ``min_share`` of the peeked reads."""
-    p = find_adapters(peek_reads(reads, n), adapters, window, mismatches)
+    """SEQ2: adapters seen (at either end) in at least ``min_share`` of a sample's reads (all of them)."""
+    p = find_adapters(reads, adapters, window, mismatches)
     seen = p.select("sample_id", "read_id", F.explode(F.array_distinct(F.array_compact(
         F.array(F.col("hit5.id"), F.col("hit3.id"))))).alias("adapter_id"))
     tot = p.groupBy("sample_id").agg(F.count("*").alias("_n"))
@@ -272,9 +262,9 @@ def kmer_screen(reads: DataFrame, reference: DataFrame, k: int = KMER, min_share
     ``screened = shared / total >= min_share``.  Reads shorter than k are never screened."""
     rk = kmers(reads, ["sample_id", "read_id"], k)
     ref = kmers(reference, [], k).select("kmer").distinct()
-    # a proven-small reference set is broadcast, so the (much larger) read k-mers never shuffle;
-    # a large one goes through the planner's shuffle join (AQE splits skewed k-mers)
-    shared = rk.join(broadcast_if_small(ref), "kmer", "left_semi").groupBy("sample_id", "read_id").agg(
+    # the planner broadcasts the reference set below the session's byte threshold; a larger one is a
+    # shuffle join (AQE splits skewed k-mers)
+    shared = rk.join(ref, "kmer", "left_semi").groupBy("sample_id", "read_id").agg(
         F.count("*").alias("n_shared"))
     total = reads.select("sample_id", "read_id",
                          F.greatest(F.length("seq") - k + 1, F.lit(0)).cast("bigint").alias("n_kmers"))

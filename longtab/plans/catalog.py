@@ -323,12 +323,11 @@ def q_feature_merge(spark, sf):
 
 @register("feature_dups", """
 WITH t AS (SELECT table_id, sample_id FROM v_tables
-           UNION ALL SELECT 'syn' AS table_id, sample_id FROM v_syndna WHERE sample_id IN ('S1', 'S2'))
+           UNION ALL SELECT 'syn' AS table_id, sample_id FROM v_syndna)
 SELECT sample_id, count(DISTINCT table_id) AS n_tables FROM t GROUP BY sample_id HAVING count(DISTINCT table_id) > 1
 """)
 def q_feature_dups(spark, sf):
-    syn = (V.view(spark, sf, "v_syndna").filter(F.col("sample_id").isin("S1", "S2"))
-           .select(F.lit("syn").alias("table_id"), "sample_id"))
+    syn = V.view(spark, sf, "v_syndna").select(F.lit("syn").alias("table_id"), "sample_id")
     t = V.view(spark, sf, "v_tables").select("table_id", "sample_id").unionByName(syn)
     return FT.duplicate_samples(t).select("sample_id", "n_tables")
 
@@ -348,9 +347,13 @@ def q_tree_removed(spark, sf):
     return FT.tree_removed(_merged(spark, sf), _tips(spark, sf))
 
 
-@register("feature_pivot", f"PIVOT {_MERGED} ON sample_id USING sum(value) GROUP BY feature_id")
+_SAMPLES = [f"S{i}" for i in range(8)]        # the sample ids that the alignment views are built with
+
+
+@register("feature_pivot", "SELECT feature_id, " + ", ".join(
+    f"sum(value) FILTER (WHERE sample_id = '{s}') AS \"{s}\"" for s in _SAMPLES) + f" FROM {_MERGED} m GROUP BY feature_id")
 def q_feature_pivot(spark, sf):
-    return FT.to_wide(_merged(spark, sf))
+    return FT.to_wide(_merged(spark, sf), _SAMPLES)
 
 
 @register("empty_samples", """
@@ -608,20 +611,19 @@ def q_genome_score(spark, sf):
 @register("genome_id_map", """
 SELECT f.file_name, split_part(trim(f.file_name), '.fna', 1) AS file_stem, m.genome_id
 FROM v_genome_files f LEFT JOIN v_genome_meta m ON split_part(trim(f.file_name), '.fna', 1) = m.file_stem
-WHERE f.file_no % 5 = 2
 """)
 def q_genome_id_map(spark, sf):
-    files = V.view(spark, sf, "v_genome_files").filter(F.col("file_no") % 5 == 2)
+    files = V.view(spark, sf, "v_genome_files")
     return QL.map_genome_ids(files, V.view(spark, sf, "v_genome_meta")).select("file_name", "file_stem", "genome_id")
 
 
 @register("genome_id_dups", """
 SELECT m.genome_id, count(*) AS n_files
 FROM v_genome_files f JOIN v_genome_meta m ON split_part(trim(f.file_name), '.fna', 1) = m.file_stem
-WHERE f.file_no % 5 = 2 GROUP BY m.genome_id HAVING count(*) > 1
+GROUP BY m.genome_id HAVING count(*) > 1
 """)
 def q_genome_id_dups(spark, sf):
-    files = V.view(spark, sf, "v_genome_files").filter(F.col("file_no") % 5 == 2)
+    files = V.view(spark, sf, "v_genome_files")
     return QL.duplicate_genomes(QL.map_genome_ids(files, V.view(spark, sf, "v_genome_meta")))
 
 

@@ -1,4 +1,4 @@
-"""Session helpers: building a session, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: building a session, the shared checkpoint folder, lineage cuts."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may hold before we stop forcing a broadcast of it.  Past this the
-# join goes through a normal shuffle (sort-merge or shuffle-hash, AQE decides).
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "longtab") -> SparkSession:
@@ -37,29 +31,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we set a scratch folder.
+    Only a local session that names none (tests) gets a scratch folder; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="longtab-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Larger sides are returned as is,
-    so the join falls back to a shuffle join chosen by the planner.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def scan_partitions(spark: SparkSession, path: str) -> int:
     """Input splits of a plain file scan (a listing; no stage is executed)."""
     return spark.read.parquet(path).rdd.getNumPartitions()

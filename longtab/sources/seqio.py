@@ -133,8 +133,7 @@ def read_gfa(spark: SparkSession, paths) -> DataFrame:
     rows with ``operators.contigs.segments``."""
     t = spark.read.text(paths).select(F.split("value", "\t").alias("f"),
                                       F.col("_metadata.file_name").alias("file_name"))
-    return t.select("file_name", F.col("f")[0].alias("rec_type"), F.col("f")[1].alias("contig_id"),
-                    F.col("f")[2].alias("seq"))
+    return t.select("file_name", *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("rec_type", "contig_id", "seq"))])
 
 
 # --- SAM -----------------------------------------------------------------------------------------
@@ -142,15 +141,19 @@ SAM_COLUMNS = ("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "rnext", "pn
 
 
 def read_sam(spark: SparkSession, paths, keep_seq: bool = False) -> DataFrame:
-    """SAM text (header optional, gzip native) -> M5 alignments with the NM and MD tags."""
+    """SAM text (header optional, gzip native) -> M5 alignments with the NM and MD tags (null without them).
+
+    ``_bad`` marks rows with fewer than 11 fields or text in a numeric one; such cells are null."""
     t = (spark.read.text(paths).filter(~F.col("value").startswith("@"))
               .select(F.split("value", "\t").alias("f"), F.col("_metadata.file_name").alias("file_name")))
-    cols = [F.col("f")[i].alias(n) for i, n in enumerate(SAM_COLUMNS)]
-    tags = F.array_join(F.slice("f", 12, 1 << 20), "\t")
-    out = t.select("file_name", *cols, tags.alias("_tags"), (F.size("f") < 11).alias("_bad"))
-    out = (out.withColumn("flag", F.col("flag").cast("int")).withColumn("pos", F.col("pos").cast("bigint"))
-              .withColumn("mapq", F.col("mapq").cast("int"))
-              .withColumn("tag_nm", F.regexp_extract("_tags", r"(?:^|\t)NM:i:(-?\d+)", 1).cast("bigint"))
+    cols = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(SAM_COLUMNS)]
+    tags = F.array_join(F.slice("f", F.lit(12), F.greatest(F.size("f"), F.lit(1))), "\t")
+    number = lambda c: F.get("f", F.lit(SAM_COLUMNS.index(c))).try_cast("bigint")
+    bad = (F.size("f") < 11) | number("flag").isNull() | number("pos").isNull() | number("mapq").isNull()
+    out = t.select("file_name", *cols, tags.alias("_tags"), bad.alias("_bad"))
+    out = (out.withColumn("flag", F.col("flag").try_cast("int")).withColumn("pos", F.col("pos").try_cast("bigint"))
+              .withColumn("mapq", F.col("mapq").try_cast("int"))
+              .withColumn("tag_nm", F.regexp_extract("_tags", r"(?:^|\t)NM:i:(-?\d+)", 1).try_cast("bigint"))
               .withColumn("tag_md", F.nullif(F.regexp_extract("_tags", r"(?:^|\t)MD:Z:(\S+)", 1), F.lit("")))
               .drop("_tags", "rnext", "pnext", "tlen"))
     return out if keep_seq else out.drop("seq", "qual")

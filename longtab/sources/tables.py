@@ -5,9 +5,8 @@ All readers use explicit schemas (no inference) and read many files in one scan.
 
 from __future__ import annotations
 
-import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,17 +34,22 @@ def write_manifest(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").option("sep", "\t").option("header", "false").csv(path)
 
 
+def _after_first(arr: Column) -> Column:
+    """The elements after the first one, however many."""
+    return F.slice(arr, F.lit(2), F.greatest(F.size(arr), F.lit(1)))
+
+
 def read_prep(spark: SparkSession, paths) -> DataFrame:
     """SRC2: preparation table, header row, every column a string."""
     return _tsv(spark, header=True).option("inferSchema", "false").csv(paths)
 
 
 def read_quality(spark: SparkSession, paths) -> DataFrame:
-    """SRC7: quality table with a header (gzip read natively); numeric columns cast."""
+    """SRC7: quality table with a header (gzip read natively); numeric columns cast, text such as ``NA`` gives null."""
     q = _tsv(spark, header=True).csv(paths).withColumn("file_name", F.col("_metadata.file_name"))
     for c in ("Completeness", "Contamination", "Strain heterogeneity"):
         if c in q.columns:
-            q = q.withColumn(c, F.col(c).cast("double"))
+            q = q.withColumn(c, F.col(c).try_cast("double"))
     return q
 
 
@@ -61,11 +65,12 @@ def read_coords(spark: SparkSession, paths) -> DataFrame:
     blocks = spark.read.option("lineSep", "\n>").text(paths)
     b = blocks.select(F.regexp_replace("value", r"^>", "").alias("v"))
     b = b.select(F.trim(F.substring_index("v", "\n", 1)).alias("ref_id"),
-                 F.explode(F.slice(F.split("v", "\n"), 2, 1 << 30)).alias("line"))
+                 F.explode(_after_first(F.split("v", "\n"))).alias("line"))
     f = b.filter(F.trim("line") != "").select("ref_id", F.split("line", "\t").alias("f"))
-    a, z = F.col("f")[1].cast("bigint"), F.col("f")[2].cast("bigint")
-    return f.select("ref_id", F.col("f")[0].alias("gene_id"), (F.least(a, z) - 1).alias("start"),
-                    F.greatest(a, z).alias("stop"), F.when(a > z, "-").otherwise("+").alias("strand"))
+    a, z = (F.get("f", F.lit(i)).try_cast("bigint") for i in (1, 2))
+    both = a.isNotNull() & z.isNotNull()                  # short or textual lines keep their gene with null coordinates
+    return f.select("ref_id", F.col("f")[0].alias("gene_id"), F.when(both, F.least(a, z) - 1).alias("start"),
+                    F.when(both, F.greatest(a, z)).alias("stop"), F.when(a > z, "-").otherwise("+").alias("strand"))
 
 
 def read_map(spark: SparkSession, paths, name: str) -> DataFrame:
@@ -73,7 +78,7 @@ def read_map(spark: SparkSession, paths, name: str) -> DataFrame:
     t = spark.read.text(paths).filter(~F.col("value").startswith("#"))
     f = t.select(F.split("value", "\t").alias("f"))
     return f.select(F.lit(name).alias("map"), F.col("f")[0].alias("source"),
-                    F.explode(F.slice("f", 2, 1 << 30)).alias("target")).filter(F.col("target") != "")
+                    F.explode(_after_first(F.col("f"))).alias("target")).filter(F.col("target") != "")
 
 
 def read_lineage(spark: SparkSession, paths) -> DataFrame:
@@ -84,19 +89,15 @@ def read_lineage(spark: SparkSession, paths) -> DataFrame:
 
 def read_feature_tsv(spark: SparkSession, paths) -> DataFrame:
     """SRC12: wide feature x sample TSV (``#OTU ID`` header, optional ``# Constructed ...`` line)
-    -> COO rows.  Only the header line goes to the driver; the data rows are unpivoted in place
-    with ``posexplode`` against the header's sample names (zeros and blanks dropped)."""
-    lines = spark.read.text(paths).filter(~F.col("value").startswith("# "))
-    head = lines.filter(F.col("value").startswith("#")).first()
-    if head is None:
-        return spark.createDataFrame([], "sample_id string, feature_id string, value double")
-    samples = head["value"].split("\t")[1:]
-    names = F.array(*[F.lit(x) for x in samples])
-    f = lines.filter(~F.col("value").startswith("#")).select(F.split("value", "\t").alias("f"))
-    coo = f.select(F.col("f")[0].alias("feature_id"),
-                   F.posexplode(F.slice("f", 2, 1 << 30)).alias("_i", "_v"))
-    coo = coo.select(F.element_at(names, F.col("_i") + 1).alias("sample_id"), "feature_id",
-                     F.col("_v").cast("double").alias("value"))
+    -> COO rows.  Each file's own header names its columns (joined on the file's path; nothing goes to
+    the driver); zeros and blanks are dropped."""
+    lines = (spark.read.text(paths).filter(~F.col("value").startswith("# "))
+             .select("value", F.col("_metadata.file_path").alias("file_path")))
+    head = (lines.filter(F.col("value").startswith("#")).groupBy("file_path").agg(F.min("value").alias("head"))
+                 .select("file_path", _after_first(F.split("head", "\t")).alias("names")))
+    f = lines.filter(~F.col("value").startswith("#")).select("file_path", F.split("value", "\t").alias("f")).join(head, "file_path")
+    coo = f.select(F.col("f")[0].alias("feature_id"), "names", F.posexplode(_after_first(F.col("f"))).alias("_i", "_v"))
+    coo = coo.select(F.get("names", F.col("_i")).alias("sample_id"), "feature_id", F.col("_v").try_cast("double").alias("value"))
     return coo.filter(F.col("value").isNotNull() & (F.col("value") != 0))
 
 
@@ -122,7 +123,8 @@ def read_newick(spark: SparkSession, paths) -> DataFrame:
 def read_taxonomy(spark: SparkSession, required: str, optional: str | None = None) -> DataFrame:
     """SRC14: the required summary plus the optional one when it exists, matched by column name."""
     out = _tsv(spark, header=True).csv(required)
-    if optional and os.path.exists(optional[5:] if optional.startswith("file:") else optional):
+    path = optional and spark._jvm.org.apache.hadoop.fs.Path(optional)
+    if path and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         out = out.unionByName(_tsv(spark, header=True).csv(optional), allowMissingColumns=True)
     return out
 

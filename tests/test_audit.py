@@ -20,3 +20,8 @@ def test_job_outcome_all_unchanged_is_error(spark):
     assert AU.job_outcome(so).first().ok is False
     so2 = spark.createDataFrame([("a", "trimmed"), ("b", "unchanged")], "sample_id string, outcome string")
     assert AU.job_outcome(so2).first().ok is True
+
+
+def test_outcome_by_suffix(spark):
+    f = spark.createDataFrame([("a.fastq.gz",), ("a.fastq",), ("a.txt",)], "path string")
+    assert [r.outcome for r in AU.outcome_by_suffix(f).collect()] == ["unchanged", "trimmed", "other"]

@@ -36,7 +36,8 @@ def test_merge_keeps_totals_and_reports_duplicates(spark):
             ("t4", "s9", "a", 0.0)]
     t = spark.createDataFrame(rows, "table_id string, sample_id string, feature_id string, value double")
     merged = FT.merge_tables(t)
-    assert sum(r.value for r in merged.collect()) == 9.0
+    # s1 is in two tables: refused (reported below), not added up
+    assert [(r.sample_id, r.value) for r in merged.collect()] == [("s2", 5.0)]
     assert [(r.sample_id, r.n_tables) for r in FT.duplicate_samples(t).collect()] == [("s1", 2)]
     assert merged.filter("sample_id = 's9'").count() == 0        # all-zero table skipped
 

@@ -12,17 +12,10 @@ def _sequential(sk, score, k, s, thr):
         return 1 + math.log(2 * j / (1 + j)) / k if j > 0 else None
     reps, out = [], {}
     for g in order:
-        best = None
-        for r in reps:                         # reps are in rank order: first match is best-ranked
-            a = ani(g, r)
-            if a is not None and a >= thr:
-                best = r
-                break
-        if best is None:
+        if not any((ani(g, r) or 0) >= thr for r in reps):
             reps.append(g)
-            out[g] = g
-        else:
-            out[g] = best
+    for g in order:                            # members join the closest representative, ties to the better-ranked
+        out[g] = g if g in reps else max(reps, key=lambda r: (ani(g, r) or 0, -reps.index(r)))
     return out
 
 

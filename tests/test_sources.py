@@ -90,3 +90,26 @@ def test_prep_lineage_pooled_genomes_and_counts(spark, tmp_path):
     (tmp_path / "c.counts").write_text("IdxFirst\tCounts\tMean\n0\t5\t1\n1\t9\t2\n")
     c = TB.read_counts_last(spark, str(tmp_path / "c.counts")).first()
     assert c.counts == 9
+
+
+def test_readers_survive_bad_rows(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("@HD\tVN:1\nr1\t0\tc\t5\t60\t3=\t*\t0\t0\tACG\t*\n"
+                                    "r2\t0\tc\tx\t60\t3=\t*\t0\t0\tACG\t*\tNM:i:2\nr3\t4\n")
+    got = {r.read_id: r for r in SQ.read_sam(spark, str(tmp_path / "a.sam")).collect()}
+    assert got["r1"].tag_nm is None and not got["r1"]._bad
+    assert got["r2"]._bad and got["r2"].pos is None and got["r2"].tag_nm == 2
+    assert got["r3"]._bad and got["r3"].cigar is None
+    (tmp_path / "g.gfa").write_text("H\tVN:Z:1.0\nS\tc1\tACGT\n")
+    assert [(r.rec_type, r.seq) for r in SQ.read_gfa(spark, str(tmp_path / "g.gfa")).collect()] == [("H", None), ("S", "ACGT")]
+    (tmp_path / "q.tsv").write_text("Bin Id\tCompleteness\nb1\tNA\nb2\t9.5\n")
+    assert [r.Completeness for r in TB.read_quality(spark, str(tmp_path / "q.tsv")).orderBy("Bin Id").collect()] == [None, 9.5]
+    (tmp_path / "c.txt").write_text(">r1\ng1\t5\ng2\t9\t3\n")
+    assert [(r.gene_id, r.start, r.stop) for r in TB.read_coords(spark, str(tmp_path / "c.txt")).orderBy("gene_id").collect()] == [
+        ("g1", None, None), ("g2", 2, 9)]
+
+
+def test_feature_tsv_uses_each_files_own_header(spark, tmp_path):
+    (tmp_path / "1.tsv").write_text("#OTU ID\tS1\nf\t1\n")
+    (tmp_path / "2.tsv").write_text("#OTU ID\tS2\nf\t2\ng\t\n")
+    got = TB.read_feature_tsv(spark, [str(tmp_path / "1.tsv"), str(tmp_path / "2.tsv")])
+    assert sorted((r.sample_id, r.feature_id, r.value) for r in got.collect()) == [("S1", "f", 1.0), ("S2", "f", 2.0)]
