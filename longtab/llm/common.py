@@ -74,6 +74,14 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: s
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Working column names that clash with no column of ``df``."""
+    held, tail = {c.lower() for c in df.columns}, "_"
+    while any(n + tail in held for n in names):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def clipped(df: DataFrame, names: list[str]) -> DataFrame:
     """Only ``names``, in that order: extra columns, whatever they are called, don't matter."""
     return df.select(*[F.col(f"`{n}`") for n in names])

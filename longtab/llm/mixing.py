@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longtab.llm.common import WORD
+from longtab.llm.common import WORD, fresh
 from longtab.session import cut_lineage
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2, (5, 2, 1), "mix"
@@ -89,13 +89,14 @@ def decide(docs: DataFrame, share: float = SHARE, most: int = MOST, weights: tup
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, columns as they were."""
     cols = docs.columns
+    mix_key, total, alike, nth, copy = fresh(docs, "mix_key", "mix_of", "mix_alike", "mix_no", "mix_copy")
     key = lambda size: F.concat_ws(
         "|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), size,
         F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit(":"), "source")))
-    # "of" and "alike": copies for all rows of a key, and how many rows have it (one, unless rows repeat)
-    plan = decide(docs, **settings).select(key(F.col("size")).alias("mix_key"), "copies").groupBy("mix_key").agg(
-        F.sum("copies").alias("mix_of"), F.count(F.lit(1)).alias("mix_alike"))
-    rows = docs.withColumn("mix_key", key(word_count("text"))).join(plan, "mix_key").where("mix_of > 0")
-    no = F.row_number().over(Window.partitionBy("mix_key").orderBy(F.xxhash64("text")))
-    own = F.expr("int(mix_of div mix_alike + if(mix_no <= mix_of % mix_alike, 1, 0))")
-    return (rows.withColumn("mix_no", no).withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), own))).select(*cols))
+    # copies for all rows of a key, and how many rows have it (one, unless rows repeat)
+    plan = decide(docs, **settings).select(key(F.col("size")).alias(mix_key), "copies").groupBy(mix_key).agg(
+        F.sum("copies").alias(total), F.count(F.lit(1)).alias(alike))
+    rows = docs.withColumn(mix_key, key(word_count("text"))).join(plan, mix_key).where(F.col(total) > 0)
+    no = F.row_number().over(Window.partitionBy(mix_key).orderBy(F.xxhash64("text")))
+    own = F.expr(f"int({total} div {alike} + if({nth} <= {total} % {alike}, 1, 0))")
+    return rows.withColumn(nth, no).withColumn(copy, F.explode(F.array_repeat(F.lit(0), own))).select(*cols)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longtab.llm.common import map_batches, texts_of
+from longtab.llm.common import fresh, map_batches, texts_of
 from longtab.llm.components import components
 from longtab.session import cut_lineage
 
@@ -123,8 +123,9 @@ def one_per_group(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -
     """The rows of ``docs`` whose id is its group's smallest, once each, columns as they were.  Rows without an id
     cannot stand for a group and stay."""
     cols = docs.columns
-    best = (near_duplicates(docs, k, distance).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct())
-    held = docs.select(*cols).join(best, F.col("doc_id") == F.col("keep_id"))
-    rank = Window.partitionBy("keep_id").orderBy(F.xxhash64("text"))
-    once = held.withColumn("keep_no", F.row_number().over(rank)).where("keep_no = 1").select(*cols)
+    keep, no = fresh(docs, "keep_id", "keep_no")
+    best = near_duplicates(docs, k, distance).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    held = docs.join(best, F.col("doc_id") == F.col(keep))
+    rank = Window.partitionBy(keep).orderBy(F.xxhash64("text"))
+    once = held.withColumn(no, F.row_number().over(rank)).where(F.col(no) == 1).select(*cols)
     return once.unionByName(docs.where("doc_id is null"))

@@ -6,7 +6,7 @@ document counts as toxic if its word, prefix or suffix occurs mostly in toxic do
 the labelled sample).  The field's emissions are hashed words, prefixes and suffixes of the token and
 its neighbours' words, its transitions a 2 x 2 table; both are trained on the exact likelihood
 gradient.  Forward-backward marginals give each token's probability; a logistic layer over
-(expected toxic tokens, strongest token, share), fitted on the half of the sample that the field has
+(expected toxic tokens, strongest token, share), fitted on the quarter of the sample that the field has
 not seen, gives the document score; tokens at 0.5 or more are the offending offsets.
 
 Learns from a bounded hashed sample per class.  Null and empty texts have no token and get the
@@ -192,7 +192,7 @@ def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model
     base = float(toxic.sum() / max(1.0, toxic.sum() + clean_weight * (~toxic).sum()))
     if not len(texts) or toxic.all() or not toxic.any():
         return Model(np.zeros(1 << BITS), np.zeros((2, 2)), np.array([np.log((base + 1e-4) / (1 - base + 1e-4)), 0, 0, 0]), base)
-    half = np.arange(len(texts)) % 2 == 0
+    half = np.arange(len(texts)) % 4 != 0
     half = half if toxic[half].any() and not toxic[half].all() else np.ones(len(texts), bool)
     c = sample_chains([t for t, h in zip(texts, half, strict=True) if h])
     weight, trans = fit_field(c, token_labels(c, toxic[half]))
