@@ -143,9 +143,10 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """``labelled(text, lang)`` with non-null lang -> model.  N-gram and script counts are taken in tasks and
     summed by Spark; what comes back has languages x (table size) cells, whatever the input's size."""
     known = labelled.where("lang is not null and text is not null").select("lang", "text")
-    # a language's share is thinned by hash before anything moves; then copies merge and the bound is made exact
+    # thinned by hash before any text moves (one row per language is broadcast, as the model holds far more per
+    # language); then copies merge and the bound is made exact
     share = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(1.0) * sample_docs / F.count(F.lit(1))).alias("share"))
-    drawn = known.join(share, "lang").withColumn("h", F.xxhash64(F.lit("langid"), "text")).where(
+    drawn = known.join(F.broadcast(share), "lang").withColumn("h", F.xxhash64(F.lit("langid"), "text")).where(
         F.pmod("h", F.lit(1 << 40)) < F.col("share") * (1 << 40))
     once = drawn.groupBy("lang", "h").agg(F.first("text").alias("text"))
     rank = Window.partitionBy("lang").orderBy("h")
