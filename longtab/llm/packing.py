@@ -239,7 +239,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, chunk_rows: int = CHUNK_ROW
     at = slots(bin_completion(counts, capacity))
     chunks = by_length.select("length", F.ceil(F.col("n") / chunk_rows).alias("chunks"))
     rows = found.join(F.broadcast(chunks), "length").withColumn(   # bounded by the capacity
-        "chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.col("chunks"))).drop("chunks")
+        "chunk", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.col("chunks"))).drop("chunks")
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     start = rows.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n")).select(
         "length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_no"))
