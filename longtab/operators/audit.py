@@ -62,6 +62,13 @@ def sample_audit(per_sample: DataFrame, expected: DataFrame, outcome_col: str =
                     .select("sample_id", F.coalesce(F.col(outcome_col), F.lit("missing")).alias("outcome")))
 
 
+def table_audit(manifest: DataFrame, table: DataFrame) -> DataFrame:
+    """AGG16 for per-sample tables: expected samples with their number of rows; 'missing' without any."""
+    n = table.groupBy("sample_id").agg(F.count("*").alias("n_rows"))
+    return (manifest.select("sample_id").distinct().join(n, "sample_id", "left").fillna(0, ["n_rows"])
+                    .withColumn("outcome", F.when(F.col("n_rows") > 0, "ok").otherwise("missing")))
+
+
 def job_outcome(sample_outcomes: DataFrame) -> DataFrame:
     """One row: counts per outcome and the verdict.  All samples 'unchanged' is an error, as is
     any 'missing' or 'failed' sample."""

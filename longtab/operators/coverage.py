@@ -2,8 +2,7 @@
 
 Inputs are alignments that already carry half-open reference coordinates ``start, stop``
 (``functions.cigar.with_alignment_coords``).  Per-sample tables are keyed by
-``(sample_id, ref_id)``; a reference is a genome (one contig per genome in the profile data,
-or several contigs whose ids map to one genome via ``genome_col``).
+``(sample_id, ref_id)``; a reference is a genome, or a contig whose genome a table names.
 
 Zero rows: like the feature tables, results are sparse — a (sample, genome) pair with no
 passing alignment has no row.  Emitting every pair would be a samples x genomes product.
@@ -32,24 +31,45 @@ def contig_depth(aln: DataFrame, lengths: DataFrame) -> DataFrame:
 
 
 def genome_depth(aln: DataFrame, lengths: DataFrame, lo: float = 0.05, hi: float = 0.95,
-                 chunk: int = IV.DEFAULT_CHUNK) -> DataFrame:
+                 chunk: int = IV.DEFAULT_CHUNK, genomes: DataFrame | None = None, end_exclusion: int = 0) -> DataFrame:
     """AGG5: per (sample, genome): covered_bases, trimmed_mean, mean, length, read_count.
 
-    One depth-run pipeline feeds one histogram pass (``intervals.depth_stats``); the read count
-    is a separate partial aggregate over the same alignments."""
-    keys = ["sample_id", "ref_id"]
+    ``genomes(ref_id, genome_id)`` names the genome of each contig (without it a reference is a genome of
+    its own); depth runs are made per contig, their histogram per genome.  ``end_exclusion`` bases at both
+    ends of a contig count neither as covered nor as length.  One depth-run pipeline feeds one histogram
+    pass (``intervals.depth_stats``); the read count is a separate partial aggregate over the same alignments.
+    Alignments to a reference without a length are reported by ``unknown_references``."""
+    keys, e = ["sample_id", "genome_id"], end_exclusion
     a = C.with_alignment_coords(aln.filter(F.col("ref_id") != "*"))
-    runs = IV.depth_runs(a, keys, chunk=chunk)
+    runs = IV.depth_runs(a, ["sample_id", "ref_id"], chunk=chunk)
     L = lengths.select("ref_id", "length")
-    stats = IV.depth_stats(runs, L, keys, lo, hi)
+    names = (L.join(genomes.select("ref_id", "genome_id"), "ref_id") if genomes is not None
+             else L.withColumn("genome_id", F.col("ref_id")))
+    if e or genomes is not None:
+        runs = runs.join(names, "ref_id")
+        if e:
+            runs = (runs.withColumn("start", F.greatest("start", F.lit(e)))
+                        .withColumn("stop", F.least("stop", F.col("length") - e)).filter("stop > start"))
+        a = a.join(names.select("ref_id", "genome_id"), "ref_id")
+    else:
+        runs, a = runs.withColumnRenamed("ref_id", "genome_id"), a.withColumnRenamed("ref_id", "genome_id")
+    total = names.groupBy("genome_id").agg(
+        F.sum(F.greatest(F.col("length") - 2 * e, F.lit(0))).cast("bigint").alias("length"))
+    stats = IV.depth_stats(runs, total, keys, lo, hi)
     counts = a.groupBy(*keys).agg(F.countDistinct("read_id").alias("read_count"))
     return (stats.join(counts, keys)
-                 .select("sample_id", F.col("ref_id").alias("genome_id"), "covered_bases", "trimmed_mean",
+                 .select("sample_id", "genome_id", "covered_bases", "trimmed_mean",
                          F.when(F.col("length") > 0, F.col("depth_sum") / F.col("length"))
                           .otherwise(F.lit(0.0)).alias("mean"),
                          "length", "read_count"))
 
 
+def unknown_references(aln: DataFrame, lengths: DataFrame) -> DataFrame:
+    """References with alignments but no length: (sample_id, ref_id, n_alignments), the error rows of the depth tables."""
+    lost = aln.filter(F.col("ref_id") != "*").join(lengths.select("ref_id"), "ref_id", "left_anti")
+    return lost.groupBy("sample_id", "ref_id").agg(F.count("*").alias("n_alignments"))
+
+
 def coverage_summary(depth: DataFrame) -> DataFrame:
     """AGG6 / FLT14: ``mag_id, covered, length, percent_covered`` for length > 0.
 

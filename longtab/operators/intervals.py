@@ -69,8 +69,9 @@ def depth_runs(df: DataFrame, keys: list[str], start: str = "start", stop: str =
     +1/-1 edge events are pre-aggregated per position, then a running sum is computed per
     chunk and shifted by the exclusive prefix of chunk totals (parallel prefix sum)."""
     base = df.select(*keys, start, stop).filter(F.col(stop) > F.col(start))
-    ev = (base.select(*keys, F.col(start).alias("_p"), F.lit(1).alias("_d"))
-              .unionByName(base.select(*keys, F.col(stop).alias("_p"), F.lit(-1).alias("_d"))))
+    edges = F.array(F.struct(F.col(start).alias("_p"), F.lit(1).alias("_d")),
+                    F.struct(F.col(stop).alias("_p"), F.lit(-1).alias("_d")))
+    ev = base.select(*keys, F.inline(edges))            # one pass over the alignments
     ev = (ev.groupBy(*keys, "_p").agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0)
             .withColumn("_c", F.floor(F.col("_p") / chunk)))
     w = Window.partitionBy(*keys, "_c").orderBy("_p")

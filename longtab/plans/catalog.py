@@ -1054,3 +1054,100 @@ def q_src_quality(spark, sf):
               F.col("strain_heterogeneity").alias("Strain heterogeneity"))
       .write.option("sep", "\t").option("header", "true").option("compression", "gzip").csv(path))
     return TB.read_quality(spark, path).drop("file_name")
+
+
+# --- whole commands (PIPE1-PIPE4) and genomes of several contigs (AGG5) ------------------------
+from .. import pipelines as PL  # noqa: E402
+
+
+def _profile_command(spark, sf):
+    v = lambda name: V.view(spark, sf, name)
+    return PL.profile(v("v_align"), v("v_lengths"), v("v_genes"), v("v_maps"), v("v_manifest"),
+                      PROFILE_IDENTITY, PROFILE_COVERAGE)
+
+
+_GENOME_CTES = f"""
+pf AS (SELECT DISTINCT sample_id, read_id, ref_id FROM v_align WHERE {_FILTER} AND ref_id <> '*'),
+pk AS (SELECT sample_id, read_id, ref_id, count(*) OVER (PARTITION BY sample_id, read_id) AS k FROM pf),
+ps AS (SELECT sample_id, ref_id AS feature_id, round(sum(1.0::double / k), 9) AS v FROM pk GROUP BY sample_id, ref_id),
+genome AS (SELECT sample_id, feature_id, cast(round_even(v, 0) AS double) AS value FROM ps WHERE round_even(v, 0) <> 0)
+"""
+
+
+@register("pipe_profile", _GENE_PROFILE_SQL + "," + _GENOME_CTES + """
+SELECT 'none' AS rank, sample_id, feature_id, value FROM genome
+UNION ALL SELECT 'per-gene', sample_id, feature_id, value FROM gene
+UNION ALL SELECT 'ko', sample_id, feature_id, value FROM ko
+UNION ALL SELECT 'ec', sample_id, feature_id, value FROM ec
+UNION ALL SELECT 'pathway', sample_id, feature_id, value FROM pathway
+""")
+def q_pipe_profile(spark, sf):
+    return _profile_command(spark, sf)["table"]
+
+
+@register("pipe_profile_verdict", "WITH " + _GENOME_CTES.strip() + """,
+n AS (SELECT sample_id, count(*) AS n FROM genome GROUP BY sample_id)
+SELECT m.sample_id, coalesce(n.n, 0) AS n_rows, CASE WHEN coalesce(n.n, 0) > 0 THEN 'ok' ELSE 'missing' END AS outcome
+FROM v_manifest m LEFT JOIN n ON m.sample_id = n.sample_id
+""")
+def q_pipe_profile_verdict(spark, sf):
+    return _profile_command(spark, sf)["verdict"]
+
+
+@register("pipe_spikein_reads", ORACLE["reads_anti_host"])
+def q_pipe_spikein_reads(spark, sf):
+    hits = V.view(spark, sf, "v_read_hits")
+    out = PL.spikein(V.view(spark, sf, "v_reads"), hits.filter(F.col("ref_id") == "plasmid"),
+                     hits.filter(F.col("ref_id") == "host"), V.view(spark, sf, "v_syndna"), V.view(spark, sf, "v_manifest"))
+    return out["reads"].select("sample_id", "read_id")
+
+
+@register("pipe_adapter_verdict", _ADAPTERS_SQL + """,
+o AS (SELECT sample_id, sum(CASE WHEN outcome = 'trimmed' THEN 1 ELSE 0 END) > 0 AS cut FROM trimmed GROUP BY sample_id)
+SELECT count(*) AS n_samples, cast(sum(CASE WHEN cut THEN 1 ELSE 0 END) AS bigint) AS n_trimmed,
+       cast(sum(CASE WHEN cut THEN 0 ELSE 1 END) AS bigint) AS n_unchanged, cast(0 AS bigint) AS n_missing,
+       cast(0 AS bigint) AS n_failed, sum(CASE WHEN cut THEN 0 ELSE 1 END) < count(*) AS ok
+FROM o
+""")
+def q_pipe_adapter_verdict(spark, sf):
+    reads = V.view(spark, sf, "v_lima_reads")
+    out = PL.adapter_removal(reads, V.view(spark, sf, "v_adapter_files"), ADAPTER_SPEC, reads.select("sample_id"),
+                             ADAPTER_PRESET, mismatches=0)
+    return out["verdict"]
+
+
+_PASSED = ORACLE["binning_gate"].strip()
+
+
+@register("pipe_assembly_genomes", f"""
+WITH passed AS ({_PASSED})
+SELECT sample_id, sample_id || '_' || binner || '_' || bin_id AS genome_id, contig_id, 'MAG' AS kind FROM {_BEST} b
+WHERE sample_id IN (SELECT p.sample_id FROM passed p WHERE p.passed)
+UNION ALL
+SELECT sample_id, sample_id || '.' || contig_id AS genome_id, contig_id, kind FROM {_LCG} l WHERE kind = 'LCG'
+""")
+def q_pipe_assembly_genomes(spark, sf):
+    return PL.assembly(V.view(spark, sf, "v_gfa"), V.view(spark, sf, "v_bins"), SMALL_KIB, GATE_BYTES)["genomes"]
+
+
+_CONTIG_GENOMES = """SELECT ref_id, 'G' || cast(cast(substr(ref_id, 2) AS bigint) % 4 AS string) AS genome_id, length FROM v_lengths"""
+
+
+@register("contig_genome_depth", f"""
+WITH runs AS {Q.depth_runs(_REMAP, "sample_id, ref_id")},
+g AS ({_CONTIG_GENOMES}),
+tot AS (SELECT genome_id, cast(sum(length) AS bigint) AS length FROM g GROUP BY genome_id),
+st AS (SELECT r.sample_id, g.genome_id, sum(CASE WHEN depth > 0 THEN stop - start ELSE 0 END) AS covered_bases,
+              sum((stop - start) * depth) AS depth_sum FROM runs r JOIN g ON r.ref_id = g.ref_id GROUP BY r.sample_id, g.genome_id),
+cnt AS (SELECT r.sample_id, g.genome_id, count(DISTINCT read_id) AS read_count FROM {_REMAP} r JOIN g ON r.ref_id = g.ref_id
+        GROUP BY r.sample_id, g.genome_id)
+SELECT st.sample_id, st.genome_id, cast(st.covered_bases AS bigint) AS covered_bases,
+       round(st.depth_sum / tot.length, 6) AS mean, tot.length, cnt.read_count
+FROM st JOIN tot ON st.genome_id = tot.genome_id JOIN cnt ON st.sample_id = cnt.sample_id AND st.genome_id = cnt.genome_id
+""")
+def q_contig_genome_depth(spark, sf):
+    """AGG5 with several contigs per genome (every fourth reference belongs to the same genome)."""
+    lengths = V.view(spark, sf, "v_lengths")
+    genomes = lengths.select("ref_id", F.concat(F.lit("G"), (F.substring("ref_id", 2, 20).cast("bigint") % 4).cast("string")).alias("genome_id"))
+    d = COV.genome_depth(_remap_alignments(spark, sf), lengths, genomes=genomes)
+    return d.select("sample_id", "genome_id", "covered_bases", r6("mean").alias("mean"), "length", "read_count")
