@@ -1,3 +1,5 @@
+import random
+
 from longtab import pipelines as PL
 from longtab.operators import coverage as COV
 
@@ -64,3 +66,20 @@ def test_concat_leaves_out_ambiguous_genomes(spark):
     out = PL.concat(files, meta, records, words="plasmid", gap="N")
     assert [(r.genome_id, r.seq) for r in out["genomes"].collect()] == [("G1", "AANTT")]
     assert [r.file_name for r in out["unknown"].collect()] == ["w.fna"] and out["duplicates"].count() == 1
+
+
+def test_genome_table_gates_dereplicates_and_measures(spark):
+    rng = random.Random(1)
+    one, two = ("".join(rng.choices("ACGT", k=600)) for _ in range(2))
+    contigs = spark.createDataFrame([(1, "b1", "c1", 1, one[:300]), (1, "b1", "c2", 2, one[300:]), (2, "b1", "c3", 1, one[:300]),
+                                     (2, "b1", "c4", 2, one[300:]), (2, "b2", "c5", 1, two), (2, "b3", "c6", 1, two[::-1])],
+                                    "artifact_id int, genome_id string, contig_id string, ord int, seq string")
+    quality = spark.createDataFrame([(1, "b1", 90.0, 0.0, 0.0), (2, "b1", 80.0, 0.0, 0.0), (2, "b2", 70.0, 5.0, 0.0), (2, "b3", 40.0, 0.0, 0.0)],
+                                    "artifact_id int, bin_id string, completeness double, contamination double, strain_heterogeneity double")
+    aln = spark.createDataFrame([("a", "r1", 0, "c1", 1, 60, "100=", 0), ("a", "r2", 0, "c2", 1, 60, "50=", 0),
+                                 ("a", "r3", 0, "c3", 1, 60, "50=", 0)], ALN)
+    lengths = spark.createDataFrame([("c1", 300), ("c2", 300), ("c3", 300), ("c5", 600)], "ref_id string, length long")
+    out = PL.genome_table(quality, contigs, aln, lengths, k=15, s=200)
+    assert {r.genome_id: r.rep_id for r in out["clusters"].collect()} == {"1_b1": "1_b1", "2_b1": "1_b1", "2_b2": "2_b2"}
+    (r,) = out["depth"].collect()
+    assert (r.genome_id, r.covered_bases, r.length, r.read_count) == ("1_b1", 150, 600, 2)
