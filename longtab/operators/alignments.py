@@ -97,4 +97,6 @@ def sam_text(aln: DataFrame) -> DataFrame:
     nine = [F.col(c).cast("string") for c in SAM_FIELDS]
     rest = [F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"),
             F.concat(F.lit("NM:i:"), F.col("tag_nm").cast("string"))]
+    if "tag_md" in aln.columns:
+        rest.append(F.concat(F.lit("MD:Z:"), F.col("tag_md")))     # a null tag is left out
     return aln.select("sample_id", F.concat_ws("\t", *nine, *rest).alias("line"))

@@ -96,7 +96,8 @@ def q_genome_profile(spark, sf):
 @register("aln_slim", """
 SELECT sample_id, read_id || chr(9) || cast(flag AS varchar) || chr(9) || ref_id || chr(9) || cast(pos AS varchar)
        || chr(9) || cast(mapq AS varchar) || chr(9) || cigar || chr(9) || '*' || chr(9) || '0' || chr(9) || '0'
-       || chr(9) || '*' || chr(9) || '*' || chr(9) || 'NM:i:' || cast(tag_nm AS varchar) AS line
+       || chr(9) || '*' || chr(9) || '*' || chr(9) || 'NM:i:' || cast(tag_nm AS varchar)
+       || chr(9) || 'MD:Z:' || tag_md AS line
 FROM v_align WHERE NOT starts_with(read_id, '@')
 """)
 def q_aln_slim(spark, sf):
@@ -991,11 +992,11 @@ def q_src_gfa(spark, sf):
     return SQ.read_gfa(spark, path).select("rec_type", "contig_id", "seq")
 
 
-@register("src_sam", "SELECT read_id, flag, ref_id, pos, mapq, cigar, tag_nm FROM v_align")
+@register("src_sam", "SELECT read_id, flag, ref_id, pos, mapq, cigar, tag_nm, tag_md FROM v_align")
 def q_src_sam(spark, sf):
     path = _scratch(spark, "sam")
     SQ.write_sam_text(_aln(spark, sf), path)
-    return SQ.read_sam(spark, path).select("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "tag_nm")
+    return SQ.read_sam(spark, path).select("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "tag_nm", "tag_md")
 
 
 @register("src_manifest", _LOOKUP_SQL + """
