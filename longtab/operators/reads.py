@@ -25,6 +25,7 @@ ADAPTER_MISMATCHES = 2       # Hamming mismatches allowed in an adapter hit
 PEEK_MIN_SHARE = 0.01        # adapters seen in at least this share of peeked reads are kept
 MAX_ADAPTERS = 10000         # the adapter set is shipped inside the plan; refuse larger sets
 KMER = 21
+KMER_CHUNK = 1 << 16         # k-mers cut from one row at once; longer sequences go in overlapping pieces
 
 
 # --- spike-in and host removal -------------------------------------------------------------------
@@ -243,9 +244,11 @@ def sample_outcome(trimmed: DataFrame) -> DataFrame:
 
 
 # --- k-mer screen --------------------------------------------------------------------------------
-def kmers(df: DataFrame, id_cols: list[str], k: int = KMER, seq: str = "seq") -> DataFrame:
+def kmers(df: DataFrame, id_cols: list[str], k: int = KMER, seq: str = "seq", chunk: int = KMER_CHUNK) -> DataFrame:
     """All k-mers of whole sequences, as ASCII byte strings.
 
+    * A sequence is cut into pieces of ``chunk`` k-mers that overlap by k - 1 bases, one row each, so
+      no row holds all k-mers of a long contig.
     * The sequence is first projected to a binary column: substring on a binary value is O(k),
       on a UTF-8 string it walks from the start; and a lambda re-evaluates any outer
       expression per element, so the encode must not sit inside it.
@@ -253,8 +256,11 @@ def kmers(df: DataFrame, id_cols: list[str], k: int = KMER, seq: str = "seq") ->
       the parent sequence.  (Inputs arriving in very few partitions should be spread over the
       task slots first — ``session.spread``; the domain views do it.)"""
     b = df.filter(F.length(seq) >= k).select(*id_cols, F.encode(F.col(seq), "US-ASCII").alias("_b"))
-    arr = F.transform(F.sequence(F.lit(0), F.length("_b") - k), lambda i: F.substring(F.col("_b"), i + 1, k))
-    return b.select(*id_cols, F.explode(arr).alias("kmer"))
+    pieces = F.transform(F.sequence(F.lit(0), F.length("_b") - k, F.lit(chunk)),
+                         lambda i: F.substring(F.col("_b"), i + 1, chunk + k - 1))
+    c = b.select(*id_cols, F.explode(pieces).alias("_c"))
+    arr = F.transform(F.sequence(F.lit(0), F.length("_c") - k), lambda i: F.substring(F.col("_c"), i + 1, k))
+    return c.select(*id_cols, F.explode(arr).alias("kmer"))
 
 
 def kmer_screen(reads: DataFrame, reference: DataFrame, k: int = KMER, min_share: float = 0.1) -> DataFrame:

@@ -97,3 +97,12 @@ def test_kmer_screen_brute_force(spark):
     for _, rid, s in reads:
         ks = [s[i:i + k] for i in range(len(s) - k + 1)]
         assert got[rid] == (len(ks), sum(1 for x in ks if x in ref_k))
+
+
+def test_kmers_of_pieces_equal_those_of_the_whole(spark):
+    rnd = random.Random(8)
+    rows = [(f"r{n}", "".join(rnd.choice("ACGT") for _ in range(n))) for n in (0, 4, 5, 14, 15, 16, 333)]
+    df = spark.createDataFrame(rows + [("none", None)], "read_id string, seq string")
+    brute = sorted((r, s[i:i + 5].encode()) for r, s in rows for i in range(len(s) - 4))
+    for chunk in (1, 10, 1 << 16):
+        assert sorted((r.read_id, bytes(r.kmer)) for r in RD.kmers(df, ["read_id"], 5, chunk=chunk).collect()) == brute
