@@ -8,15 +8,32 @@ from pyspark.sql import functions as F
 from longtab.session import cut_lineage
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+# A node with more than 1 / HUBS of all links meets them by broadcast: there are fewer than HUBS such nodes.
+HUBS = 1000
+
+
+def _with_least(e: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """``e(u, v)`` plus m of ``least(u, m, n)``; the links of a hub, however many, stay in the tasks that hold them."""
+    hub = F.col("n") > rows / HUBS
+    hubs = F.broadcast(least.where(hub).drop("n"))
+    others = e.join(hubs.select("u"), "u", "left_anti").join(least.where(~hub).drop("n"), "u")
+    return e.join(hubs, "u").unionByName(others)
+
+
+def _least(e: DataFrame) -> DataFrame:
+    return e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+
+
+def _large_star(e: DataFrame, rows: int) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
+    return _with_least(both, least, 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    down = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small_star(e: DataFrame, rows: int) -> DataFrame:
+    """``rows``: as many as ``e`` has, or more."""
+    least = _least(e)
+    down = _with_least(e, least, rows).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return down.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -36,7 +53,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = cut_lineage(e, "links")
     sign = _sign(e)
     while True:
-        nxt = cut_lineage(_small_star(_large_star(e)), "links")
+        rows = sign[0]
+        nxt = cut_lineage(_small_star(_large_star(e, rows), rows), "links")
         now = _sign(nxt)
         if now == sign:
             return nxt.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -93,12 +93,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, light: int = LIGHT) -> DataF
 
     Light variants give every verified pair; dense ones give stars (same components, linear size)."""
     var = fps.select("fp", F.explode(_variants(distance)).alias("x")).select("fp", "x.slot", "x.part")
-    shared = (var.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("slot", "part"))).where("n > 1"))
-    shared = cut_lineage(shared, "variants")
+    by = Window.partitionBy("slot", "part")
+    # numbering with a bound is cut in the tasks before the shuffle: light + 1 rows tell a variant's few members or that it is dense
+    head = var.withColumn("no", F.row_number().over(by.orderBy("fp"))).where(F.col("no") <= light + 1)
+    shared = cut_lineage(head.withColumn("n", F.count(F.lit(1)).over(by)).where("n > 1"), "variants")
     few = shared.where(F.col("n") <= light).select("slot", "part", "fp")
     pairs = (few.select("slot", "part", F.col("fp").alias("u")).join(few.withColumnRenamed("fp", "v"), ["slot", "part"])
              .where((F.col("u") < F.col("v")) & (_apart("u", "v") <= distance)).select("u", "v"))
-    dense = shared.where(F.col("n") > light).select("fp").distinct()
+    crowded = shared.where((F.col("n") > light) & (F.col("no") == 1)).select("slot", "part")
+    dense = var.join(crowded, ["slot", "part"], "left_semi").select("fp").distinct()
     meet = dense.select("fp", F.explode(_flips(distance)).alias("at"))
     least = meet.groupBy("at").agg(F.min("fp").alias("u"), F.max("fp").alias("top")).where("u < top").select("at", "u")
     stars = meet.join(least, "at").where("u <> fp").select("u", F.col("fp").alias("v"))
