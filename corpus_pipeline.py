@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from longtab.llm import mixing, packing, pii, simhash, toxicity
 from longtab.llm.common import clipped, table
-from longtab.llm.queries import tokenizer_path
+from longtab.llm.queries import added_tokens, tokenizer_path
 from longtab.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and place."""
-    return packing.packed(clipped(docs, COLUMNS), tokenizer_path())
+    return packing.packed(clipped(docs, COLUMNS), tokenizer_path(), added=added_tokens())
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_duplicates), ("pii", redact_pii), ("mixing", mix_sources),

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -37,28 +38,41 @@ CHUNK_ROWS = 500
 NODES, FILLINGS, STEPS = 6000, 4, 160
 
 
+Added = tuple[tuple[str, int], ...]   # strings that are tokens of their own, with their ids
+
+
+@lru_cache(maxsize=2)
+def added_tokens(json_path: str) -> Added:
+    """The added tokens that a tokenizer file declares."""
+    with open(json_path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t[k] for t in found for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of {json_path} do not stand for their plain strings")
+    return tuple((t["content"], t["id"]) for t in found)
+
+
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str):
+def encoder(ranks_path: str, added: Added = ()):
     """Encoder of the vocabulary as ranks: the ids of the tokenizer file, several times faster (the tests compare them).
-    The special tokens' strings in a text are ordinary text."""
+    Only strings in ``added`` are tokens of their own; without it they are ordinary text."""
     import public_tokenizers
     import tiktoken
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
-def token_ids(text: str, ranks_path: str) -> np.ndarray:
+def token_ids(text: str, ranks_path: str, added: Added = ()) -> np.ndarray:
     """Ids of the text, then id 0."""
-    return np.array([*encoder(ranks_path).encode_ordinary(text), 0], dtype="<u4")
+    return np.array([*encoder(ranks_path, added).encode(text, allowed_special="all"), 0], dtype="<u4")
 
 
-def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, added: Added = ()) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for every piece of ``docs(doc_id, text)``."""
     def run(batch):
         of, cols = [], {n: [] for n in ("piece", "start", "length", "ids_crc32")}
         for i, t in enumerate(texts_of(batch)):
-            ids = token_ids(t, ranks_path)
+            ids = token_ids(t, ranks_path, added)
             first = len(ids) % capacity or capacity
             cuts = [0, *range(first, len(ids) + 1, capacity)]
             for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -261,5 +275,5 @@ def pack(found: DataFrame, capacity: int = CAPACITY, chunk_rows: int = CHUNK_ROW
     return numbered.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def packed(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack(cut_lineage(pieces(docs, ranks_path, capacity), "pieces"), capacity)
+def packed(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, added: Added = ()) -> DataFrame:
+    return pack(cut_lineage(pieces(docs, ranks_path, capacity, added), "pieces"), capacity)

@@ -18,6 +18,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def added_tokens() -> packing.Added:
+    """Strings that the tokenizer file makes tokens of their own, as it does when loaded (the ranks do not hold them)."""
+    import public_tokenizers
+    return packing.added_tokens(public_tokenizers.path(TOKENIZER.replace(".tiktoken", ".json")))
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return pii.find(docs, pii.train(docs))
@@ -29,7 +35,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+    return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), added=added_tokens())
 
 
 def op4_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:

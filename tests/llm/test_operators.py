@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import itertools
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -131,6 +132,22 @@ def test_tokens_equal_the_tokenizer_file():
         assert packing.token_ids(x, queries.tokenizer_path()).tolist() == [*t.encode(x, add_special_tokens=False).ids, 0]
 
 
+def test_packing_has_the_ids_of_the_tokenizer_file_as_it_loads(spark, tmp_path):
+    import public_tokenizers as P
+    import corpus_pipeline as CP
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "one doc.", "é", "'s", "12", "<|endoftext|><|endoftext|>"]
+    texts = ["one doc.<|endoftext|>next doc", *("".join(rng.choice(parts, rng.integers(1, 12))) for _ in range(500))]
+    want = {i: np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4") for i, x in enumerate(texts)}
+    assert want[0].tolist() == [505, 2205, 13, 50256, 19545, 2205, 0]
+    docs = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in enumerate(texts)], DOCS.split(", part")[0])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for rows in (queries.op3_packing(spark, str(tmp_path)).collect(), CP.pack_sequences(spark, docs, SF).collect()):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in want.items()}
+
+
 def optimum(items, cap):
     items = sorted(items, reverse=True)
     best = [len(items)]
