@@ -910,25 +910,37 @@ def q_src_taxonomy(spark, sf):
 # --- genome similarity and dereplication (SEQ4, SEQ5) ------------------------------------------
 from ..operators import similarity as SM  # noqa: E402
 
-SK_K, SK_S, DREP_ANI = 21, 64, 0.95
+# Parameters of the keys with small sketches; the other keys take the operator's own.
+SK_K, SK_S = 21, 64
 
-_SKETCH_SQL = f"""
-WITH km AS (SELECT genome_id, substr(seq, i + 1, {SK_K}) AS km
-            FROM (SELECT genome_id, seq, unnest(range(0, length(seq) - {SK_K} + 1)) AS i
-                  FROM v_drep_genomes WHERE length(seq) >= {SK_K}) x),
+
+def _sketch_sql(k: int, s: int) -> str:
+    return f"""
+WITH km AS (SELECT genome_id, substr(seq, i + 1, {k}) AS km
+            FROM (SELECT genome_id, seq, unnest(range(0, length(seq) - {k} + 1)) AS i
+                  FROM v_drep_genomes WHERE length(seq) >= {k}) x),
 hs AS (SELECT DISTINCT genome_id,
               ('0x' || substr(md5(least(km, reverse(translate(km, 'ACGT', 'TGCA')))), 1, 15))::bigint AS h FROM km),
 sk AS (SELECT genome_id, h FROM (SELECT *, row_number() OVER (PARTITION BY genome_id ORDER BY h) AS r FROM hs) y
-       WHERE r <= {SK_S})
+       WHERE r <= {s})
 """
 
 
-def _sketches(spark, sf):
-    return SM.sketches(V.view(spark, sf, "v_drep_genomes"), SK_K, SK_S, "md5")
+_SKETCH_SQL = _sketch_sql(SK_K, SK_S)
+_FULL_SKETCH_SQL = _sketch_sql(SM.SKETCH_K, SM.SKETCH_SIZE)
+
+
+def _sketches(spark, sf, k: int = SM.SKETCH_K, s: int = SM.SKETCH_SIZE):
+    return SM.sketches(V.view(spark, sf, "v_drep_genomes"), k, s, "md5")
 
 
 @register("genome_sketch", _SKETCH_SQL + "SELECT * FROM sk")
 def q_genome_sketch(spark, sf):
+    return _sketches(spark, sf, SK_K, SK_S)
+
+
+@register("genome_sketch_full", _FULL_SKETCH_SQL + "SELECT * FROM sk")
+def q_genome_sketch_full(spark, sf):
     return _sketches(spark, sf)
 
 
@@ -945,7 +957,7 @@ SELECT a, b, j, round(CASE WHEN j > 0 THEN 1 + ln(2 * j / (1 + j)) / {SK_K} END,
 """)
 def q_sketch_pairs(spark, sf):
     scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
-    e = SM.leader_edges(_sketches(spark, sf), scores, SK_K, SK_S)
+    e = SM.leader_edges(_sketches(spark, sf, SK_K, SK_S), scores, SK_K, SK_S)
     return e.select("a", "b", "j", r6("ani").alias("ani"))
 
 
@@ -953,7 +965,7 @@ def q_sketch_pairs(spark, sf):
 def q_dereplicate(spark, sf):
     """Greedy representatives and membership (checked against a sequential loop in the tests)."""
     scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
-    return SM.dereplicate(_sketches(spark, sf), scores, DREP_ANI, SK_K, SK_S)
+    return SM.dereplicate(_sketches(spark, sf), scores)
 
 
 # --- file sources: write a derived table with our sinks, read it back with our readers -------

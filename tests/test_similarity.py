@@ -53,3 +53,21 @@ def test_sketch_is_bottom_s_of_canonical_hashes(spark):
     want = sorted(r.h for r in hs.collect())[:s]
     got = sorted(r.h for r in SM.sketches(g, k, s, "xxhash64").collect())
     assert got == want
+
+
+def test_registered_queries_use_the_operators_parameters(spark, tmp_path):
+    import __spark_entry__ as E
+    rnd = random.Random(3)
+    base = [rnd.choice("ACGT") for _ in range(6000)]
+    rows = []
+    for i, changes in enumerate((0, 10, 160)):         # ANI to the first about 0.998 and 0.97
+        seq = list(base)
+        for p in rnd.sample(range(6000), changes):
+            seq[p] = {"A": "C", "C": "G", "G": "T", "T": "A"}[seq[p]]
+        rows.append((i, "".join(seq), "en", "a", 6000))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    sk = E.queries()["genome_sketch_full"](spark, str(tmp_path)).groupBy("genome_id").count().collect()
+    assert {r["count"] for r in sk} == {SM.SKETCH_SIZE} and len(sk) == 3
+    assert f"r <= {SM.SKETCH_SIZE}" in E.oracle_sql()["genome_sketch_full"]
+    got = {r.genome_id: r.rep_id for r in E.queries()["dereplicate"](spark, str(tmp_path)).collect()}
+    assert got["d2"] == "d2" and got["d0"] == got["d1"]
