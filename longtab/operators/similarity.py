@@ -120,9 +120,10 @@ def prefixes(sk: DataFrame, threshold: float, k: int = SKETCH_K, genome_col: str
     return r.filter(F.col("_r") <= keep).select(genome_col, "h")
 
 
-def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHOLD, k: int = SKETCH_K,
-                s: int = SKETCH_SIZE, genome_col: str = "genome_id", score_col: str = "score") -> DataFrame:
-    """SEQ5: ``(genome_id, rep_id, is_rep, ani, round)`` for every sketched genome that has a score."""
+def _settled(sk: DataFrame, scores: DataFrame, threshold: float, k: int, s: int, genome_col: str,
+             score_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Representatives and members, each ``(genome_id, round)``, and every pair ``(a, b, j, ani)`` of a member and a
+    representative at or above ``threshold`` with the representative's ``_score_neg``."""
     ensure_checkpoint_dir(sk.sparkSession)
     sk = cut_lineage(sk, "sketch")
     rank = cut_lineage(ranking(scores, genome_col, score_col).join(sk.select(genome_col).distinct(), genome_col), "rank")
@@ -148,8 +149,7 @@ def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHO
         if n >= before:
             raise RuntimeError(f"round {rnd} settled no genome")
     if not rnd:
-        return rank.select(genome_col, F.col(genome_col).alias("rep_id"), F.lit(True).alias("is_rep"),
-                           F.lit(None).cast("double").alias("ani"), F.lit(0).alias("round"))
+        reps, members = [left.withColumn("round", F.lit(0))], [left.withColumn("round", F.lit(0))]
     rep, mem = reps[0], members[0]
     for r, m in zip(reps[1:], members[1:]):
         rep, mem = rep.unionByName(r), mem.unionByName(m)
@@ -157,14 +157,33 @@ def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHO
     pairs = (pre.join(mem, genome_col, "left_semi").select("h", F.col(genome_col).alias("a")).join(rep_h, "h")
                 .select("a", "b").distinct())
     sim = edge_ani(pairs, sk, k, s, genome_col).filter(F.col("ani") >= threshold)
-    best = (sim.join(rank.select(F.col(genome_col).alias("b"), "_score_neg"), "b").groupBy("a")
-               .agg(F.min_by(F.struct("b", "ani"), F.struct((-F.col("ani")).alias("x"), "_score_neg", "b")).alias("_n")))
+    return rep, mem, sim.join(rank.select(F.col(genome_col).alias("b"), "_score_neg"), "b")
+
+
+def _closest(sim: DataFrame) -> DataFrame:
+    return sim.groupBy("a").agg(F.min_by(F.struct("b", "ani"), F.struct((-F.col("ani")).alias("x"), "_score_neg", "b")).alias("_n"))
+
+
+def dereplicate(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHOLD, k: int = SKETCH_K,
+                s: int = SKETCH_SIZE, genome_col: str = "genome_id", score_col: str = "score") -> DataFrame:
+    """SEQ5: ``(genome_id, rep_id, is_rep, ani, round)`` for every sketched genome that has a score."""
+    rep, mem, sim = _settled(sk, scores, threshold, k, s, genome_col, score_col)
+    best = _closest(sim)
     out = mem.join(best, mem[genome_col] == best["a"]).select(
         genome_col, F.col("_n.b").alias("rep_id"), F.lit(False).alias("is_rep"), F.col("_n.ani").alias("ani"), "round")
     return out.unionByName(rep.select(genome_col, F.col(genome_col).alias("rep_id"), F.lit(True).alias("is_rep"),
                                       F.lit(None).cast("double").alias("ani"), "round"))
 
 
+def representative_pairs(sk: DataFrame, scores: DataFrame, threshold: float = ANI_THRESHOLD, k: int = SKETCH_K,
+                         s: int = SKETCH_SIZE, genome_col: str = "genome_id", score_col: str = "score") -> DataFrame:
+    """SEQ4: ``(a, b, j, ani, is_member)``: every genome ``a`` with every representative ``b`` (of the
+    de-replication) at or above ``threshold``; ``is_member`` marks the one it joins."""
+    sim = cut_lineage(_settled(sk, scores, threshold, k, s, genome_col, score_col)[2], "pairs")
+    best = _closest(sim).select("a", F.col("_n.b").alias("_rep"))
+    return sim.join(best, "a").select("a", "b", "j", "ani", (F.col("b") == F.col("_rep")).alias("is_member"))
+
+
 def ani_to_j(ani: float, k: int = SKETCH_K) -> float:
     """Inverse of the Mash estimate (for choosing thresholds)."""
     d = 1.0 - ani

@@ -961,6 +961,37 @@ def q_sketch_pairs(spark, sf):
     return e.select("a", "b", "j", r6("ani").alias("ani"))
 
 
+@register("genome_pairs", _FULL_SKETCH_SQL + f""",
+size AS (SELECT genome_id, count(*) AS n FROM sk GROUP BY genome_id),
+near AS (SELECT x.genome_id AS a, y.genome_id AS b FROM sk x JOIN sk y ON x.h = y.h AND x.genome_id <> y.genome_id
+         JOIN size ON size.genome_id = x.genome_id GROUP BY x.genome_id, y.genome_id, size.n
+         HAVING count(*) >= {SM.ani_to_j(SM.ANI_THRESHOLD, SM.SKETCH_K) / 2} * size.n),
+u AS (SELECT a, b, h, max(in_a) AS in_a, max(in_b) AS in_b FROM (
+        SELECT near.a, near.b, sk.h, 1 AS in_a, 0 AS in_b FROM near JOIN sk ON sk.genome_id = near.a
+        UNION ALL SELECT near.a, near.b, sk.h, 0, 1 FROM near JOIN sk ON sk.genome_id = near.b) z GROUP BY a, b, h),
+low AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY h) AS r FROM u) q WHERE r <= {SM.SKETCH_SIZE}),
+j AS (SELECT a, b, sum(in_a * in_b) / count(*) AS j FROM low GROUP BY a, b),
+sim AS (SELECT a, b, j, 1 + ln(2 * j / (1 + j)) / {SM.SKETCH_K} AS ani FROM j
+        WHERE j > 0 AND 1 + ln(2 * j / (1 + j)) / {SM.SKETCH_K} >= {SM.ANI_THRESHOLD}),
+rk AS (SELECT genome_id, row_number() OVER (ORDER BY score DESC, genome_id) AS no FROM v_drep_genomes WHERE genome_id IN (SELECT genome_id FROM sk)),
+nb AS (SELECT rk.no, any_value(rk.genome_id) AS genome_id, coalesce(list(other.no) FILTER (WHERE other.no < rk.no), []) AS better
+       FROM rk LEFT JOIN sim ON sim.a = rk.genome_id LEFT JOIN rk other ON other.genome_id = sim.b GROUP BY rk.no),
+reps AS (WITH RECURSIVE walk AS (
+           SELECT 0::BIGINT AS no, []::BIGINT[] AS reps
+           UNION ALL SELECT nb.no, CASE WHEN list_has_any(nb.better, walk.reps) THEN walk.reps ELSE list_append(walk.reps, nb.no) END
+           FROM walk JOIN nb ON nb.no = walk.no + 1)
+         SELECT unnest(reps) AS no FROM (SELECT reps FROM walk ORDER BY no DESC LIMIT 1) w),
+found AS (SELECT sim.*, row_number() OVER (PARTITION BY a ORDER BY ani DESC, rk.no) AS nth
+          FROM sim JOIN rk ON rk.genome_id = sim.b JOIN reps ON reps.no = rk.no)
+SELECT a, b, j, round(ani, 6) AS ani, nth = 1 AS is_member FROM found
+""")
+def q_genome_pairs(spark, sf):
+    """Genomes with every representative at or above the threshold; the oracle compares all pairs and walks the ranking."""
+    scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
+    p = SM.representative_pairs(_sketches(spark, sf), scores)
+    return p.select("a", "b", "j", r6("ani").alias("ani"), "is_member")
+
+
 @register("dereplicate")
 def q_dereplicate(spark, sf):
     """Greedy representatives and membership (checked against a sequential loop in the tests)."""

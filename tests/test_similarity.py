@@ -71,3 +71,41 @@ def test_registered_queries_use_the_operators_parameters(spark, tmp_path):
     assert f"r <= {SM.SKETCH_SIZE}" in E.oracle_sql()["genome_sketch_full"]
     got = {r.genome_id: r.rep_id for r in E.queries()["dereplicate"](spark, str(tmp_path)).collect()}
     assert got["d2"] == "d2" and got["d0"] == got["d1"]
+
+
+def test_pairs_hold_every_representative_at_or_above_the_threshold(spark):
+    rnd = random.Random(7)
+    base = "".join(rnd.choice("ACGT") for _ in range(900))
+    rows = []
+    for i in range(30):                                # windows that slide over one sequence: several representatives are near
+        seq = "".join(ch if rnd.random() > 0.002 else rnd.choice("ACGT") for ch in base[i * 12:i * 12 + 500])
+        rows.append((f"g{i:02d}", seq, float(rnd.randint(0, 9))))
+    g = spark.createDataFrame(rows, "genome_id string, seq string, score double")
+    scores, (k, s, thr) = g.select("genome_id", "score"), (15, 64, 0.985)
+    sk_df = SM.sketches(g, k, s, "xxhash64").cache()
+    sk = {}
+    for r in sk_df.collect():
+        sk.setdefault(r.genome_id, set()).add(r.h)
+    rep_of = _sequential(sk, {r[0]: r[2] for r in rows}, k, s, thr)
+    want = {}
+    for a in sk:
+        for b in set(rep_of.values()) - {a}:
+            u = sorted(sk[a] | sk[b])[:s]
+            j = sum(1 for h in u if h in sk[a] and h in sk[b]) / len(u)
+            if j > 0 and 1 + math.log(2 * j / (1 + j)) / k >= thr:
+                want[a, b] = (j, rep_of[a] == b)
+    got = {(r.a, r.b): (r.j, r.is_member) for r in SM.representative_pairs(sk_df, scores, thr, k, s).collect()}
+    assert got == want and len(want) > sum(m for _, m in want.values()) > 0
+    edges = {(r.a, r.b) for r in SM.leader_edges(sk_df, scores, k, s).collect()}
+    assert set(want) - edges                           # what the leaders' edges alone miss
+    assert SM.representative_pairs(sk_df.limit(0), scores, thr, k, s).count() == 0 == SM.dereplicate(sk_df.limit(0), scores, thr, k, s).count()
+
+
+def test_registered_pairs_match_the_oracle_over_all_pairs(spark):
+    import duckdb
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = con.execute(E.oracle_sql()["genome_pairs"]).fetchall()
+    got = E.queries()["genome_pairs"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and want
