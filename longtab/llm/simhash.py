@@ -54,12 +54,12 @@ def fingerprint(text: str, k: int = SHINGLE, seed: int = SEED) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit form of every row's fingerprint."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE, *more: str) -> DataFrame:
+    """(doc_id, fp): the signed 64-bit form of every row's fingerprint; ``more`` long columns are carried on."""
     def run(batch):
         fp = np.array([fingerprint(t, k) for t in texts_of(batch)], dtype=np.uint64).view(np.int64)
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(fp)}
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+        return {n: batch.column(n) for n in ("doc_id", *more)} | {"fp": pa.array(fp)}
+    return map_batches(docs.select("doc_id", "text", *more), run, ", ".join(f"{n} long" for n in ("doc_id", *more, "fp")))
 
 
 def _variants(distance: int) -> Column:
@@ -108,27 +108,35 @@ def links(fps: DataFrame, distance: int = DISTANCE, light: int = LIGHT) -> DataF
     return pairs.unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs(doc_id, text)``."""
-    prints = cut_lineage(fingerprints(docs, k), "fingerprints")
+def _grouped(docs: DataFrame, k: int, distance: int, *more: str) -> DataFrame:
+    """(doc_id, ``more``, fp, component, component_id) for every row; ``component`` is a fingerprint, one for each group,
+    while groups with rows of one repeated id may have the same ``component_id``."""
+    prints = cut_lineage(fingerprints(docs, k, *more), "fingerprints")
     nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     comp = components(links(nodes.select("fp"), distance))
     least = comp.groupBy("node").agg(F.min("component").alias("component"))
     named = nodes.join(least.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     ids = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_print = named.join(ids, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
+    by_print = named.join(ids, "component").select("fp", "component", "component_id")
+    return prints.join(by_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs(doc_id, text)``."""
+    return _grouped(docs, k, distance).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id is its group's smallest, once each, columns as they were.  Rows without an id
-    cannot stand for a group and stay."""
+    """One row of ``docs`` for every group, of those with the group's smallest id; columns as they were.  Groups of unlike
+    texts that share an id keep a row each.  Rows without an id cannot stand for a group and stay."""
     cols = docs.columns
-    keep, no = fresh(docs, "keep_id", "keep_no")
-    best = near_duplicates(docs, k, distance).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    held = docs.join(best, F.col("doc_id") == F.col(keep))
-    rank = Window.partitionBy(keep).orderBy(F.xxhash64("text"))
+    keep, mark, no = fresh(docs, "keep_id", "keep_mark", "keep_no")
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))   # tells the rows of a repeated id apart
+    best = (_grouped(marked, k, distance, "mark").where("doc_id = component_id").groupBy("component", "component_id")
+            .agg(F.min("mark").alias(mark)).select(F.col("component_id").alias(keep), mark))
+    held = docs.join(best, (F.col("doc_id") == F.col(keep)) & (F.xxhash64("text") == F.col(mark)))
+    rank = Window.partitionBy(keep, mark).orderBy(F.xxhash64("text"))
     once = held.withColumn(no, F.row_number().over(rank)).where(F.col(no) == 1).select(*cols)
     return once.unionByName(docs.where("doc_id is null"))

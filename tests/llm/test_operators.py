@@ -272,6 +272,14 @@ def test_simhash_components(spark, odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_one_row_stays_of_every_group_when_ids_repeat(spark):
+    one, two, three = ("alpha beta gamma delta " * 9, "one two three four five " * 9, "red green blue white " * 9)
+    rows = [(1, one), (1, two), (1, two), (2, two), (3, one), (4, three), (4, one), (5, three), (5, "lone words in here"), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.text) for r in simhash.one_per_group(docs).collect()))
+    assert got == sorted([(1, one), (1, two), (4, three), (5, "lone words in here"), (0, one)])
+
+
 @pytest.mark.parametrize("light", [2, 16])
 def test_simhash_links_equal_all_pairs(spark, light):
     rng = np.random.default_rng(6)
