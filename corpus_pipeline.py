@@ -47,7 +47,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_duplicates), ("pii", redact_pii), ("mixing", mix_sources),
           ("packing", pack_sequences)]
 
-# Learned models and approximate packing are beyond SQL; tests hold the stages against brute-force versions.
+# Learned models and approximate packing are beyond SQL; tests hold the operators against brute-force versions, the stages
+# only by columns and row counts.
 ORACLE_SQL = None
 
 
