@@ -6,7 +6,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     keys = list(E.queries())
-    assert "pipeline" in keys and all(sum(k.startswith(f"op{n}_") for k in keys) == 1 for n in range(1, 11))
+    assert "pipeline" in keys and all(sum(k.startswith(f"op{n}_") for k in keys) == 1 for n in range(1, 14))
 
 
 def test_stages_keep_columns_and_pack_everything(spark):
