@@ -45,41 +45,78 @@ _HEAD = struct.Struct("<IBHH")   # smallest id, width, ids, exceptions
 _FOOT = struct.Struct("<QQQQQ8s")  # place of documents, of index; documents, ids, blocks; magic
 
 
-def _width(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs."""
-    return np.where(values > 0, np.floor(np.log2(np.maximum(values, 1))).astype(np.int64) + 1, 0)
-
-
-def pack_block(ids: np.ndarray, share: float = SHARE) -> bytes:
-    """One block: header, low bits, positions and high bits of the exceptions."""
-    low = int(ids.min())
-    rest = (ids - low).astype("<u4")
-    at = min(len(rest) - 1, int(np.ceil(share * len(rest))) - 1)
-    width = int(np.partition(rest, at)[at]).bit_length()
-    far = np.flatnonzero(rest >> width) if width < 32 else np.zeros(0, np.int64)
-    bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little", count=width) if width else rest[:0]
-    return b"".join((_HEAD.pack(low, width, len(ids), len(far)), np.packbits(bits, bitorder="little").tobytes() if width else b"",
-                     far.astype("<u2").tobytes(), (rest[far] >> width).astype("<u4").tobytes()))
-
-
-def unpack_block(raw: bytes, at: int = 0) -> np.ndarray:
-    """The ids of the block at ``at``."""
-    low, width, n, far = _HEAD.unpack_from(raw, at)
-    at += _HEAD.size
-    size = -(-n * width // 8)
-    rest = np.zeros((n, 32), np.uint8)
-    if width:
-        rest[:, :width] = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), bitorder="little", count=n * width).reshape(n, width)
-    ids = np.packbits(rest, axis=1, bitorder="little").view("<u4").ravel()
-    at += size
-    if far:
-        where = np.frombuffer(raw, "<u2", far, at)
-        ids[where] += np.frombuffer(raw, "<u4", far, at + 2 * far) << width
-    return ids + np.uint32(low)
+def _packed(rest: np.ndarray, width: int) -> np.ndarray:
+    """[blocks, n] values of ``width`` bits -> [blocks, width, lanes] words; 32 rows of lanes become ``width`` rows of words."""
+    lanes = -(-rest.shape[1] // 32)
+    rows = np.zeros((len(rest), 32 * lanes), "<u4")
+    rows[:, :rest.shape[1]] = rest
+    if width < 32:
+        rows &= np.uint32((1 << width) - 1)
+    rows = rows.reshape(len(rest), 32, lanes)
+    out = np.zeros((len(rest), width, lanes), "<u4")
+    for r in range(32 if width else 0):
+        word, off = divmod(r * width, 32)
+        out[:, word] |= rows[:, r] << np.uint32(off)
+        if off + width > 32:
+            out[:, word + 1] |= rows[:, r] >> np.uint32(32 - off)
+    return out
+
+
+def _unpacked(words: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The inverse of ``_packed``."""
+    out = np.zeros((len(words), 32, words.shape[2]), "<u4")
+    for r in range(32 if width else 0):
+        word, off = divmod(r * width, 32)
+        out[:, r] = words[:, word] >> np.uint32(off)
+        if off + width > 32:
+            out[:, r] |= words[:, word + 1] << np.uint32(32 - off)
+    if width < 32:
+        out &= np.uint32((1 << width) - 1)
+    return out.reshape(len(words), -1)[:, :n]
+
+
+def pack_blocks(ids: np.ndarray, share: float = SHARE) -> list[bytes]:
+    """Blocks [blocks, n] of ids: each a header, low bits, positions and high bits of the exceptions."""
+    n = ids.shape[1]
+    low = ids.min(axis=1)
+    rest = (ids - low[:, None]).astype("<u4")
+    at = min(n - 1, int(np.ceil(share * n)) - 1)
+    width = np.array([int(x).bit_length() for x in np.partition(rest, at, axis=1)[:, at]])
+    out: list[bytes] = [b""] * len(ids)
+    for w in np.unique(width).tolist():
+        of = np.flatnonzero(width == w)
+        words = _packed(rest[of], w)
+        high = rest[of] >> np.uint32(w) if w < 32 else np.zeros((len(of), n), "<u4")
+        for k, i in enumerate(of.tolist()):
+            far = np.flatnonzero(high[k])
+            out[i] = b"".join((_HEAD.pack(int(low[i]), w, n, len(far)), words[k].tobytes(), far.astype("<u2").tobytes(), high[k][far].tobytes()))
+    return out
+
+
+def unpack_blocks(raw: bytes, starts: list[int]) -> np.ndarray:
+    """The ids of the blocks at ``starts``, one after the other."""
+    heads = [_HEAD.unpack_from(raw, at) for at in starts]
+    first = np.cumsum([0, *[h[2] for h in heads]])
+    out = np.empty(int(first[-1]), "<u4")
+    alike: dict[tuple[int, int], list[int]] = {}
+    for i, (_, width, n, _) in enumerate(heads):
+        alike.setdefault((width, n), []).append(i)
+    for (width, n), of in alike.items():
+        lanes = -(-n // 32)
+        words = [np.frombuffer(raw, "<u4", width * lanes, starts[i] + _HEAD.size) for i in of]
+        ids = _unpacked(np.concatenate(words).reshape(len(of), width, lanes), width, n)
+        for k, i in enumerate(of):
+            low, _, _, far = heads[i]
+            at = starts[i] + _HEAD.size + 4 * width * lanes
+            row = ids[k]
+            if far:
+                row[np.frombuffer(raw, "<u2", far, at)] |= np.frombuffer(raw, "<u4", far, at + 2 * far) << np.uint32(width)
+            out[first[i]:first[i + 1]] = row + np.uint32(low)
+    return out
 
 
 class Writer:
-    """Writes one file; holds a block of ids and the tables of documents and blocks."""
+    """Writes one file; holds a window of blocks and the tables of documents and blocks."""
 
     def __init__(self, out, block: int = BLOCK, share: float = SHARE) -> None:
         self.out, self.block, self.share = out, block, share
@@ -93,21 +130,24 @@ class Writer:
         self.lengths.append(len(ids))
         self.held.append(ids)
         self.size += len(ids)
-        if self.size >= self.block:
-            self._blocks(self.size // self.block * self.block)
-
-    def _blocks(self, upto: int) -> None:
-        ids = np.concatenate(self.held) if len(self.held) > 1 else self.held[0]
-        for a in range(0, upto, self.block):
-            raw = pack_block(ids[a:min(a + self.block, upto)], self.share)
-            self.starts.append(self.at)
-            self.out.write(raw)
-            self.at += len(raw)
-        self.held, self.size = ([ids[upto:]], len(ids) - upto) if upto < len(ids) else ([], 0)
+        if self.size >= WINDOW * self.block:
+            self._blocks()
+
+    def _blocks(self, last: bool = False) -> None:
+        """Write the whole blocks that are held, a window at a time, and the rest too if it is the last."""
+        ids = np.concatenate(self.held)
+        whole = len(ids) // self.block * self.block
+        cuts = [ids[a:min(a + WINDOW * self.block, whole)].reshape(-1, self.block) for a in range(0, whole, WINDOW * self.block)]
+        for blocks in [*cuts, *([ids[whole:].reshape(1, -1)] if last and whole < len(ids) else [])]:
+            for raw in pack_blocks(blocks, self.share):
+                self.starts.append(self.at)
+                self.out.write(raw)
+                self.at += len(raw)
+        self.held, self.size = [ids[whole:]], len(ids) - whole
 
     def close(self) -> None:
         if self.size:
-            self._blocks(self.size)
+            self._blocks(last=True)
         docs, index = self.at, self.at + 17 * len(self.docs)
         self.out.write(np.array([i is None for i in self.docs], np.uint8).tobytes())
         self.out.write(np.array([i or 0 for i in self.docs], "<i8").tobytes())
@@ -135,7 +175,7 @@ class Reader:
         """Ids of blocks [a, b)."""
         first = int(self.starts[a])
         raw = self.source.read_at(int(self.starts[b]) - first, first)
-        return np.concatenate([unpack_block(raw, int(s) - first) for s in self.starts[a:b]])
+        return unpack_blocks(raw, (self.starts[a:b] - first).tolist())
 
     def ids_between(self, a: int, b: int) -> np.ndarray:
         """Ids at positions [a, b) of the file, reading only the blocks that hold them."""

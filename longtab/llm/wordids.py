@@ -16,6 +16,7 @@ import numpy as np
 
 BREAK = "\ue000"                      # private-use character that stands between runs in one call
 RUNS, CORES, CALL = 400_000, 600_000, 4000
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")     # letters that every step keeps as letters: one word with one end
 _TAIL = re.compile(r"(.*[A-Za-z])([.,]+)\Z", re.S)
 
 
@@ -27,6 +28,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.lowers = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.mark = self._plain(BREAK)
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = self.tokenizer.model.end_of_word_suffix or ""
+        self.ends = np.zeros(max(words.values()) + 1, bool)      # ids that end a word
+        if suffix:
+            self.ends[[i for w, i in words.items() if w.endswith(suffix)]] = True
         self.most_runs, self.most_cores = runs, cores
         self.runs: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -35,24 +41,33 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _learn(self, new: list[str]) -> None:
-        """Ids of runs without blanks, encoded in calls of many runs with a mark between them."""
-        odd = [w for w in new if BREAK in w]
-        for w in odd:
-            self.cores[w] = self._plain(w).tobytes()
-        plain = [w for w in new if BREAK not in w] if odd else new
-        width = len(self.mark)
-        for i in range(0, len(plain), CALL):
-            part = plain[i:i + CALL]
-            ids = self._plain(f" {BREAK} ".join(part))
-            hit = np.ones(max(0, len(ids) - width + 1), bool)
+        """Ids of runs without blanks, many in a call: words are told apart by ids that end a word, others by a mark between them."""
+        words, others = [], []
+        for w in new:
+            (words if _WORD.fullmatch(w) else others).append(w)
+        if not self.ends.any():
+            words, others = [], new
+        for i in range(0, len(words), CALL):
+            ids = self._plain(" ".join(words[i:i + CALL]))
+            at = np.flatnonzero(self.ends[ids]) + 1
+            self._keep(words[i:i + CALL], ids, np.r_[0, at[:-1]], at)
+        for w in others:
+            if BREAK in w:
+                self.cores[w] = self._plain(w).tobytes()
+        others = [w for w in others if BREAK not in w]
+        for i in range(0, len(others), CALL):
+            ids = self._plain(f" {BREAK} ".join(others[i:i + CALL]))
+            hit = np.ones(max(0, len(ids) - len(self.mark) + 1), bool)
             for k, m in enumerate(self.mark):
                 hit &= ids[k:k + len(hit)] == m
             at = np.flatnonzero(hit)
-            if len(at) != len(part) - 1:
-                raise ValueError("the tokenizer joins runs that white space parts")
-            raw = ids.tobytes()
-            first, last = [0, *((at + width) * 4).tolist()], [*(at * 4).tolist(), len(raw)]
-            self.cores.update(zip(part, map(raw.__getitem__, map(slice, first, last)), strict=True))
+            self._keep(others[i:i + CALL], ids, np.r_[0, at + len(self.mark)], np.r_[at, len(ids)])
+
+    def _keep(self, runs: list[str], ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        if len(first) != len(runs):
+            raise ValueError("the tokenizer joins or parts runs unlike white space does")
+        raw = ids.tobytes()
+        self.cores.update(zip(runs, map(raw.__getitem__, map(slice, (4 * first).tolist(), (4 * last).tolist())), strict=True))
 
     def _core(self, run: str) -> tuple[str, str]:
         """The run without the full stops and commas behind a letter, lowered if that is all the same; and those."""
