@@ -29,6 +29,7 @@ from longtab.session import cut_lineage
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
 LIGHT = 16       # most fingerprints of a variant that are compared pair by pair; larger ones go the linear way
+CELLS = 1 << 18  # hash values that variants are sorted out by before they move
 SPACE = {i: 32 for i in (9, 10, 11, 12, 13)}
 LOWER = {i: i + 32 for i in range(65, 91)} | SPACE
 SLICE = 100_000  # shingles whose bits are counted at once
@@ -92,7 +93,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, light: int = LIGHT) -> DataF
     """Distinct ``fps(fp)`` -> edges (u, v) that join exactly the fingerprints reachable by links.
 
     Light variants give every verified pair; dense ones give stars (same components, linear size)."""
-    var = fps.select("fp", F.explode(_variants(distance)).alias("x")).select("fp", "x.slot", "x.part")
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    var = fps.repartition(tasks).select("fp", F.explode(_variants(distance)).alias("x")).select("fp", "x.slot", "x.part")
     by = Window.partitionBy("slot", "part")
     # numbering with a bound is cut in the tasks before the shuffle: light + 1 rows tell a variant's few members or that it is dense
     head = var.withColumn("no", F.row_number().over(by.orderBy("fp"))).where(F.col("no") <= light + 1)
@@ -101,7 +103,11 @@ def links(fps: DataFrame, distance: int = DISTANCE, light: int = LIGHT) -> DataF
     pairs = (few.select("slot", "part", F.col("fp").alias("u")).join(few.withColumnRenamed("fp", "v"), ["slot", "part"])
              .where((F.col("u") < F.col("v")) & (_apart("u", "v") <= distance)).select("u", "v"))
     crowded = shared.where((F.col("n") > light) & (F.col("no") == 1)).select("slot", "part")
-    dense = var.join(crowded, ["slot", "part"], "left_semi").select("fp").distinct()
+    # members of crowded variants: tasks test a hash of the variant against the crowded ones' (CELLS values at most), the few left move
+    cell = F.pmod(F.xxhash64("slot", "part"), F.lit(CELLS)).cast("int")
+    cells = crowded.select(cell.alias("cell")).distinct()
+    near = var.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi")
+    dense = near.join(crowded, ["slot", "part"], "left_semi").select("fp").distinct()
     meet = dense.select("fp", F.explode(_flips(distance)).alias("at"))
     least = meet.groupBy("at").agg(F.min("fp").alias("u"), F.max("fp").alias("top")).where("u < top").select("at", "u")
     stars = meet.join(least, "at").where("u <> fp").select("u", F.col("fp").alias("v"))
