@@ -15,7 +15,8 @@ class, md5 prefix as long as that class needs), chunk counts are summed up, and
 offset.  Order and offset depend on the data and a seed only, so reruns agree.
 
 Null text has size 0; a source without words has target 0 and takes nothing; null is a source of its own.
-Rows that repeat an id, source and size are alike and share the copies of their ranks.
+Rows that repeat an id, source and size are alike and share the copies of their ranks.  Other columns don't matter to
+the decision, whatever they are called; ``mixed`` carries them on.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from longtab.session import cut_lineage
 
 SHARE, MOST, WEIGHTS, SEED = 1.5, 2, (5, 2, 1), "mix"
 CHUNK_ROWS = 1000
+SALTS = 256              # lots that rows alike in id, source and size are spread over
 
 
 def word_count(text: str) -> Column:
@@ -56,47 +58,59 @@ def targets(sized: DataFrame, share: float = SHARE, most: int = MOST, weights: t
 
 
 def ranked(sized: DataFrame) -> DataFrame:
-    """``sized(doc_id, source, size)`` plus ``at``: the row's place (from 1) in its source's order."""
-    digits = F.length(F.bin("size"))
-    drop = F.greatest(digits - 4, F.lit(0))
-    rows = sized.withColumn("level", drop * 16 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))")).withColumn(
+    """``sized(no, doc_id, source, size)`` plus ``at``: the row's place (from 1) in its source's order; ``no`` is unique.
+
+    Rows alike in id, source and size are counted in ``SALTS`` lots, and lots are what chunks rank, each with its number of
+    rows: an id that a third of all rows share (or lack) is spread over its lots."""
+    same = (F.col("source").eqNullSafe(F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("size") == F.col("z"))
+            & (F.col("salt") == F.col("t")))
+    salted = sized.withColumn("salt", F.pmod(F.xxhash64("no"), F.lit(SALTS)).cast("int"))
+    lot = ["source", "doc_id", "size", "salt"]
+    drop = F.greatest(F.length(F.bin("size")) - 4, F.lit(0))
+    lots = salted.groupBy(*lot).agg(F.count(F.lit(1)).alias("held")).withColumn(
+        "level", drop * 16 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))")).withColumn(
         "key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    wide = rows.groupBy("source", "level").agg(F.count(F.lit(1)).alias("rows"))
-    need = F.greatest(F.lit(0), F.ceil(F.log(F.col("rows") / CHUNK_ROWS) / math.log(16))).cast("int")
+    wide = lots.groupBy("source", "level").agg(F.count(F.lit(1)).alias("lots"))
+    need = F.greatest(F.lit(0), F.ceil(F.log(F.col("lots") / CHUNK_ROWS) / math.log(16))).cast("int")
     wide = wide.select(F.col("source").alias("s"), F.col("level").alias("l"), need.alias("digits"))
-    part = rows.join(wide, F.col("source").eqNullSafe(F.col("s")) & (F.col("level") == F.col("l"))).withColumn(
+    part = lots.join(wide, F.col("source").eqNullSafe(F.col("s")) & (F.col("level") == F.col("l"))).withColumn(
         "part", F.expr("substring(key, 1, digits)")).drop("s", "l", "digits")
     chunk = ["source", "level", "part"]
     order = Window.partitionBy("source").orderBy("level", "part").rowsBetween(Window.unboundedPreceding, -1)
-    start = part.groupBy(*chunk).agg(F.count(F.lit(1)).alias("rows")).select(
+    start = part.groupBy(*chunk).agg(F.sum("held").alias("rows")).select(
         *[F.col(c).alias(f"c_{c}") for c in chunk], F.coalesce(F.sum("rows").over(order), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*chunk).orderBy("key", "doc_id", "size")
-    return (part.withColumn("no", F.row_number().over(inside))
-            .join(start, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("level") == F.col("c_level"))
-                  & (F.col("part") == F.col("c_part")))
-            .select("doc_id", "source", "size", (F.col("no") + F.col("start")).alias("at")))
+    inside = Window.partitionBy(*chunk).orderBy("key", "doc_id", "size", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    first = (part.withColumn("before", F.coalesce(F.sum("held").over(inside), F.lit(0)))
+             .join(start, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("level") == F.col("c_level"))
+                   & (F.col("part") == F.col("c_part")))
+             .select(*[F.col(c).alias(n) for c, n in zip(lot, "sdzt")], (F.col("before") + F.col("start")).alias("first")))
+    turn = F.row_number().over(Window.partitionBy(*lot).orderBy("no"))
+    return salted.withColumn("turn", turn).join(first, same).select(
+        "no", "doc_id", "source", "size", (F.col("first") + F.col("turn")).alias("at"))
 
 
 def decide(docs: DataFrame, share: float = SHARE, most: int = MOST, weights: tuple = WEIGHTS, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies) for every row of ``docs(doc_id, text, source)``."""
-    sized = cut_lineage(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    sized = cut_lineage(docs.select("doc_id", "source", word_count("text").alias("size"), F.monotonically_increasing_id().alias("no")), "sizes")
+    return _copies(sized, share, most, weights, seed).drop("no")
+
+
+def _copies(sized: DataFrame, share: float = SHARE, most: int = MOST, weights: tuple = WEIGHTS, seed: str = SEED) -> DataFrame:
+    """``decide`` for rows whose words are counted: ``sized(no, doc_id, source, size)``; ``no`` is carried on."""
     goal = targets(sized, share, most, weights, seed).withColumnRenamed("source", "goal_source")
     rows = ranked(sized).join(goal, F.col("source").eqNullSafe(F.col("goal_source")))
     crossed = F.floor(F.col("at") * F.col("rate") + F.col("shift")) - F.floor((F.col("at") - 1) * F.col("rate") + F.col("shift"))
-    return rows.select("doc_id", "source", "size", "source_size", "target", F.least(crossed, F.lit(most)).cast("long").alias("copies"))
+    return rows.select("no", "doc_id", "source", "size", "source_size", "target", F.least(crossed, F.lit(most)).cast("long").alias("copies"))
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, columns as they were."""
+    """The rows of ``docs``, each as often as the mix takes it, columns as they were.
+
+    Rows are written once with a number and their size; copies are decided on numbers and sizes alone, and the texts meet
+    them once, by number, with the narrow side as the hash table (no text is sorted or put into a window)."""
     cols = docs.columns
-    mix_key, total, alike, nth, copy = fresh(docs, "mix_key", "mix_of", "mix_alike", "mix_no", "mix_copy")
-    key = lambda size: F.concat_ws(
-        "|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), size,
-        F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit(":"), "source")))
-    # copies for all rows of a key, and how many rows have it (one, unless rows repeat)
-    plan = decide(docs, **settings).select(key(F.col("size")).alias(mix_key), "copies").groupBy(mix_key).agg(
-        F.sum("copies").alias(total), F.count(F.lit(1)).alias(alike))
-    rows = docs.withColumn(mix_key, key(word_count("text"))).join(plan, mix_key).where(F.col(total) > 0)
-    no = F.row_number().over(Window.partitionBy(mix_key).orderBy(F.xxhash64("text")))
-    own = F.expr(f"int({total} div {alike} + if({nth} <= {total} % {alike}, 1, 0))")
-    return rows.withColumn(nth, no).withColumn(copy, F.explode(F.array_repeat(F.lit(0), own))).select(*cols)
+    no, size, copies, copy = fresh(docs, "mix_no", "mix_size", "mix_copies", "mix_copy")
+    rows = cut_lineage(docs.withColumn(no, F.monotonically_increasing_id()).withColumn(size, word_count("text")), "numbered")
+    plan = _copies(rows.select(F.col(no).alias("no"), "doc_id", "source", F.col(size).alias("size")), **settings)
+    plan = plan.where("copies > 0").select(F.col("no").alias(no), F.col("copies").cast("int").alias(copies))
+    return rows.join(plan.hint("shuffle_hash"), no).withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(*cols)
