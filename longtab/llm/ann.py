@@ -4,10 +4,10 @@ Rows are dealt by hash to shards of about ``SHARD_ROWS``; a task builds one shar
 growing batches, a greedy search on the graph so far proposes neighbours, and relaxed distance pruning
 (a candidate goes if a kept neighbour is ``ALPHA`` times closer to it than the point is) keeps few but diverse
 edges; edges are added backwards and pruned again; a second pass lets points of one batch find each
-other.  Equal vectors of a shard are one graph node with all its ids.
+other; nodes that no walk from the entry comes to get an edge from a near node.  Equal vectors of a shard are one graph node with all its ids.
 
-Graphs are a written table.  Queries form blocks, and every block searches every shard by beam search;
-the beam's nodes are measured in double precision on the original vectors, each shard gives a query's
+Graphs are a written table.  Queries form blocks, and every block searches every shard by beam search: a
+shard's graph comes first in its partition and is loaded once, the blocks stream past it.  The beam's nodes are measured in double precision on the original vectors, each shard gives a query's
 best ten, and a ranked window merges them.
 
 Every usable row is indexed; vectors that are null, zero or hold null or non-finite components take no
@@ -27,6 +27,7 @@ from longtab.session import cut_lineage
 
 DEGREE, BUILD_BEAM, QUERY_BEAM, ALPHA, SEED = 32, 64, 128, 1.2, 23
 SHARD_ROWS, QUERY_ROWS, NEAREST = 4096, 512, 10
+SPARE = 8      # columns that the lists of edges grow by
 
 
 def _dist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,6 +36,17 @@ def _dist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ikd,ikd->ik", d, d)
 
 
+def _frame(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Middle and scale of a shard, for its single-precision copy."""
+    scale = max(np.abs(x).max(), 1e-300)
+    middle = (x / scale).mean(axis=0)
+    return middle, scale
+
+
+def _small(x: np.ndarray, middle: np.ndarray, scale: float) -> np.ndarray:
+    return (x / scale - middle).astype(np.float32)
+
+
 def beam_search(x: np.ndarray, graph: np.ndarray, q: np.ndarray, entry: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Greedy search for all queries at once: (ids, squared distances), each [queries, beam], nearest first, -1 for none."""
     n = len(q)
@@ -72,6 +84,7 @@ def robust_prune(x: np.ndarray, p: np.ndarray, cand: np.ndarray, degree: int, al
     order = np.argsort(d, axis=1, kind="stable")
     cand, d = np.take_along_axis(cand, order, axis=1), np.take_along_axis(d, order, axis=1)
     y = np.take_along_axis(y, order[:, :, None], axis=1)
+    y = y - x[p][:, None, :]      # seen from the point, so that neighbours of a tight group don't drown in rounding
     norm = np.einsum("ikd,ikd->ik", y, y)
     gap = norm[:, :, None] + norm[:, None, :] - 2 * np.matmul(y, y.transpose(0, 2, 1))
     alive, rows, out = np.isfinite(d), np.arange(len(p)), np.full((len(p), degree), -1)
@@ -92,17 +105,48 @@ def _link_back(x: np.ndarray, graph: np.ndarray, p: np.ndarray, degree: int, alp
     order = np.argsort(to, kind="stable")
     to, source = to[order], source[order]
     node, first, n = np.unique(to, return_index=True, return_counts=True)
-    extra = np.full((len(node), min(int(n.max(initial=0)), 2 * degree)), -1)
     turn = np.arange(len(to)) - np.repeat(first, n)
-    fits = turn < extra.shape[1]
-    extra[np.repeat(np.arange(len(node)), n)[fits], turn[fits]] = source[fits]
-    for a in range(0, len(node), 512):
-        s = slice(a, a + 512)
-        graph[node[s]] = robust_prune(x, node[s], np.concatenate([graph[node[s]], extra[s]], axis=1), degree, alpha)
+    slot = np.repeat(np.arange(len(node)), n)
+    for lap in range(-(-int(n.max(initial=0)) // degree)):       # a hub takes its new edges in several rounds
+        now = (turn >= lap * degree) & (turn < (lap + 1) * degree)
+        some = np.unique(slot[now])
+        extra = np.full((len(some), degree), -1)
+        extra[np.searchsorted(some, slot[now]), turn[now] - lap * degree] = source[now]
+        for a in range(0, len(some), 512):
+            at = node[some[a:a + 512]]
+            graph[at] = robust_prune(x, at, np.concatenate([graph[at], extra[a:a + 512]], axis=1), degree, alpha)
+
+
+def reached(graph: np.ndarray, entry: int) -> np.ndarray:
+    """Which nodes a walk from the entry can come to."""
+    seen = np.zeros(len(graph), bool)
+    seen[entry], front = True, np.array([entry])
+    while len(front):
+        to = np.unique(graph[front])
+        front = to[(to >= 0) & ~seen[np.maximum(to, 0)]]
+        seen[front] = True
+    return seen
+
+
+def attach(x: np.ndarray, graph: np.ndarray, entry: int, beam: int, lot: int = 256) -> np.ndarray:
+    """The graph with an edge to every node that could not be reached, from a near node that can; lists grow as they must."""
+    while not (seen := reached(graph, entry)).all():
+        lost = np.flatnonzero(~seen)[:lot]
+        near, _ = beam_search(x, graph, x[lost], entry, beam)
+        free = (graph < 0).sum(axis=1)
+        if not all(any(free[v] > 0 for v in row if v >= 0) for row in near.tolist()):
+            graph = np.concatenate([graph, np.full((len(graph), SPARE), -1)], axis=1)
+            free = (graph < 0).sum(axis=1)
+        for u, row in zip(lost.tolist(), near.tolist(), strict=True):
+            v = next((v for v in row if v >= 0 and free[v] > 0), -1)
+            if v >= 0:
+                graph[v, int(np.argmax(graph[v] < 0))] = u
+                free[v] -= 1
+    return graph
 
 
 def build(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA, seed: int = SEED) -> tuple[np.ndarray, int]:
-    """Graph [n, degree] (-1 for none) and entry point over distinct rows ``x``."""
+    """Graph [n, degree or more] (-1 for none) and entry point over distinct rows ``x``; every node can be reached."""
     n = len(x)
     graph = np.full((n, degree), -1)
     mean = x.mean(axis=0, keepdims=True)
@@ -120,7 +164,7 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: fl
             graph[p] = robust_prune(x, p, np.concatenate([found, graph[p]], axis=1), degree, alpha)
             _link_back(x, graph, p, degree, alpha)
             at += len(p)
-    return graph, entry
+    return attach(x, graph, entry, beam), entry
 
 
 def shards(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -130,8 +174,7 @@ def shards(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x, node = np.unique(matrix(pdf["embedding"]), axis=0, return_inverse=True)
-        scale = max(np.abs(x).max(), 1e-300)
-        graph, entry = build((x / scale).astype(np.float32))
+        graph, entry = build(_small(x, *_frame(x)))
         ids, node = pdf["vec_id"].to_numpy(dtype=np.int64), node.ravel()
         order = np.lexsort((ids, node))
         first = np.searchsorted(node[order], np.arange(len(x) + 1))
@@ -156,15 +199,26 @@ def query_blocks(queries: DataFrame, query_rows: int = QUERY_ROWS) -> DataFrame:
         run, "dim int, block int, query_ids binary, query_vectors binary")
 
 
-def search_shard(r, nearest: int, beam: int) -> pd.DataFrame:
-    """One block of queries in one shard: (query_id, query_no, vec_id, score), at most ``nearest`` a query."""
-    x = np.frombuffer(r.vectors).reshape(-1, r.dim)
-    graph = np.frombuffer(r.graph, dtype=np.int32).reshape(len(x), -1)
-    ids, first = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.first, dtype=np.int64)
-    qid, q = np.frombuffer(r.query_ids, dtype=np.int64), np.frombuffer(r.query_vectors).reshape(-1, r.dim)
-    scale = max(np.abs(x).max(), 1e-300)
-    small = lambda z: (z / scale).astype(np.float32)
-    found, _ = beam_search(small(x), graph, small(q), r.entry, beam)
+class Shard:
+    """A shard's graph, loaded once for all blocks of queries."""
+
+    def __init__(self, r) -> None:
+        self.key, self.entry = (r.dim, r.shard), int(r.entry)
+        self.x = np.frombuffer(r.vectors).reshape(-1, r.dim)
+        self.graph = np.frombuffer(r.graph, dtype=np.int32).reshape(len(self.x), -1)
+        self.ids, self.first = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.first, dtype=np.int64)
+        self.frame = _frame(self.x)
+        self.small = _small(self.x, *self.frame)
+
+    def search(self, r, nearest: int, beam: int) -> pd.DataFrame:
+        """A block of queries: (query_id, query_no, vec_id, score), at most ``nearest`` a query."""
+        qid, q = np.frombuffer(r.query_ids, dtype=np.int64), np.frombuffer(r.query_vectors).reshape(-1, r.dim)
+        found, _ = beam_search(self.small, self.graph, _small(q, *self.frame), self.entry, beam)
+        return exact(self.x, self.ids, self.first, found, qid, q, int(r.block), nearest)
+
+
+def exact(x: np.ndarray, ids: np.ndarray, first: np.ndarray, found: np.ndarray, qid: np.ndarray, q: np.ndarray, block: int, nearest: int) -> pd.DataFrame:
+    """The beam's nodes measured in double precision on the original vectors."""
     # each node stands for its smallest ids: one more than asked, as the query's own row may be among them
     take = np.arange(nearest + 1)
     at = first[np.maximum(found, 0)][:, :, None] + take
@@ -179,7 +233,7 @@ def search_shard(r, nearest: int, beam: int) -> pd.DataFrame:
     score, cand = np.take_along_axis(score, best, axis=1), np.take_along_axis(cand, best, axis=1)
     keep = cand < np.iinfo(np.int64).max
     i = np.nonzero(keep)[0]
-    return pd.DataFrame({"query_id": qid[i], "query_no": i + r.block * (1 << 32), "vec_id": cand[keep], "score": score[keep]})
+    return pd.DataFrame({"query_id": qid[i], "query_no": i + block * (1 << 32), "vec_id": cand[keep], "score": score[keep]})
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int = QUERY_BEAM) -> DataFrame:
@@ -189,12 +243,18 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     blocks = cut_lineage(query_blocks(rows.where(is_query).dropDuplicates(["vec_id", "embedding"])), "queries")
     count = index.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))
     asked = blocks.join(count, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    meet = asked.join(index, ["dim", "shard"])
+    both = index.withColumn("block", F.lit(-1)).unionByName(asked, allowMissingColumns=True)
+    tasks = 4 * max(1, index.count())
+    meet = both.repartition(tasks, "dim", "shard").sortWithinPartitions("dim", "shard", "block")
 
     def run(batches):
+        shard = None
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                yield search_shard(r, k, beam)
+                if r.block < 0:
+                    shard = Shard(r)
+                elif shard is not None and shard.key == (r.dim, r.shard):
+                    yield shard.search(r, k, beam)
     found = meet.mapInPandas(run, "query_id long, query_no long, vec_id long, score double")
     order = Window.partitionBy("query_id", "query_no").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
