@@ -5,8 +5,8 @@ Scale notes
   bins it touches and a pair is kept only in the bin holding the larger start, so no
   ``distinct`` shuffle is needed and no nested loop is ever planned.
 * ``merge_intervals`` and ``depth_runs`` never put one whole reference into one window:
-  rows are first processed per (key, chunk of positions), then only the per-chunk results
-  (islands, or chunk totals) are combined per key.  A reference that holds a third of all
+  rows are first processed per (key, chunk of positions), then only one row per chunk (its reach,
+  or its total) is combined per key.  A reference that holds a third of all
   reads is spread over its chunks.
 """
 
@@ -39,13 +39,13 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], l_iv: tuple
              .drop("_bin"))
 
 
-def _islands(df: DataFrame, part: list[str], start: str, stop: str) -> DataFrame:
+def _islands(df: DataFrame, part: list[str], start: str, stop: str, *any_of: str) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(start, stop)
     prev_end = F.max(stop).over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(prev_end.isNull() | (F.col(start) > prev_end), 1).otherwise(0)
     tagged = df.withColumn("_new", new).withColumn(
         "_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return tagged.groupBy(*part, "_isl").agg(F.min(start).alias(start), F.max(stop).alias(stop)).drop("_isl")
+    return tagged.groupBy(*part, "_isl").agg(F.min(start).alias(start), F.max(stop).alias(stop), *[F.bool_or(c).alias(c) for c in any_of]).drop("_isl")
 
 
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", stop: str = "stop",
@@ -53,12 +53,22 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", stop:
     """WIN1: union of intervals per key; touching intervals (``b.start == a.stop``) merge.
 
     Intervals sharing a start are first collapsed to the longest (same union; a partial
-    aggregate), so a chunk window never holds more rows than the chunk has positions."""
+    aggregate), so a chunk window never holds more rows than the chunk has positions.  What earlier
+    chunks reach into a chunk comes in as one interval (a prefix maximum over one row per chunk).  Islands
+    inside a chunk pass through; only those that cross a chunk's end, two a chunk at most, are stitched
+    along a key, so no window grows with the number of intervals."""
     base = (df.select(*keys, start, stop).filter(F.col(stop) > F.col(start))
               .groupBy(*keys, start).agg(F.max(stop).alias(stop)))
-    local = _islands(base.withColumn("_chunk", F.floor(F.col(start) / chunk)),
-                     keys + ["_chunk"], start, stop).drop("_chunk")
-    return _islands(local, keys, start, stop)
+    base = base.withColumn("_chunk", F.floor(F.col(start) / chunk))
+    # how far the chunks before reach into a chunk, as one more interval there
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("_chunk") * chunk
+    carry = (base.groupBy(*keys, "_chunk").agg(F.max(stop).alias("_top")).withColumn(stop, F.max("_top").over(before))
+             .filter(F.col(stop) >= begin).select(*keys, begin.alias(start), stop, "_chunk", F.lit(True).alias("_carried")))
+    local = _islands(base.withColumn("_carried", F.lit(False)).unionByName(carry), [*keys, "_chunk"], start, stop, "_carried")
+    # islands that cross no chunk's end are ready: each is a group of its own; the others of a key meet
+    crosses = F.col("_carried") | (F.col(stop) >= begin + chunk)
+    return _islands(local.withColumn("_group", F.when(~crosses, F.col(start))), [*keys, "_group"], start, stop).select(*keys, start, stop)
 
 
 def depth_runs(df: DataFrame, keys: list[str], start: str = "start", stop: str = "stop",

@@ -1019,27 +1019,26 @@ def q_src_fasta(spark, sf):
     return SQ.read_fasta(spark, path, genome_from_file=False).select("contig_id", "seq")
 
 
-@register("src_fastq", "SELECT read_id, seq, qual FROM v_reads")
+@register("src_fastq", "SELECT sample_id, read_id, seq, qual FROM v_reads")
 def q_src_fastq(spark, sf):
     path = _scratch(spark, "fastq")
     SQ.write_fastq(V.view(spark, sf, "v_reads"), path, partition_by="sample_id")
-    files = [p for p in TB._list_files(spark, path) if p.endswith(".gz")]
-    return SQ.read_fastq(spark, files).select("read_id", "seq", "qual")
+    return SQ.read_fastq(spark, path).select("sample_id", "read_id", "seq", "qual")
 
 
-@register("src_gfa", "SELECT rec_type, contig_id, seq FROM v_gfa")
+@register("src_gfa", "SELECT sample_id, rec_type, contig_id, seq FROM v_gfa")
 def q_src_gfa(spark, sf):
     path = _scratch(spark, "gfa")
     g = V.view(spark, sf, "v_gfa")
-    g.select(F.concat_ws("\t", "rec_type", "contig_id", "seq").alias("value")).write.text(path)
-    return SQ.read_gfa(spark, path).select("rec_type", "contig_id", "seq")
+    g.select("sample_id", F.concat_ws("\t", "rec_type", "contig_id", "seq").alias("value")).write.partitionBy("sample_id").text(path)
+    return SQ.read_gfa(spark, path).select("sample_id", "rec_type", "contig_id", "seq")
 
 
-@register("src_sam", "SELECT read_id, flag, ref_id, pos, mapq, cigar, tag_nm, tag_md FROM v_align")
+@register("src_sam", "SELECT sample_id, read_id, flag, ref_id, pos, mapq, cigar, tag_nm, tag_md FROM v_align")
 def q_src_sam(spark, sf):
     path = _scratch(spark, "sam")
     SQ.write_sam_text(_aln(spark, sf), path)
-    return SQ.read_sam(spark, path).select("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "tag_nm", "tag_md")
+    return SQ.read_sam(spark, path).select("sample_id", "read_id", "flag", "ref_id", "pos", "mapq", "cigar", "tag_nm", "tag_md")
 
 
 @register("src_manifest", _LOOKUP_SQL + """

@@ -6,16 +6,12 @@ from ``_metadata``.  Malformed SAM rows are flagged (``_bad``) instead of droppe
 
 from __future__ import annotations
 
-import gzip
-import io
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import names as NM
 
-FASTQ_SCHEMA = "file_name string, read_id string, seq string, qual string"
-
 
 # --- FASTA ---------------------------------------------------------------------------------------
 def read_fasta(spark: SparkSession, paths, genome_from_file: bool = True, keep_path: bool = False) -> DataFrame:
@@ -68,53 +64,58 @@ def write_fasta(df: DataFrame, path: str, width: int | None = 60, partition_by:
 
 
 # --- FASTQ ---------------------------------------------------------------------------------------
-def _fastq_records(fh):
-    """(read_id, seq, qual) from a FASTQ text stream: 4-line records; the quality line may itself
-    start with '@', so records are counted by lines, never found by searching for '@'."""
-    while True:
-        h = fh.readline()
-        if not h:
-            return
-        h = h.rstrip("\r\n")
-        if not h:
-            continue
-        s = fh.readline().rstrip("\r\n")
-        fh.readline()
-        q = fh.readline().rstrip("\r\n")
-        rid = h[1:] if h.startswith("@") else h
-        yield (rid.split()[0] if rid.strip() else rid), s, q
-
-
-def _open_text(path: str):
-    local = path[5:] if path.startswith("file:") else path
-    if local.endswith(".gz"):
-        return io.TextIOWrapper(gzip.open(local, "rb"), encoding="ascii", errors="replace")
-    return open(local, encoding="ascii", errors="replace")
-
-
-def read_fastq(spark: SparkSession, paths: list[str], batch_rows: int = 10000) -> DataFrame:
-    """FASTQ(.gz) -> ``(file_name, read_id, seq, qual)``.  One task per file (gzip is not
-    splittable); each task streams its file in Arrow batches through ``mapInPandas``."""
-    import pandas as pd
-
-    cols = ["file_name", "read_id", "seq", "qual"]
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
-
-    def parse(batches):
-        for b in batches:
-            for p in b["path"]:
-                name = p.rsplit("/", 1)[-1]
-                rows = []
-                with _open_text(p) as fh:
-                    for rid, s, q in _fastq_records(fh):
-                        rows.append((name, rid, s, q))
-                        if len(rows) >= batch_rows:
-                            yield pd.DataFrame(rows, columns=cols)
-                            rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=cols)
-
-    return files.mapInPandas(parse, FASTQ_SCHEMA)
+def read_fastq(spark: SparkSession, paths) -> DataFrame:
+    """FASTQ(.gz) -> ``(file_name, read_id, seq, qual)`` from any file system Spark reads, good records only (partition
+    columns of the folders are kept).  ``read_fastq_checked`` has the others as well."""
+    return read_fastq_checked(spark, paths)[0]
+
+
+def read_fastq_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """(records, quarantine): FASTQ records ``(file_name, read_id, seq, qual)`` and the pieces that are none
+    ``(file_name, reason, line)``.
+
+    The file is a text scan cut at a line end followed by ``@``, so plain files are read in byte ranges wherever
+    these fall.  A quality line may begin with ``@`` too: its record then comes as a front (header, sequence, ``+``) and a
+    rest without line ends, the very next piece.  Only such halves (one record in forty) meet again: those of one byte
+    range in a window over its halves, a front that ends its range with the first half of the file's next range that has any."""
+    raw = spark.read.option("lineSep", "\n@").text(paths)
+    more = [c for c in raw.columns if c != "value"]
+    text = raw.select(
+        F.regexp_replace("value", "\r", "").alias("v"), F.col("_metadata.file_name").alias("file_name"), *more,
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"))
+    first_of_file = (F.col("block") == 0) & F.col("v").startswith("@")
+    text = text.withColumn("v", F.when(first_of_file, F.expr("substring(v, 2)")).otherwise(F.col("v")))
+    piece = text.withColumn("l", F.split("v", "\n", -1))
+    ends_only = F.forall(F.slice("l", F.lit(2), F.size("l")), lambda x: x == "")
+    front = (F.size("l") == 3) & F.get("l", F.lit(2)).startswith("+")
+    kind = (F.when(front, "front").when(ends_only, "rest").when(F.size("l") >= 4, "whole").otherwise("odd"))
+    piece = piece.withColumn("kind", kind)
+
+    inside = Window.partitionBy("path", "block").orderBy("no")
+    half = piece.filter(F.col("kind").isin("front", "rest"))
+    half = half.withColumn("next", F.lead(F.struct("kind", "no", "l")).over(inside))
+    # the first half of each byte range, along the file: one row a range
+    first = half.groupBy("path", "block").agg(F.min_by(F.struct("kind", "no", "l"), "no").alias("f"))
+    first = first.select("path", "block", F.lead("f").over(Window.partitionBy("path").orderBy("block")).alias("after"))
+    half = half.join(first, ["path", "block"]).withColumn("next", F.coalesce("next", "after"))
+    paired = (F.col("kind") == "front") & F.coalesce(F.col("next.kind") == "rest", F.lit(False))
+    joined = half.filter(paired).withColumn("l", F.concat("l", F.array(F.concat(F.lit("@"), F.col("next.l")[0]))))
+    lost = half.filter(~paired & (F.col("v") != "")).join(
+        joined.select(F.col("next.no").alias("used")), F.col("no") == F.col("used"), "left_anti")
+
+    kept = ["file_name", *more, "l"]
+    rows = piece.filter(F.col("kind") == "whole").select(*kept).unionByName(joined.select(*kept))
+    odd = piece.filter(F.col("kind") == "odd").select(*kept).unionByName(lost.filter(F.trim(F.col("l")[0]) != "").select(*kept))
+    line = lambda i: F.get("l", F.lit(i))
+    beyond = F.exists(F.slice("l", F.lit(5), F.size("l")), lambda x: x != "")
+    reason = (F.when(~line(2).startswith("+"), "no + line").when(F.length(line(1)) != F.length(line(3)), "sequence and quality differ in length")
+              .when(beyond, "lines behind the quality"))
+    rows = rows.withColumn("reason", reason)
+    good = rows.filter(F.col("reason").isNull()).select(
+        "file_name", *more, F.split(line(0), r"\s+")[0].alias("read_id"), line(1).alias("seq"), line(3).alias("qual"))
+    bad = rows.filter(F.col("reason").isNotNull()).unionByName(odd.withColumn("reason", F.lit("not four lines")))
+    return good, bad.select("file_name", *more, "reason", F.array_join("l", "\n").alias("line"))
 
 
 def fastq_record() -> Column:
@@ -131,26 +132,41 @@ def write_fastq(df: DataFrame, path: str, partition_by: str = "sample_id", compr
 def read_gfa(spark: SparkSession, paths) -> DataFrame:
     """Assembly graph -> ``(file_name, rec_type, contig_id, seq)`` for every row; keep the ``S``
     rows with ``operators.contigs.segments``."""
-    t = spark.read.text(paths).select(F.split("value", "\t").alias("f"),
-                                      F.col("_metadata.file_name").alias("file_name"))
-    return t.select("file_name", *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("rec_type", "contig_id", "seq"))])
+    raw = spark.read.text(paths)
+    more = [c for c in raw.columns if c != "value"]
+    t = raw.select(F.split("value", "\t").alias("f"), F.col("_metadata.file_name").alias("file_name"), *more)
+    return t.select("file_name", *more, *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("rec_type", "contig_id", "seq"))])
 
 
 # --- SAM -----------------------------------------------------------------------------------------
 SAM_COLUMNS = ("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
 
 
+def read_sam_checked(spark: SparkSession, paths, keep_seq: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(alignments, quarantine ``(file_name, reason, line)``): ``read_sam`` with its bad rows apart."""
+    rows = _sam_rows(spark, paths, keep_seq)
+    bad = rows.filter("_bad").select("file_name", F.lit("fewer than 11 fields or text in a numeric one").alias("reason"), F.col("_line").alias("line"))
+    return rows.filter(~F.col("_bad")).drop("_bad", "_line"), bad
+
+
 def read_sam(spark: SparkSession, paths, keep_seq: bool = False) -> DataFrame:
     """SAM text (header optional, gzip native) -> M5 alignments with the NM and MD tags (null without them).
 
-    ``_bad`` marks rows with fewer than 11 fields or text in a numeric one; such cells are null."""
-    t = (spark.read.text(paths).filter(~F.col("value").startswith("@"))
-              .select(F.split("value", "\t").alias("f"), F.col("_metadata.file_name").alias("file_name")))
+    ``_bad`` marks rows with fewer than 11 fields or text in a numeric one; such cells are null.  Partition columns of
+    the folders are kept."""
+    return _sam_rows(spark, paths, keep_seq).drop("_line")
+
+
+def _sam_rows(spark: SparkSession, paths, keep_seq: bool) -> DataFrame:
+    raw = spark.read.text(paths)
+    more = [c for c in raw.columns if c != "value"]
+    t = (raw.filter(~F.col("value").startswith("@"))
+            .select("value", F.split("value", "\t").alias("f"), F.col("_metadata.file_name").alias("file_name"), *more))
     cols = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(SAM_COLUMNS)]
     tags = F.array_join(F.slice("f", F.lit(12), F.greatest(F.size("f"), F.lit(1))), "\t")
     number = lambda c: F.get("f", F.lit(SAM_COLUMNS.index(c))).try_cast("bigint")
     bad = (F.size("f") < 11) | number("flag").isNull() | number("pos").isNull() | number("mapq").isNull()
-    out = t.select("file_name", *cols, tags.alias("_tags"), bad.alias("_bad"))
+    out = t.select("file_name", *more, *cols, tags.alias("_tags"), bad.alias("_bad"), F.when(bad, F.col("value")).alias("_line"))
     out = (out.withColumn("flag", F.col("flag").try_cast("int")).withColumn("pos", F.col("pos").try_cast("bigint"))
               .withColumn("mapq", F.col("mapq").try_cast("int"))
               .withColumn("tag_nm", F.regexp_extract("_tags", r"(?:^|\t)NM:i:(-?\d+)", 1).try_cast("bigint"))

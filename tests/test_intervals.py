@@ -38,6 +38,21 @@ def test_merge_matches_brute_force_for_any_chunk(spark):
     assert (500, 520) in want
 
 
+def test_islands_across_many_chunks(spark):
+    rnd = random.Random(7)
+    keys = {"one long": [(3, 900), (5, 6), (400, 410), (901, 902), (950, 960)],
+            "chain": [(i, i + 10) for i in range(0, 500, 10)], "touching at chunk ends": [(0, 8), (8, 16), (17, 24), (24, 25), (32, 33)],
+            "nested": [(0, 100), (10, 20), (90, 95), (99, 300), (100, 101), (301, 302)]}
+    for i in range(30):
+        keys[f"r{i}"] = [(a, a + rnd.choice((1, 2, 3, 40, 200))) for a in (rnd.randint(0, 600) for _ in range(rnd.randint(1, 40)))]
+    df = spark.createDataFrame([(k, s, e) for k, iv in keys.items() for s, e in iv], "ref_id string, start long, stop long")
+    for chunk in (8, 33):
+        got = {}
+        for r in IV.merge_intervals(df, ["ref_id"], chunk=chunk).collect():
+            got.setdefault(r.ref_id, []).append((r.start, r.stop))
+        assert {k: sorted(v) for k, v in got.items()} == {k: _brute_merge(iv) for k, iv in keys.items()}, chunk
+
+
 def test_depth_runs_match_brute_force(spark):
     iv = _random_intervals(2)
     df = spark.createDataFrame([("k", s, e) for s, e in iv], "ref_id string, start long, stop long")

@@ -23,10 +23,45 @@ def test_fastq_quality_line_starting_with_at(spark, tmp_path):
     p = tmp_path / "S1.fastq.gz"
     with gzip.open(p, "wt") as fh:
         fh.write("@r1 desc\nACGT\n+\n@III\n@r2\nGG\n+\nII\n")
-    rows = SQ.read_fastq(spark, [str(p)]).collect()
+    rows = SQ.read_fastq(spark, [str(p)]).orderBy("read_id").collect()
     assert [(r.read_id, r.seq, r.qual) for r in rows] == [("r1", "ACGT", "@III"), ("r2", "GG", "II")]
 
 
+FASTQ = [("r1", "ACGT", "@III"), ("r2", "GG", "II"), ("r3", "A", "@"), ("r4", "", ""), ("@r5", "ACG", "@@@"), ("r6", "T", "+"), ("r7", "AC", "@+")]
+
+
+def test_fastq_cut_at_every_byte(spark, tmp_path):
+    text = "".join(f"@{i} d\n{s}\n+\n{q}\n" for i, s, q in FASTQ)
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.fastq").write_text(text)
+    (tmp_path / "x" / "b.fastq").write_text(text.replace("\n", "\r\n").rstrip())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        for size in [*range(1, 40, 3), len(text) // 2, 10_000]:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            good, bad = SQ.read_fastq_checked(spark, str(tmp_path / "x"))
+            rows = sorted((r.file_name, r.read_id, r.seq, r.qual) for r in good.collect())
+            assert rows == sorted((f, *r) for f in ("a.fastq", "b.fastq") for r in FASTQ), size
+            assert bad.count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_fastq_quarantine(spark, tmp_path):
+    (tmp_path / "a.fastq").write_text("@r1\nACGT\n+\nIII\n@r2\nGG\nx\nII\n@r3\nA\n+\nI\nmore\n@r4\nA\n@r5\nAC\n+\nII\n@r6\nTT\n+\n")
+    (tmp_path / "b.fastq").write_text("\n")
+    good, bad = SQ.read_fastq_checked(spark, [str(tmp_path / "a.fastq"), str(tmp_path / "b.fastq")])
+    assert [r.read_id for r in good.collect()] == ["r5"]
+    assert sorted((r.line.split("\n")[0], r.reason) for r in bad.collect()) == [
+        ("r1", "sequence and quality differ in length"), ("r2", "no + line"), ("r3", "lines behind the quality"),
+        ("r4", "not four lines"), ("r6", "sequence and quality differ in length")]
+    (tmp_path / "s.sam").write_text("@HD\tVN:1.6\nr1\t0\tg1\t11\t60\t5=\t*\t0\t0\tACGTA\tIIIII\nshort\t0\nr2\tx\tg1\t1\t1\t1=\t*\t0\t0\tA\tI\n")
+    a, q = SQ.read_sam_checked(spark, str(tmp_path / "s.sam"))
+    assert [r.read_id for r in a.collect()] == ["r1"] and sorted(r.line.split("\t")[0] for r in q.collect()) == ["r2", "short"]
+
+
 def test_sam_and_gfa(spark, tmp_path):
     sam = tmp_path / "s.sam"
     sam.write_text("@HD\tVN:1.6\nr1\t0\tg1\t11\t60\t5=\t*\t0\t0\tACGTA\tIIIII\tNM:i:0\tMD:Z:5\n")
