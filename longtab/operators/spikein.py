@@ -1,86 +1,49 @@
 """Spike-in calibration fit (AGG10): per-sample least squares of log10(known mass) on
 log10(counts per million), with the statistics a linear-regression routine reports.
 
-Native aggregates carry the fit (``regr_*``, population moments); only the two-sided p-value
-needs a Student-t tail, computed by a vectorised pandas UDF (continued fraction of the
-regularised incomplete beta) because Spark has no t distribution.
+Native aggregates carry the fit (``regr_*``, population moments); the two-sided p-value is the
+Student-t tail in closed form for whole degrees of freedom, an expression as well.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MIN_SAMPLE_COUNTS = 1
 
 
-def _betacf(a, b, x, iters: int = 300, eps: float = 3e-16):
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < eps):
-            break
-    return h
-
-
-def betainc(a, b, x):
-    """Regularised incomplete beta I_x(a, b), vectorised."""
-    from math import lgamma
-    a = np.asarray(a, dtype=float)
-    b = np.asarray(b, dtype=float)
-    x = np.clip(np.asarray(x, dtype=float), 0.0, 1.0)
-    lg = np.vectorize(lgamma)
-    lbt = lg(a + b) - lg(a) - lg(b)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        bt = np.exp(lbt + a * np.log(x) + b * np.log1p(-x))
-    bt = np.where((x == 0) | (x == 1), 0.0, bt)
-    swap = x >= (a + 1.0) / (a + b + 2.0)
-    direct = bt * _betacf(a, b, x) / a
-    flipped = 1.0 - bt * _betacf(b, a, 1.0 - x) / b
-    out = np.where(swap, flipped, direct)
-    return np.where(x == 0, 0.0, np.where(x == 1, 1.0, out))
-
+TAIL_TERMS = 400        # 0.9 ** 400 is below a double's precision
 
-def t_two_sided_p(t, df):
-    t = np.asarray(t, dtype=float)
-    df = np.asarray(df, dtype=float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = df / (df + t * t)
-    p = betainc(df / 2.0, np.full_like(df, 0.5), x)
-    return np.where(np.isinf(t), 0.0, p)
 
+def two_sided_p(t, df) -> Column:
+    """Two-sided tail of Student's t for whole degrees of freedom, natively.
 
-@F.pandas_udf(T.DoubleType())
-def _pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
-    ok = t.notna() & df.notna() & (df > 0)
-    out = pd.Series(np.nan, index=t.index)
-    if ok.any():
-        out[ok] = t_two_sided_p(t[ok].to_numpy(), df[ok].to_numpy())
-    return out
+    With theta = atan(t / sqrt(df)) the tail is sin(theta) times a series in cos(theta) ** 2 whose first terms belong to the
+    inside and whose others are the tail.  The inside is a finite sum; where it is nearly everything
+    (cos ** 2 <= 0.9), the tail's own terms are summed instead, so that small values keep their digits."""
+    t, df = (F.col(c) if isinstance(c, str) else c for c in (t, df))
+    v = df.cast("int")
+    cos2 = v / (v + t * t)
+    sin = F.sqrt(t * t / (v + t * t))
+    odd = v % 2
+    n = ((v - odd) / 2).cast("int")     # terms inside, and the tail's first
+    # term k over term k - 1: (2k - 1) / 2k for even, 2k / (2k + 1) for odd degrees of freedom
+    ratio = lambda k: F.when(odd == 0, (2 * k - 1) / (2 * k)).otherwise(2 * k / (2 * k + 1)) * cos2
+    first = F.when(odd == 0, F.lit(1.0)).otherwise(F.sqrt(cos2))
+    acc = lambda term, total: F.struct(term.cast("double").alias("term"), total.cast("double").alias("sum"))
+    walk = lambda ks, start: F.aggregate(
+        ks, start, lambda a, k: acc(a["term"] * ratio(k), a["sum"] + a["term"] * ratio(k)))
+    upto = lambda a, b: F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+    inside = walk(upto(F.lit(1), n - 1), acc(first, F.when(n > 0, first).otherwise(F.lit(0.0))))["sum"]
+    start = F.aggregate(upto(F.lit(1), n), first, lambda a, k: a * ratio(k))
+    tail = walk(F.sequence(n + 1, n + TAIL_TERMS), acc(start, start))["sum"]
+    scale = F.when(odd == 0, F.lit(1.0)).otherwise(F.lit(2 / math.pi))
+    theta = F.when(odd == 0, F.lit(0.0)).otherwise(F.atan2(F.abs(t), F.sqrt(v.cast("double"))))
+    p = F.when(cos2 <= 0.9, scale * sin * tail).otherwise(1 - scale * (theta + sin * inside))
+    return F.when(df > 0, F.when(F.isnan(t) | t.isNull(), F.lit(None)).when(F.abs(t) == float("inf"), F.lit(0.0)).otherwise(p))
 
 
 def calibrate(counts: DataFrame, min_sample_counts: int = MIN_SAMPLE_COUNTS,
@@ -109,6 +72,6 @@ def calibrate(counts: DataFrame, min_sample_counts: int = MIN_SAMPLE_COUNTS,
     den = (1 - F.col("rvalue")) * (1 + F.col("rvalue"))
     t = F.col("rvalue") * F.sqrt(df / den)
     g = g.withColumn("_t", F.when((df > 0) & (den > 0), t)
-                           .when((df > 0) & (den <= 0), F.lit(float("inf")))).withColumn("pvalue", _pvalue(F.col("_t"), df.cast("double")))
+                           .when((df > 0) & (den <= 0), F.lit(float("inf")))).withColumn("pvalue", two_sided_p(F.col("_t"), df))
     fits = g.select("sample_id", "slope", "intercept", "rvalue", "pvalue", "stderr", "intercept_stderr", "n")
     return fits, skipped

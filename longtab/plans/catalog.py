@@ -395,12 +395,35 @@ def q_sample_lookup(spark, sf):
     return _matched(spark, sf).select("file_no", "file_name", "sample_id", "tier")
 
 
-@register("analysis_manifest", _LOOKUP_SQL + """
-SELECT sample_id, file_name AS path, 100 + file_no % 3 AS artifact_id FROM m WHERE sample_id IS NOT NULL
-""")
+_EXPAND_SQL = """
+WITH pair AS (SELECT r.artifact_id, t.parent_id FROM v_artifacts r LEFT JOIN v_artifact_tree t ON t.artifact_id = r.artifact_id),
+f AS (SELECT DISTINCT artifact_id AS parent_id, path, regexp_replace(path, '.*/', '') AS name FROM v_artifact_files WHERE kind = 'fwd'),
+lk AS (SELECT artifact_id AS parent_id, run_prefix, arg_max(sample_name, ord) AS sample_id, min(ord) AS ord
+       FROM v_artifact_preps GROUP BY artifact_id, run_prefix),
+h AS (SELECT f.parent_id, f.path, lk.sample_id, row_number() OVER (PARTITION BY f.parent_id, f.path ORDER BY
+        CASE WHEN f.name = lk.run_prefix THEN 0 WHEN substr(f.name, length(lk.run_prefix) + 1, 1) = '_' THEN 1
+             WHEN substr(f.name, length(lk.run_prefix) + 1, 1) = '.' THEN 2 ELSE 3 END,
+        CASE WHEN substr(f.name, length(lk.run_prefix) + 1, 1) IN ('_', '.') THEN -length(lk.run_prefix) ELSE lk.ord END) AS rn
+      FROM f JOIN lk ON lk.parent_id = f.parent_id AND starts_with(f.name, lk.run_prefix)),
+x AS (SELECT p.artifact_id, p.parent_id, h.sample_id, f.path,
+        CASE WHEN p.parent_id IS NULL THEN 'no parents' WHEN f.path IS NULL THEN 'no files'
+             WHEN p.parent_id NOT IN (SELECT parent_id FROM lk) THEN 'no preparation' WHEN h.sample_id IS NULL THEN 'no sample' END AS reason
+      FROM pair p LEFT JOIN f ON f.parent_id = p.parent_id LEFT JOIN h ON h.parent_id = f.parent_id AND h.path = f.path AND h.rn = 1)
+"""
+
+
+def _expanded(spark, sf):
+    return LK.expand_artifacts(*[V.view(spark, sf, v) for v in ("v_artifacts", "v_artifact_tree", "v_artifact_files", "v_artifact_preps")])
+
+
+@register("analysis_manifest", _EXPAND_SQL + "SELECT artifact_id, parent_id, sample_id, path FROM x WHERE reason IS NULL")
 def q_analysis_manifest(spark, sf):
-    m = _matched(spark, sf).withColumn("artifact_id", 100 + F.col("file_no") % 3)
-    return LK.analysis_manifest(m)
+    return _expanded(spark, sf)[0]
+
+
+@register("analysis_errors", _EXPAND_SQL + "SELECT artifact_id, parent_id, path, reason FROM x WHERE reason IS NOT NULL")
+def q_analysis_errors(spark, sf):
+    return _expanded(spark, sf)[1]
 
 
 # --- REL10, AGG16 ------------------------------------------------------------------------------
@@ -865,11 +888,25 @@ def q_syndna_fit(spark, sf):
                        r6("intercept_stderr").alias("intercept_stderr"), "n")
 
 
-@register("syndna_pvalue")
+_FIT_CTES = ORACLE["syndna_fit"].rsplit("SELECT sample_id, round(slope", 1)[0]
+
+
+@register("syndna_pvalue", _FIT_CTES.rstrip() + """,
+a AS (SELECT *, n - 2 AS v, rvalue * sqrt((n - 2) / ((1 - rvalue) * (1 + rvalue))) AS t FROM k),
+s AS (SELECT *, abs(t) / sqrt(v + t * t) AS sn, sqrt(v / (v + t * t)) AS cs FROM a),
+-- the finite sums for even and odd degrees of freedom
+q AS (SELECT *, CASE WHEN v % 2 = 0
+    THEN 1 - sn * list_sum([list_product([(2 * i - 1) / (2.0 * i) for i in range(1, j + 1)] || [1.0]) * power(cs, 2 * j) for j in range(0, v // 2)])
+    ELSE 1 - 2 / pi() * (atan2(abs(t), sqrt(v)) + sn * coalesce(list_sum(
+         [list_product([(2.0 * i) / (2 * i + 1) for i in range(1, j + 1)] || [1.0]) * power(cs, 2 * j + 1) for j in range(0, (v - 1) // 2)]), 0)) END AS p FROM s)
+SELECT sample_id, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(rvalue, 6) AS rvalue, round(p, 6) AS pvalue,
+       round(se, 6) AS stderr, round(se * sqrt(vx + mx * mx), 6) AS intercept_stderr, n
+FROM q
+""")
 def q_syndna_pvalue(spark, sf):
-    """Full fit rows including the two-sided p-value (no t distribution in the oracle)."""
+    """Full fit rows including the two-sided p-value."""
     fits, _ = SP.calibrate(V.view(spark, sf, "v_syndna"))
-    return fits
+    return fits.select("sample_id", *[r6(c).alias(c) for c in ("slope", "intercept", "rvalue", "pvalue", "stderr", "intercept_stderr")], "n")
 
 
 # --- small sources over derived tables (SRC14, SRC17, FLT13) -----------------------------------
@@ -992,11 +1029,14 @@ def q_genome_pairs(spark, sf):
     return p.select("a", "b", "j", r6("ani").alias("ani"), "is_member")
 
 
-@register("dereplicate")
+@register("dereplicate", ORACLE["genome_pairs"].rsplit("SELECT a, b, j, round(ani, 6)", 1)[0] + """
+SELECT a AS genome_id, b AS rep_id, false AS is_rep, round(ani, 6) AS ani FROM found WHERE nth = 1
+UNION ALL SELECT rk.genome_id, rk.genome_id, true, NULL FROM reps JOIN rk ON rk.no = reps.no
+""")
 def q_dereplicate(spark, sf):
-    """Greedy representatives and membership (checked against a sequential loop in the tests)."""
+    """Greedy representatives and membership; the oracle walks the ranking over all pairs."""
     scores = V.view(spark, sf, "v_drep_genomes").select("genome_id", "score")
-    return SM.dereplicate(_sketches(spark, sf), scores)
+    return SM.dereplicate(_sketches(spark, sf), scores).select("genome_id", "rep_id", "is_rep", r6("ani").alias("ani"))
 
 
 # --- file sources: write a derived table with our sinks, read it back with our readers -------

@@ -199,6 +199,25 @@ SELECT doc_id AS file_no,
 FROM {documents}
 """
 
+# Artifacts: what is asked for, the tree above, files and preparation rows of the parents.  One artifact has no
+# parents, one parent no files, one files but no preparation.
+VIEWS["v_artifacts"] = """
+SELECT DISTINCT 100 + doc_id % 7 AS artifact_id FROM {documents}
+"""
+VIEWS["v_artifact_tree"] = """
+SELECT DISTINCT 100 + doc_id % 7 AS artifact_id, 200 + (doc_id % 35) % 5 AS parent_id FROM {documents} WHERE doc_id % 7 <> 6
+"""
+VIEWS["v_artifact_files"] = """
+SELECT 200 + file_no % 5 AS artifact_id, '/data/' || cast(file_no % 5 AS string) || '/' || file_name AS path,
+       CASE WHEN file_no % 9 = 4 THEN 'rev' ELSE 'fwd' END AS kind
+FROM {v_files} WHERE file_no % 5 <> 4
+"""
+VIEWS["v_artifact_preps"] = """
+SELECT 200 AS artifact_id, 'A.' || sample_name AS sample_name, run_prefix, ord FROM {v_prep}
+UNION ALL SELECT 201, 'B.' || sample_name, run_prefix, ord FROM {v_prep} WHERE ord % 2 = 0
+UNION ALL SELECT 202, 'C.' || sample_name, run_prefix, ord FROM {v_prep} WHERE ord < 100000000
+"""
+
 # Step status rows of batch tasks.
 VIEWS["v_status"] = """
 SELECT 'J' || cast(user_id % 3 AS string) AS job_id, 1 + event_id % 7 AS step, user_id AS task,

@@ -77,36 +77,42 @@ def read_fastq_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame
     The file is a text scan cut at a line end followed by ``@``, so plain files are read in byte ranges wherever
     these fall.  A quality line may begin with ``@`` too: its record then comes as a front (header, sequence, ``+``) and a
     rest without line ends, the very next piece.  Only such halves (one record in forty) meet again: those of one byte
-    range in a window over its halves, a front that ends its range with the first half of the file's next range that has any."""
+    range in a window over its halves, a front that ends its range with the first half of the file's next range that has any.
+    A file must begin with ``@``."""
     raw = spark.read.option("lineSep", "\n@").text(paths)
     more = [c for c in raw.columns if c != "value"]
     text = raw.select(
         F.regexp_replace("value", "\r", "").alias("v"), F.col("_metadata.file_name").alias("file_name"), *more,
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("no"))
-    first_of_file = (F.col("block") == 0) & F.col("v").startswith("@")
-    text = text.withColumn("v", F.when(first_of_file, F.expr("substring(v, 2)")).otherwise(F.col("v")))
     piece = text.withColumn("l", F.split("v", "\n", -1))
     ends_only = F.forall(F.slice("l", F.lit(2), F.size("l")), lambda x: x == "")
     front = (F.size("l") == 3) & F.get("l", F.lit(2)).startswith("+")
     kind = (F.when(front, "front").when(ends_only, "rest").when(F.size("l") >= 4, "whole").otherwise("odd"))
-    piece = piece.withColumn("kind", kind)
+    piece = piece.withColumn("kind", kind).withColumn("marked", (F.col("block") == 0) & F.col("v").startswith("@"))
 
+    # halves, and pieces that still begin with @: of those, a file's first loses it (no line end stands before it)
+    some = piece.filter(F.col("kind").isin("front", "rest") | F.col("marked"))
     inside = Window.partitionBy("path", "block").orderBy("no")
-    half = piece.filter(F.col("kind").isin("front", "rest"))
-    half = half.withColumn("next", F.lead(F.struct("kind", "no", "l")).over(inside))
-    # the first half of each byte range, along the file: one row a range
-    first = half.groupBy("path", "block").agg(F.min_by(F.struct("kind", "no", "l"), "no").alias("f"))
+    some = (some.withColumn("nth", F.row_number().over(inside)).withColumn("next", F.lead(F.struct("kind", "no", "l")).over(inside))
+            .withColumn("begin", F.min(F.when(F.col("marked"), F.col("no"))).over(Window.partitionBy("path", "block"))))
+    bare = F.concat(F.array(F.expr("substring(l[0], 2)")), F.slice("l", F.lit(2), F.size("l")))
+    some = some.withColumn("l", F.when(F.col("no") == F.col("begin"), bare).otherwise(F.col("l")))
+    # the first of them in each byte range, along the file: one row a range
+    first = some.filter("nth = 1").select("path", "block", F.struct("kind", "no", "l").alias("f"))
     first = first.select("path", "block", F.lead("f").over(Window.partitionBy("path").orderBy("block")).alias("after"))
-    half = half.join(first, ["path", "block"]).withColumn("next", F.coalesce("next", "after"))
+    some = some.join(first, ["path", "block"]).withColumn("next", F.coalesce("next", "after"))
+    half = some.filter(F.col("kind").isin("front", "rest"))
     paired = (F.col("kind") == "front") & F.coalesce(F.col("next.kind") == "rest", F.lit(False))
     joined = half.filter(paired).withColumn("l", F.concat("l", F.array(F.concat(F.lit("@"), F.col("next.l")[0]))))
     lost = half.filter(~paired & (F.col("v") != "")).join(
         joined.select(F.col("next.no").alias("used")), F.col("no") == F.col("used"), "left_anti")
 
     kept = ["file_name", *more, "l"]
-    rows = piece.filter(F.col("kind") == "whole").select(*kept).unionByName(joined.select(*kept))
-    odd = piece.filter(F.col("kind") == "odd").select(*kept).unionByName(lost.filter(F.trim(F.col("l")[0]) != "").select(*kept))
+    of = lambda k: (piece.filter((F.col("kind") == k) & ~F.col("marked")).select(*kept)
+                    .unionByName(some.filter(F.col("kind") == k).select(*kept)))
+    rows = of("whole").unionByName(joined.select(*kept))
+    odd = of("odd").unionByName(lost.filter(F.trim(F.col("l")[0]) != "").select(*kept))
     line = lambda i: F.get("l", F.lit(i))
     beyond = F.exists(F.slice("l", F.lit(5), F.size("l")), lambda x: x != "")
     reason = (F.when(~line(2).startswith("+"), "no + line").when(F.length(line(1)) != F.length(line(3)), "sequence and quality differ in length")

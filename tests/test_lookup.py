@@ -41,3 +41,18 @@ def test_reference_fixture_case(spark):
                                    (2, "nomatch.fastq.gz")], "file_no long, file_name string")
     got = {r.file_no: (r.sample_id, r.tier) for r in LK.match_files(files, LK.build_lookup(prep)).collect()}
     assert got == {0: ("SKB8.640193", 1), 1: ("SKD8.640184", 1), 2: (None, None)}
+
+
+def test_artifacts_expand_to_tasks_and_errors(spark):
+    asked = spark.createDataFrame([(1,), (2,), (3,), (1,)], "artifact_id long")
+    tree = spark.createDataFrame([(1, 11), (2, 12), (2, 13), (1, 11)], "artifact_id long, parent_id long")
+    files = spark.createDataFrame([(11, "/a/s1_R1.fq", "fwd"), (11, "/a/s2_R1.fq", "fwd"), (11, "/a/s1_R2.fq", "rev"),
+                                   (12, "/b/s1_R1.fq", "fwd"), (12, "/b/s2_R1.fq", "fwd"), (12, "/b/zz.fq", "fwd")], "artifact_id long, path string, kind string")
+    preps = spark.createDataFrame([(11, "A1", "s1", 1), (11, "A2", "s2", 2), (12, "B1", "s1", 1), (12, "B2", "s2", 2)],
+                                  "artifact_id long, sample_name string, run_prefix string, ord long")
+    tasks, errors = LK.expand_artifacts(asked, tree, files, preps)
+    assert sorted(map(tuple, tasks.collect())) == [(1, 11, "A1", "/a/s1_R1.fq"), (1, 11, "A2", "/a/s2_R1.fq"),
+                                                   (2, 12, "B1", "/b/s1_R1.fq"), (2, 12, "B2", "/b/s2_R1.fq")]
+    assert sorted((r.artifact_id, r.reason) for r in errors.collect()) == [(2, "no files"), (2, "no sample"), (3, "no parents")]
+    none = preps.limit(0)
+    assert {r.reason for r in LK.expand_artifacts(asked, tree, files, none)[1].collect()} == {"no files", "no parents", "no preparation"}

@@ -38,7 +38,7 @@ def test_fastq_cut_at_every_byte(spark, tmp_path):
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
         spark.conf.set("spark.sql.files.openCostInBytes", 0)
-        for size in [*range(1, 40, 3), len(text) // 2, 10_000]:
+        for size in (1, 7, 10_000):          # ranges of one byte cut at every byte
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             good, bad = SQ.read_fastq_checked(spark, str(tmp_path / "x"))
             rows = sorted((r.file_name, r.read_id, r.seq, r.qual) for r in good.collect())

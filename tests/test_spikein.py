@@ -1,15 +1,25 @@
+import math
+
 import numpy as np
 
 from longtab.operators import spikein as SP
 
 
-def test_t_pvalues_known():
-    # two-sided Student-t p-values (standard table values)
-    p = SP.t_two_sided_p(np.array([2.0, 2.228, 0.0, 10.0]), np.array([10.0, 10.0, 5.0, 3.0]))
-    assert abs(p[0] - 0.07338803) < 1e-6
-    assert abs(p[1] - 0.05) < 1e-3
-    assert p[2] == 1.0
-    assert abs(p[3] - 0.0021284) < 1e-6
+def test_t_pvalues_known(spark):
+    # two-sided Student-t p-values: standard table values, then numerical integration of the density
+    known = [(2.0, 10, 0.07338803), (0.0, 5, 1.0), (10.0, 3, 0.0021284), (1.0, 1, 0.5), (2.228138851, 10, 0.05), (-2.0, 10, 0.07338803)]
+    rows = [(t, v) for t, v, _ in known] + [(t, v) for v in (1, 2, 3, 4, 7, 8, 29, 30, 101) for t in (0.01, 0.5, 1.0, 3.0, 12.0)]
+    df = spark.createDataFrame(rows + [(float("inf"), 4), (1.0, 0)], "t double, v int")
+    got = [r.p for r in df.select(SP.two_sided_p("t", "v").alias("p")).collect()]
+    for (_, _, want), p in zip(known, got):
+        assert abs(p - want) < 1e-7
+    for (t, v), p in zip(rows[len(known):], got[len(known):-2]):
+        # substitute u = 1 / x: the tail from t to infinity becomes a finite range
+        u = (np.arange(200_000) + 0.5) / 200_000 / t
+        c = math.exp(math.lgamma((v + 1) / 2) - math.lgamma(v / 2)) / math.sqrt(v * math.pi)
+        want = 2 * float(np.mean(c * (1 + 1 / (u * u * v)) ** (-(v + 1) / 2) / (u * u))) / t
+        assert abs(p - want) < 1e-6 * want + 1e-13, (t, v)
+    assert got[-2:] == [0.0, None]
 
 
 def test_fit_matches_least_squares(spark):
