@@ -1059,6 +1059,48 @@ def q_src_fasta(spark, sf):
     return SQ.read_fasta(spark, path, genome_from_file=False).select("contig_id", "seq")
 
 
+# --- ordered exports (SRT1, SRT2, SRT5): written in order, read back with the place of every row ---
+from ..sources import exports as EX  # noqa: E402
+
+_ALN_ORDER = ["sample_id", "read_id", "ref_id", "pos", "flag", "cigar", "tag_nm"]
+
+
+def _sorted_copy(spark, df, tag, keys, ties):
+    path = _scratch(spark, tag)
+    EX.write_sorted(df, path, keys, ties)
+    return EX.read_sorted(spark, path, keys)
+
+
+@register("aln_sorted", """
+SELECT sample_id, read_id, ref_id, pos, flag, row_number() OVER (ORDER BY sample_id, read_id, ref_id, pos, flag, cigar, tag_nm) AS row_no FROM v_align
+""")
+def q_aln_sorted(spark, sf):
+    """SRT1: alignments by sample and read id."""
+    return _sorted_copy(spark, _aln(spark, sf), "aln-sorted", _ALN_ORDER[:2], _ALN_ORDER[2:]).select(
+        "sample_id", "read_id", "ref_id", "pos", "flag", "row_no")
+
+
+@register("hits_sorted", """
+SELECT ref_id, pos, sample_id, read_id, row_number() OVER (ORDER BY ref_id, pos, sample_id, read_id, flag, cigar, tag_nm) AS row_no
+FROM v_align WHERE ref_id <> '*'
+""")
+def q_hits_sorted(spark, sf):
+    """SRT5: hits by reference and coordinate."""
+    hits = _aln(spark, sf).filter(F.col("ref_id") != "*")
+    return _sorted_copy(spark, hits, "hits-sorted", ["ref_id", "pos"], ["sample_id", "read_id", "flag", "cigar", "tag_nm"]).select(
+        "ref_id", "pos", "sample_id", "read_id", "row_no")
+
+
+@register("genomes_sorted", """
+SELECT genome_id, contig_id, length(seq) AS length, row_number() OVER (ORDER BY genome_id NULLS FIRST, ord) AS row_no FROM v_contigs
+""")
+def q_genomes_sorted(spark, sf):
+    """SRT2: contigs in the order of their genomes' ids."""
+    c = V.view(spark, sf, "v_contigs")
+    out = _sorted_copy(spark, c, "genomes-sorted", ["genome_id"], ["ord"])
+    return out.select("genome_id", "contig_id", F.length("seq").cast("long").alias("length"), "row_no")
+
+
 @register("src_fastq", "SELECT sample_id, read_id, seq, qual FROM v_reads")
 def q_src_fastq(spark, sf):
     path = _scratch(spark, "fastq")
