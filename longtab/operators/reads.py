@@ -9,11 +9,8 @@ tools do (see README); the parameters are keywords with our defaults.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import names as NM
@@ -23,7 +20,7 @@ from . import alignments as A
 ADAPTER_WINDOW = 60          # bases searched at each read end beyond the adapter length
 ADAPTER_MISMATCHES = 2       # Hamming mismatches allowed in an adapter hit
 PEEK_MIN_SHARE = 0.01        # adapters seen in at least this share of peeked reads are kept
-MAX_ADAPTERS = 10000         # the adapter set is shipped inside the plan; refuse larger sets
+SEED = 12                    # longest seed of an adapter piece
 KMER = 21
 KMER_CHUNK = 1 << 16         # k-mers cut from one row at once; longer sequences go in overlapping pieces
 
@@ -47,8 +44,9 @@ def reads_without_host(reads: DataFrame, hits: DataFrame, min_identity: float =
 def mean_quality(qual) -> Column:
     """Mean Phred (+33) quality of a quality string."""
     q = F.col(qual) if isinstance(qual, str) else qual
-    total = F.aggregate(F.transform(F.split(q, ""), lambda c: F.ascii(c) - 33), F.lit(0).cast("bigint"),
-                        lambda acc, x: acc + x)
+    # how often a symbol occurs is what its removal takes off the length; no array of one-character strings is made
+    total = F.aggregate(F.sequence(F.lit(33), F.lit(126)), F.lit(0).cast("bigint"),
+                        lambda acc, c: acc + (c - 33) * (F.length(q) - F.length(F.replace(q, F.char(c), F.lit("")))))
     return F.when(F.length(q) > 0, total / F.length(q)).otherwise(F.lit(0.0))
 
 
@@ -91,105 +89,66 @@ def adapter_set(spec: str, files: DataFrame) -> DataFrame:
     return named.unionByName(literal)
 
 
-def _adapter_list(adapters: DataFrame) -> list[tuple[str, str, str]]:
-    """The (bounded, checked) adapter set, forward and reverse complement, in (id, orient) order."""
-    rows = adapters.select("adapter_id", "seq").limit(MAX_ADAPTERS + 1).collect()
-    if len(rows) > MAX_ADAPTERS:
-        raise ValueError(f"more than {MAX_ADAPTERS} adapters")
-    out = []
-    for r in sorted(rows, key=lambda r: r["adapter_id"]):
-        seq = r["seq"].upper()
-        rc = seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
-        out.append((r["adapter_id"], "+", seq))
-        out.append((r["adapter_id"], "-", rc))
-    return out
-
-
-_HIT = T.StructType([T.StructField("offset", T.IntegerType()), T.StructField("id", T.StringType()),
-                     T.StructField("orient", T.StringType()), T.StructField("n", T.IntegerType())])
-
-
-def _exact_hits(window_of, adapters, width: int) -> Column:
-    """m == 0: native substring search per adapter, best = lowest offset, id, orient."""
-    cands = []
-    for aid, orient, a in adapters:
-        p = F.position(F.lit(a), window_of(len(a)))
-        cands.append(F.when(p > 0, F.struct((p - 1).cast("int").alias("offset"), F.lit(aid).alias("id"),
-                                            F.lit(orient).alias("orient"), F.lit(len(a)).alias("n"))))
-    found = F.filter(F.array(*cands), lambda h: h.isNotNull())
-    return F.when(F.size(found) > 0, F.array_min(found))
-
-
-def _hamming_udf(adapters, width: int, m: int):
-    """m > 0: Arrow-batched numpy kernel over the end windows of a whole batch of reads:
-    a (reads x offsets x adapter length) mismatch count per adapter, lowest offset wins."""
-    coded = [(aid, orient, np.frombuffer(a.encode("latin-1"), dtype=np.uint8)) for aid, orient, a in adapters]
-    span = max((len(a) for _, _, a in adapters), default=0) + width
-
-    @F.pandas_udf(_HIT)
-    def hits(win: pd.Series) -> pd.DataFrame:
-        B = len(win)
-        w = win.fillna("")
-        lens = w.str.len().to_numpy()
-        buf = np.frombuffer("".join(x[:span].ljust(span, "\0") for x in w).encode("latin-1"),
-                            dtype=np.uint8).reshape(B, span) if B else np.zeros((0, span), np.uint8)
-        best_off = np.full(B, np.iinfo(np.int32).max, dtype=np.int64)
-        best_k = np.full(B, -1, dtype=np.int64)
-        offs = np.arange(width + 1)
-        for k, (_, _, a) in enumerate(coded):
-            L = len(a)
-            if L == 0 or L > span:
-                continue
-            view = np.lib.stride_tricks.sliding_window_view(buf, L, axis=1)[:, : width + 1, :]
-            mism = (view != a).sum(axis=2)
-            ok = (mism <= m) & (offs[None, : view.shape[1]] + L <= lens[:, None])
-            has = ok.any(axis=1)
-            first = ok.argmax(axis=1)
-            better = has & (first < best_off)
-            best_off = np.where(better, first, best_off)
-            best_k = np.where(better, k, best_k)
-        found = best_k >= 0
-        return pd.DataFrame({
-            "offset": pd.Series(np.where(found, best_off, 0), dtype="Int32").mask(~found),
-            "id": [coded[k][0] if k >= 0 else None for k in best_k],
-            "orient": [coded[k][1] if k >= 0 else None for k in best_k],
-            "n": pd.Series([len(coded[k][2]) if k >= 0 else 0 for k in best_k], dtype="Int32").mask(~found),
-        })
-    return hits, span
+_HIT = "struct<offset:int,id:string,orient:string,n:int,rank:int>"
+
+
+def _oriented(adapters: DataFrame, mismatches: int) -> DataFrame:
+    """Both orientations of every adapter, for both read ends: (side, id, orient, rank, a, n, q).  ``a`` is the text to be
+    found in the window (reversed for the 3' end, whose window is); ``q`` the length of its seeds."""
+    order = [F.col(c) for c in (["item_no"] if "item_no" in adapters.columns else []) + ["adapter_id"]]
+    base = adapters.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1).select(   # one row an adapter
+        F.col("adapter_id").alias("id"), "rank", F.upper("seq").alias("s"))
+    turned = base.select("id", "rank", F.explode(F.array(F.struct(F.lit("+").alias("orient"), F.col("s").alias("s")),
+                                                         F.struct(F.lit("-").alias("orient"), NM.revcomp(F.col("s")).alias("s")))).alias("x"))
+    both = turned.select("id", "rank", "x.orient", F.explode(F.array(
+        F.struct(F.lit(5).alias("side"), F.col("x.s").alias("a")), F.struct(F.lit(3).alias("side"), F.reverse("x.s").alias("a")))).alias("y"))
+    n = F.length("y.a")
+    return both.select("y.side", "id", "orient", "rank", "y.a", n.alias("n"), F.least(F.floor(n / (mismatches + 1)), F.lit(SEED)).cast("int").alias("q"))
 
 
 def find_adapters(reads: DataFrame, adapters: DataFrame, window: int = ADAPTER_WINDOW,
                   mismatches: int = ADAPTER_MISMATCHES) -> DataFrame:
     """Best adapter hit at each end of every read: ``hit5`` / ``hit3`` structs
-    ``(offset, id, orient, n)`` — lowest offset, then adapter id, then orientation.  The 3' offset
+    ``(offset, id, orient, n, rank)`` — lowest offset, then adapter id, then orientation.  The 3' offset
     counts bases after the adapter (searched on the reversed read).  Only the two end windows
-    of ``adapter length + window`` bases are scanned."""
-    ads = _adapter_list(adapters)
-    seq = F.col("seq")
-    rseq = F.reverse(seq)
-    if mismatches == 0:
-        h5 = _exact_hits(lambda n: F.substring(seq, 1, n + window), ads, window)
-        h3 = _exact_hits(lambda n: F.substring(rseq, 1, n + window),
-                         [(i, o, a[::-1]) for i, o, a in ads], window)
-        return reads.withColumn("hit5", h5).withColumn("hit3", h3)
-    f5, span = _hamming_udf(ads, window, mismatches)
-    f3, _ = _hamming_udf([(i, o, a[::-1]) for i, o, a in ads], window, mismatches)
-    out = (reads.withColumn("hit5", f5(F.substring(seq, 1, span)))
-                .withColumn("hit3", f3(F.substring(rseq, 1, span))))
-    for h in ("hit5", "hit3"):
-        out = out.withColumn(h, F.when(F.col(f"{h}.offset").isNotNull(), F.col(h)))
-    return out
-
-
-def _adapter_ranks(adapters: DataFrame) -> Column:
-    """Literal map adapter id -> position in the adapter list (``item_no`` order when the set
-    has it, then id).  The set is bounded by MAX_ADAPTERS, so the map stays small."""
-    order = (["item_no"] if "item_no" in adapters.columns else []) + ["adapter_id"]
-    rows = adapters.select(*order).limit(MAX_ADAPTERS + 1).collect()
-    if len(rows) > MAX_ADAPTERS:
-        raise ValueError(f"more than {MAX_ADAPTERS} adapters")
-    ids = [r["adapter_id"] for r in sorted(rows, key=lambda r: tuple(r))]
-    return F.create_map(*[x for i, a in enumerate(ids) for x in (F.lit(a), F.lit(i))])
+    of ``adapter length + window`` bases are scanned.
+
+    Pigeonhole seeds: an adapter is cut into ``mismatches + 1`` pieces, and a hit has one of them unchanged.  The starts of
+    the pieces are joined with equal stretches of the windows, and what meets is verified by counting mismatches, so the
+    set may have any size and nothing of it but its lengths comes to the driver.  Reads themselves move once, to meet
+    their hits."""
+    ads = _oriented(adapters, mismatches)
+    shape = adapters.agg(F.max(F.length("seq")), F.min(F.length("seq"))).first()
+    if shape[0] is None:
+        none = F.lit(None).cast(_HIT)
+        return reads.withColumn("hit5", none).withColumn("hit3", none)
+    if shape[1] <= mismatches:
+        raise ValueError(f"an adapter of {shape[1]} bases fits anywhere with {mismatches} mismatches")
+    span = shape[0] + window
+    lengths = range(min(SEED, shape[1] // (mismatches + 1)), min(SEED, shape[0] // (mismatches + 1)) + 1)
+    piece = F.floor(F.col("n") / (mismatches + 1)).cast("int")
+    seeds = ads.select("*", F.explode(F.transform(F.sequence(F.lit(0), F.lit(mismatches)), lambda j: j * piece)).alias("p")).withColumn(
+        "seed", F.expr("substring(a, p + 1, q)"))
+
+    w5, w3 = F.substring("seq", 1, span), F.substring(F.reverse("seq"), 1, span)
+    mark = F.xxhash64(w5, w3)
+    ends = reads.select("sample_id", "read_id", mark.alias("mark"), F.explode(F.array(
+        F.struct(F.lit(5).alias("side"), w5.alias("w")), F.struct(F.lit(3).alias("side"), w3.alias("w")))).alias("e"))
+    ends = ends.select("sample_id", "read_id", "mark", "e.side", "e.w")
+    cut = lambda q: F.transform(F.sequence(F.lit(0), F.length("w") - q), lambda i: F.struct(
+        F.lit(q).alias("q"), i.alias("i"), F.substring(F.col("w"), i + 1, F.lit(q)).alias("seed")))
+    stretches = F.flatten(F.array(*[F.when(F.length("w") >= q, cut(q)).otherwise(F.array().cast(
+        "array<struct<q:int,i:int,seed:string>>")) for q in lengths]))
+    met = (ends.select("*", F.explode(stretches).alias("x")).select("sample_id", "read_id", "mark", "side", "w", "x.*")
+           .join(seeds, ["side", "q", "seed"]).withColumn("offset", F.col("i") - F.col("p"))
+           .filter((F.col("offset") >= 0) & (F.col("offset") <= window) & (F.col("offset") + F.col("n") <= F.length("w"))))
+    unlike = F.zip_with(F.split(F.expr("substring(w, offset + 1, n)"), ""), F.split("a", ""), lambda x, y: x != y)
+    hit = F.struct("offset", "id", "orient", "n", "rank")
+    best = met.filter(F.size(F.filter(unlike, lambda x: x)) <= mismatches).groupBy("sample_id", "read_id", "mark").agg(
+        F.min(F.when(F.col("side") == 5, hit)).alias("hit5"), F.min(F.when(F.col("side") == 3, hit)).alias("hit3"))
+    best = best.select(F.col("sample_id").alias("_s"), F.col("read_id").alias("_r"), F.col("mark").alias("_m"), "hit5", "hit3")
+    same = F.col("sample_id").eqNullSafe(F.col("_s")) & F.col("read_id").eqNullSafe(F.col("_r")) & (mark == F.col("_m"))
+    return reads.join(best, same, "left").drop("_s", "_r", "_m")
 
 
 def trim_adapters(reads: DataFrame, adapters: DataFrame, preset: str = "ASYMMETRIC",
@@ -209,8 +168,7 @@ def trim_adapters(reads: DataFrame, adapters: DataFrame, preset: str = "ASYMMETR
     same = F.col("hit5.id") == F.col("hit3.id")
     fits = both & (same if preset == "SYMMETRIC" else ~same)
     if neighbors and preset == "ASYMMETRIC":
-        rank = _adapter_ranks(adapters)
-        fits = fits & (F.abs(F.element_at(rank, F.col("hit5.id")) - F.element_at(rank, F.col("hit3.id"))) == 1)
+        fits = fits & (F.abs(F.col("hit5.rank") - F.col("hit3.rank")) == 1)
     start = F.col("hit5.offset") + F.col("hit5.n")          # 0-based first kept base
     stop = F.length("seq") - F.col("hit3.offset") - F.col("hit3.n")
     keep = fits & (stop > start)
