@@ -44,13 +44,20 @@ def duplicate_samples(tables: DataFrame, table_col: str = "table_id") -> DataFra
                   .filter(F.col("n_tables") > 1))
 
 
-def merge_ranked(tables: DataFrame, merge_type: str) -> DataFrame:
+def merge_ranked(tables: DataFrame, merge_type: str, table_col: str = "table_id") -> DataFrame:
     """SET6 + SET1: keep the ranks of ``merge_type`` (absent ranks just yield no rows) and merge
-    each rank; the rank stays a column so the sink can ``partitionBy('rank')``."""
+    each rank; the rank stays a column so the sink can ``partitionBy('rank')``.  As in ``merge_tables`` a sample that several
+    tables hold in a rank is left out of it, never added up; without ``table_col`` all rows are one table."""
     ranks = list(ranks_for(merge_type))
-    t = tables.filter(F.lower(F.col("rank")).isin(ranks))
-    return (t.groupBy(F.lower(F.col("rank")).alias("rank"), "sample_id", "feature_id")
-             .agg(F.sum("value").alias("value")).filter(F.col("value") != 0))
+    t = tables.filter(F.lower(F.col("rank")).isin(ranks)).withColumn("rank", F.lower(F.col("rank")))
+    if table_col not in tables.columns:
+        t = t.withColumn(table_col, F.lit(None).cast("string"))
+    m = t.groupBy("rank", "sample_id", "feature_id").agg(
+        F.sum("value").alias("value"), F.min(table_col).alias("_lo"), F.max(table_col).alias("_hi"))
+    clash = (m.groupBy("rank", "sample_id").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+              .filter(F.col("_lo") != F.col("_hi")).select("rank", "sample_id"))
+    return (m.join(clash, ["rank", "sample_id"], "left_anti").filter(F.col("value") != 0)
+             .select("rank", "sample_id", "feature_id", "value"))
 
 
 # Fixed pattern: a label right after ``(`` or ``,`` (group 2), unquoted or single-quoted with

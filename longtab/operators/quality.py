@@ -18,7 +18,15 @@ GAP = "N" * 20
 
 def merge_quality(quality: DataFrame) -> DataFrame:
     """SET2: one quality table over artifacts, genome ids prefixed ``<artifact>_``."""
-    return quality.withColumn("genome_id", F.concat_ws("_", F.col("artifact_id").cast("string"), "bin_id"))
+    return pooled_name(quality, "bin_id")
+
+
+def pooled_name(df: DataFrame, bin_col: str) -> DataFrame:
+    """``genome_id`` over all artifacts: ``<artifact>_<bin>``; rows of ``kind`` LCG carry the artifact already and stay."""
+    name = F.concat_ws("_", F.col("artifact_id").cast("string"), bin_col)
+    if "kind" in df.columns:
+        name = F.when(F.col("kind") == "LCG", F.col(bin_col)).otherwise(name)
+    return df.withColumn("genome_id", name)
 
 
 def quality_gate(quality: DataFrame, min_completeness: float = MIN_COMPLETENESS,

@@ -88,7 +88,7 @@ def assembly(gfa: DataFrame, bins: DataFrame, small_kib: int = CT.SMALL_CIRCULAR
 def genome_quality(quality: DataFrame, contigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The part of PIPE5 before de-replication: (quality rows that pass the gate with N50 and score, their contigs),
     both by the pooled name ``<artifact>_<bin>``."""
-    pooled = contigs.withColumn("genome_id", F.concat_ws("_", F.col("artifact_id").cast("string"), "genome_id"))
+    pooled = QL.pooled_name(contigs, "genome_id")
     good = QL.quality_gate(QL.merge_quality(quality))
     return (QL.genome_score(good, QL.n50(pooled)),
             pooled.join(good.select("genome_id"), "genome_id", "left_semi"))
@@ -96,19 +96,31 @@ def genome_quality(quality: DataFrame, contigs: DataFrame) -> tuple[DataFrame, D
 
 def genome_table(quality: DataFrame, contigs: DataFrame, aln: DataFrame, lengths: DataFrame, threshold: float = SM.ANI_THRESHOLD,
                  min_identity: float = 0.95, min_aligned: float = 90, k: int = SM.SKETCH_K,
-                 s: int = SM.SKETCH_SIZE) -> dict[str, DataFrame]:
-    """PIPE5: ``quality`` (gate passed, scored), ``clusters`` of the de-replication, ``depth`` of every
-    representative per sample (alignments to its contigs), ``coverage`` and ``table`` (read counts).
-
-    ``contigs``: artifact_id, genome_id (the bin), contig_id, ord, seq; ``aln.ref_id`` is a contig id."""
+                 s: int = SM.SKETCH_SIZE, manifest: DataFrame | None = None, tips: DataFrame | None = None) -> dict[str, DataFrame]:
+    """PIPE5: ``quality`` (gate passed, scored), ``clusters`` of the de-replication, ``genome_lengths`` of the
+    representatives, ``depth`` of every representative per sample (alignments to its contigs), ``coverage``,
+    ``consolidated`` (covered share of every contig's reference, per sample and over all samples) and ``table`` (read counts).
+    With ``tips`` of a tree the table keeps the genomes on it and ``removed`` names the others; with a ``manifest`` of
+    expected samples ``verdict`` tells those without a row.
+
+    ``contigs``: artifact_id, genome_id (the bin), contig_id, ord, seq, and kind where LCG rows carry their artifact;
+    ``aln.ref_id`` is a contig id."""
     scored, kept = genome_quality(quality, contigs)
     clusters = SM.dereplicate(SM.sketches(QL.concat_genomes(kept), k, s), scored, threshold, k, s)
-    reps = clusters.filter("is_rep").select("genome_id")
-    of = kept.join(reps, "genome_id", "left_semi").select(F.col("contig_id").alias("ref_id"), "genome_id")
+    reps = kept.join(clusters.filter("is_rep").select("genome_id"), "genome_id", "left_semi")
+    of = reps.select(F.col("contig_id").alias("ref_id"), "genome_id")
     hits = A.min_filter(A.flag_filter(aln), min_identity, min_aligned)
     depth = COV.genome_depth(hits, lengths, genomes=of)
     table = depth.select("sample_id", F.col("genome_id").alias("feature_id"), F.col("read_count").cast("double").alias("value"))
-    return {"quality": scored, "clusters": clusters, "depth": depth, "coverage": COV.coverage_summary(depth), "table": table}
+    on_reps = hits.join(of.select("ref_id"), "ref_id", "left_semi")
+    out = {"quality": scored, "clusters": clusters, "genome_lengths": QL.genome_lengths(reps), "depth": depth,
+           "coverage": COV.coverage_summary(depth), "consolidated": COV.consolidate(COV.covered_intervals(on_reps), lengths)}
+    if tips is not None:
+        out["removed"] = FT.tree_removed(table, tips)
+        table = FT.tree_filter(table, tips).select("sample_id", "feature_id", "value")
+    if manifest is not None:
+        out["verdict"] = AU.table_audit(manifest, table)
+    return {**out, "table": table}
 
 
 def concat(files: DataFrame, metadata: DataFrame, records: DataFrame, words: str = "", gap: str = QL.GAP) -> dict[str, DataFrame]:

@@ -1074,6 +1074,18 @@ def q_src_fasta(spark, sf):
     return SQ.read_fasta(spark, path, genome_from_file=False).select("contig_id", "seq")
 
 
+_RANK = "CASE cast(substr(feature_id, 2) AS bigint) % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'KO' WHEN 2 THEN 'per-gene' ELSE 'other' END"
+
+
+@register("feature_merge_ranked", f"""
+SELECT rank, sample_id, feature_id, sum(value) AS value FROM (SELECT lower({_RANK}) AS rank, sample_id, feature_id, value FROM v_tables) t
+WHERE rank IN ('none', 'per-gene', 'ko', 'ec', 'pathway') GROUP BY rank, sample_id, feature_id HAVING sum(value) <> 0
+""")
+def q_feature_merge_ranked(spark, sf):
+    """SET6: merge by rank; unknown ranks are left out."""
+    return FT.merge_ranked(V.view(spark, sf, "v_tables").withColumn("rank", F.expr(_RANK)), "woltka")
+
+
 # --- ordered exports (SRT1, SRT2, SRT5): written in order, read back with the place of every row ---
 from ..sources import exports as EX  # noqa: E402
 
@@ -1277,17 +1289,24 @@ _CONTIG_GENOMES = """SELECT ref_id, 'G' || cast(cast(substr(ref_id, 2) AS bigint
 WITH runs AS {Q.depth_runs(_REMAP, "sample_id, ref_id")},
 g AS ({_CONTIG_GENOMES}),
 tot AS (SELECT genome_id, cast(sum(length) AS bigint) AS length FROM g GROUP BY genome_id),
+hist AS (SELECT r.sample_id, g.genome_id, depth, sum(stop - start) AS w FROM runs r JOIN g ON r.ref_id = g.ref_id WHERE depth > 0 GROUP BY ALL),
+cum AS (SELECT h.*, t.length AS len, sum(w) OVER (PARTITION BY sample_id, h.genome_id ORDER BY depth) AS c,
+               sum(w) OVER (PARTITION BY sample_id, h.genome_id) AS cov FROM hist h JOIN tot t ON t.genome_id = h.genome_id),
+tm AS (SELECT sample_id, genome_id, sum(greatest(0, least(len - cov + c, len - floor(len * (1.0::DOUBLE - 0.95::DOUBLE)))
+                - greatest(len - cov + c - w, floor(len * 0.05::DOUBLE))) * depth)
+              / max(len - floor(len * (1.0::DOUBLE - 0.95::DOUBLE)) - floor(len * 0.05::DOUBLE)) AS trimmed_mean FROM cum GROUP BY ALL),
 st AS (SELECT r.sample_id, g.genome_id, sum(CASE WHEN depth > 0 THEN stop - start ELSE 0 END) AS covered_bases,
               sum((stop - start) * depth) AS depth_sum FROM runs r JOIN g ON r.ref_id = g.ref_id GROUP BY r.sample_id, g.genome_id),
 cnt AS (SELECT r.sample_id, g.genome_id, count(DISTINCT read_id) AS read_count FROM {_REMAP} r JOIN g ON r.ref_id = g.ref_id
         GROUP BY r.sample_id, g.genome_id)
 SELECT st.sample_id, st.genome_id, cast(st.covered_bases AS bigint) AS covered_bases,
-       round(st.depth_sum / tot.length, 6) AS mean, tot.length, cnt.read_count
-FROM st JOIN tot ON st.genome_id = tot.genome_id JOIN cnt ON st.sample_id = cnt.sample_id AND st.genome_id = cnt.genome_id
+       round(tm.trimmed_mean, 6) AS trimmed_mean, round(st.depth_sum / tot.length, 6) AS mean, tot.length, cnt.read_count
+FROM st JOIN tm ON tm.sample_id = st.sample_id AND tm.genome_id = st.genome_id JOIN tot ON st.genome_id = tot.genome_id JOIN cnt ON st.sample_id = cnt.sample_id AND st.genome_id = cnt.genome_id
 """)
 def q_contig_genome_depth(spark, sf):
     """AGG5 with several contigs per genome (every fourth reference belongs to the same genome)."""
     lengths = V.view(spark, sf, "v_lengths")
     genomes = lengths.select("ref_id", F.concat(F.lit("G"), (F.substring("ref_id", 2, 20).cast("bigint") % 4).cast("string")).alias("genome_id"))
     d = COV.genome_depth(_remap_alignments(spark, sf), lengths, genomes=genomes)
-    return d.select("sample_id", "genome_id", "covered_bases", r6("mean").alias("mean"), "length", "read_count")
+    return d.select("sample_id", "genome_id", "covered_bases", r6("trimmed_mean").alias("trimmed_mean"), r6("mean").alias("mean"),
+                    "length", "read_count")

@@ -178,7 +178,7 @@ def read_status(spark: SparkSession, base: str) -> DataFrame:
 
 def read_counts_last(spark: SparkSession, paths) -> DataFrame:
     """SRC17: the ``Counts`` column (found by header name) of the last row of each counts file."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"))
     c = _tsv(spark, header=True).csv(paths).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("Counts").cast("bigint").alias("Counts"),
-        F.monotonically_increasing_id().alias("_row"))
+        F.col("_metadata.file_name").alias("file_name"), F.col("Counts").try_cast("bigint").alias("Counts"), place.alias("_row"))
     return c.groupBy("file_name").agg(F.max_by("Counts", "_row").alias("counts"))

@@ -57,3 +57,11 @@ def test_sample_totals_empty_table_is_zero(spark):
     counts = spark.createDataFrame([("s1", 3)], "sample_id string, value long")
     out = {r.sample_id: (r.total, r.state) for r in FT.sample_totals(man, counts).collect()}
     assert out == {"s1": (3, "ok"), "s2": (0, "empty")}
+
+
+def test_merge_by_rank_refuses_samples_of_two_tables(spark):
+    rows = [("t1", "KO", "a", "k1", 1.0), ("t1", "ko", "a", "k1", 2.0), ("t2", "ko", "b", "k1", 4.0), ("t1", "ec", "c", "e", 1.0),
+            ("t2", "ec", "c", "e", 1.0), ("t2", "ko", "c", "k2", 8.0), ("t1", "junk", "a", "x", 1.0), ("t1", "ec", "d", "e", 0.0)]
+    df = spark.createDataFrame(rows, "table_id string, rank string, sample_id string, feature_id string, value double")
+    assert sorted(map(tuple, FT.merge_ranked(df, "WOLTKA").collect())) == [("ko", "a", "k1", 3.0), ("ko", "b", "k1", 4.0), ("ko", "c", "k2", 8.0)]
+    assert FT.merge_ranked(df.drop("table_id"), "woltka").filter("rank = 'ec'").count() == 1

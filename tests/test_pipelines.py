@@ -83,3 +83,24 @@ def test_genome_table_gates_dereplicates_and_measures(spark):
     assert {r.genome_id: r.rep_id for r in out["clusters"].collect()} == {"1_b1": "1_b1", "2_b1": "1_b1", "2_b2": "2_b2"}
     (r,) = out["depth"].collect()
     assert (r.genome_id, r.covered_bases, r.length, r.read_count) == ("1_b1", 150, 600, 2)
+
+
+def test_genome_table_whole(spark):
+    rng = random.Random(2)
+    one, two, three = ("".join(rng.choices("ACGT", k=600)) for _ in range(3))
+    contigs = spark.createDataFrame([(1, "b1", "c1", 1, one, "MAG"), (2, "2_s.c2", "c2", 1, two, "LCG"), (2, "b3", "c3", 1, three, "MAG")],
+                                    "artifact_id int, genome_id string, contig_id string, ord int, seq string, kind string")
+    quality = spark.createDataFrame([(1, "b1", 90.0, 0.0, 0.0, "MAG"), (2, "2_s.c2", 80.0, 0.0, 0.0, "LCG"), (2, "b3", 90.0, 0.0, 0.0, "MAG")],
+                                    "artifact_id int, bin_id string, completeness double, contamination double, strain_heterogeneity double, kind string")
+    aln = spark.createDataFrame([("a", "r1", 0, "c1", 1, 60, "100=", 0), ("a", "r2", 0, "c2", 1, 60, "50=", 0), ("b", "r3", 0, "c1", 51, 60, "100=", 0),
+                                 ("b", "r4", 0, "c3", 1, 60, "60=", 0)], ALN)
+    lengths = spark.createDataFrame([("c1", 600), ("c2", 600), ("c3", 600)], "ref_id string, length long")
+    tips = spark.createDataFrame([("1_b1",), ("2_s.c2",)], "tip string")
+    manifest = spark.createDataFrame([("a",), ("b",), ("none",)], "sample_id string")
+    out = PL.genome_table(quality, contigs, aln, lengths, k=15, s=200, manifest=manifest, tips=tips)
+    assert sorted(map(tuple, out["table"].collect())) == [("a", "1_b1", 1.0), ("a", "2_s.c2", 1.0), ("b", "1_b1", 1.0)]
+    assert [r.feature_id for r in out["removed"].collect()] == ["2_b3"]
+    assert {r.sample_id: r.outcome for r in out["verdict"].collect()} == {"a": "ok", "b": "ok", "none": "missing"}
+    assert {r.genome_id: r.length for r in out["genome_lengths"].collect()} == {"1_b1": 600, "2_s.c2": 600, "2_b3": 600}
+    both = {(r.sample_id, r.ref_id): r.covered for r in out["consolidated"].collect()}
+    assert both[("*", "c1")] == 150 and both[("a", "c1")] == both[("b", "c1")] == 100 and both[("*", "c3")] == 60
