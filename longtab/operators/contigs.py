@@ -6,7 +6,7 @@ record takes ``octet_length(id) + 2`` header bytes plus the sequence and its new
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the assembly steps.
@@ -19,6 +19,8 @@ PSEUDO_BINS = {
     "MetaBAT": ("bin.unbinned", "bin.lowDepth", "bin.tooShort", "bin.BinInfo"),
     "CONCOCT": ("unbinned",),
 }
+# Binner by the middle part of ``<sample>.<binner>.tsv``, and the column that holds the bin (the contig is in the first).
+BINNER_FILES = {"concoct": ("CONCOCT", 2), "maxbin2": ("MaxBin", 2), "metabat2": ("MetaBAT", 4)}
 BIN_SCORE_MIN = 0.5               # best bin must score strictly above this
 
 
@@ -86,6 +88,45 @@ def contig_bins(bins: DataFrame, nolcg: DataFrame) -> DataFrame:
     return drop_pseudo_bins(bins).join(nolcg.select("sample_id", "contig_id"), ["sample_id", "contig_id"], "left_semi")
 
 
+def read_binner_files_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """REL13: contig -> bin rows of all binners' ``<sample>.<binner>.tsv`` under ``path``, in one scan.
+
+    Returns (sample_id, binner, contig_id, bin_id), with the bin in the binner's own column, and the quarantine
+    (file_path, line, reason): lines of unknown binners, lines too short, empty contigs or bins.  Blank lines are neither."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(path).filter(F.trim("value") != "")
+    # a percent sign stands only before an escaped byte in a path, a plus sign for itself
+    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    pattern = rf"([^/=]+)\.({'|'.join(BINNER_FILES)})\.tsv"
+    f = raw.select(where.alias("file_path"), F.regexp_replace("value", "\r$", "").alias("line")).select(
+        "*", F.split("line", "\t").alias("_f"), F.regexp_extract("file_path", pattern, 1).alias("sample_id"),
+        F.regexp_extract("file_path", pattern, 2).alias("_file"))
+    binner, bin_id = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (label, column) in BINNER_FILES.items():
+        binner = F.when(F.col("_file") == name, F.lit(label)).otherwise(binner)
+        bin_id = F.when(F.col("_file") == name, F.get("_f", F.lit(column - 1))).otherwise(bin_id)
+    rows = f.select("*", binner.alias("binner"), F.get("_f", F.lit(0)).alias("contig_id"), bin_id.alias("bin_id"))
+    reason = (F.when(F.col("binner").isNull(), "unknown binner").when(F.col("bin_id").isNull(), "too few columns")
+               .when((F.col("contig_id") == "") | (F.col("bin_id") == ""), "empty contig or bin"))
+    rows = rows.withColumn("reason", reason)
+    return (rows.filter(F.col("reason").isNull()).select("sample_id", "binner", "contig_id", "bin_id"),
+            rows.filter(F.col("reason").isNotNull()).select("file_path", "line", "reason"))
+
+
+def read_binner_files(spark: SparkSession, path: str) -> DataFrame:
+    return read_binner_files_checked(spark, path)[0]
+
+
+def write_binner_files(bins: DataFrame, path: str) -> None:
+    """The counterpart of ``read_binner_files``: a folder ``file=<sample>.<binner>.tsv`` for each sample and binner; columns in
+    front of a binner's bin column repeat the contig."""
+    line, name = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for file, (label, column) in BINNER_FILES.items():
+        hit = F.col("binner") == label
+        line = F.when(hit, F.concat_ws("\t", *["contig_id"] * (column - 1), "bin_id")).otherwise(line)
+        name = F.when(hit, F.concat_ws(".", "sample_id", F.lit(file), F.lit("tsv"))).otherwise(name)
+    bins.select(name.alias("file"), line.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
+
+
 def best_bin(bins: DataFrame, min_score: float = BIN_SCORE_MIN) -> DataFrame:
     """WIN6: per contig the highest-scoring bin among those scoring > ``min_score``; ties go to
     the smaller (binner, bin id).  An aggregate with map-side combine, not a window."""

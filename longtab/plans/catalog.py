@@ -558,6 +558,14 @@ def q_contig2bin(spark, sf):
         "sample_id", "binner", "contig_id", "bin_id")
 
 
+@register("contig2bin_files", f"SELECT sample_id, binner, contig_id, bin_id FROM {_C2B} c")
+def q_contig2bin_files(spark, sf):
+    """REL13 from the binners' files: written as each binner has them, read back by the column rule."""
+    path = _scratch(spark, "contig2bin")
+    CT.write_binner_files(V.view(spark, sf, "v_bins"), path)
+    return CT.contig_bins(CT.read_binner_files(spark, path), _nolcg(spark, sf)).select("sample_id", "binner", "contig_id", "bin_id")
+
+
 @register("best_bin", f"SELECT * FROM {_BEST} b")
 def q_best_bin(spark, sf):
     return _best(spark, sf)
@@ -1310,3 +1318,53 @@ def q_contig_genome_depth(spark, sf):
     d = COV.genome_depth(_remap_alignments(spark, sf), lengths, genomes=genomes)
     return d.select("sample_id", "genome_id", "covered_bases", r6("trimmed_mean").alias("trimmed_mean"), r6("mean").alias("mean"),
                     "length", "read_count")
+
+
+# --- the genome table command (PIPE5) ----------------------------------------------------------
+# Pooled and gated genomes with N50 and score, contigs joined with the gap; then the ranking walk of ``dereplicate``.
+_POOL_CTES = f"""
+member AS (SELECT *, CASE WHEN kind = 'LCG' THEN '' ELSE cast(artifact_id AS varchar) || '_' END || genome_id AS pooled_id FROM v_pool_contigs),
+good AS (SELECT *, CASE WHEN kind = 'LCG' THEN '' ELSE cast(artifact_id AS varchar) || '_' END || bin_id AS pooled_id FROM v_pool_quality
+         WHERE completeness >= {QL.MIN_COMPLETENESS} AND contamination <= {QL.MAX_CONTAMINATION}),
+half AS (SELECT pooled_id, max(len) AS n50 FROM (
+  SELECT pooled_id, len, sum(len) OVER (PARTITION BY pooled_id ORDER BY len DESC, contig_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+         sum(len) OVER (PARTITION BY pooled_id) AS tot
+  FROM (SELECT pooled_id, contig_id, cast(length(seq) AS bigint) AS len FROM member) c) w WHERE 2 * cum >= tot GROUP BY pooled_id),
+pool AS (SELECT good.pooled_id AS genome_id, s.seq,
+                CASE WHEN n50 > 0 THEN completeness - 5.0::DOUBLE * contamination + contamination * strain_heterogeneity / 100.0::DOUBLE + 0.5::DOUBLE * log10(n50) END AS score
+         FROM good JOIN half ON half.pooled_id = good.pooled_id
+         JOIN (SELECT pooled_id, string_agg(seq, repeat('N', 20) ORDER BY ord) AS seq FROM member WHERE length(seq) > 0 GROUP BY pooled_id) s
+           ON s.pooled_id = good.pooled_id),
+"""
+_POOL_SQL = "WITH " + _POOL_CTES + ORACLE["genome_pairs"].rsplit("SELECT a, b, j, round(ani, 6)", 1)[0].strip()[4:].replace(
+    "v_drep_genomes", "pool").rstrip() + f""",
+kept AS (SELECT contig_id AS ref_id, pooled_id AS genome_id FROM member WHERE pooled_id IN (SELECT rk.genome_id FROM reps JOIN rk ON rk.no = reps.no)),
+hits AS (SELECT a.sample_id, a.read_id, a.ref_id, kept.genome_id, pos - 1 AS start, pos - 1 + {Q.refspan()} AS stop
+         FROM v_pool_aln a JOIN kept ON kept.ref_id = a.ref_id WHERE {_MAPPED_PRIMARY} AND {_ID} >= 0.95 AND {_QC} >= 0.9),
+tab AS (SELECT sample_id, genome_id AS feature_id, cast(count(DISTINCT read_id) AS double) AS value FROM hits GROUP BY sample_id, genome_id)
+"""
+
+
+def _genome_command(spark, sf):
+    v = lambda name: V.view(spark, sf, name)
+    return PL.genome_table(v("v_pool_quality"), v("v_pool_contigs"), v("v_pool_aln"), v("v_pool_lengths"),
+                           manifest=v("v_manifest"), tips=v("v_pool_tips"))
+
+
+@register("pipe_genome_table", _POOL_SQL + "SELECT * FROM tab WHERE feature_id IN (SELECT tip FROM v_pool_tips)")
+def q_pipe_genome_table(spark, sf):
+    """PIPE5: gate, pooled names, score, de-replication, depth of the representatives, tree filter."""
+    return _genome_command(spark, sf)["table"]
+
+
+@register("pipe_genome_coverage", _POOL_SQL + f""",
+iv AS {Q.islands("hits", "sample_id, ref_id")},
+pooled AS {Q.islands("iv", "ref_id")},
+c AS (SELECT sample_id, ref_id, sum(stop - start) AS covered FROM iv GROUP BY sample_id, ref_id
+      UNION ALL SELECT '*' AS sample_id, ref_id, sum(stop - start) AS covered FROM pooled GROUP BY ref_id)
+SELECT c.sample_id, c.ref_id, cast(c.covered AS bigint) AS covered, l.length, c.covered / l.length AS fraction
+FROM c JOIN v_pool_lengths l ON c.ref_id = l.ref_id
+""")
+def q_pipe_genome_coverage(spark, sf):
+    """AGG8 of the command: covered share of every representative's contigs, per sample and over all samples."""
+    return _genome_command(spark, sf)["consolidated"]

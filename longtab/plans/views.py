@@ -348,6 +348,40 @@ SELECT 'd' || cast(doc_id AS string) AS genome_id, """ + dna("text") + """ AS se
 FROM {documents}
 """
 
+# Genomes pooled over artifacts: one per document, in two contigs; every fifth is a circular one, whose name carries its
+# artifact already.  With it the quality rows, alignments to the contigs (some to contigs nobody has) and a tree.
+VIEWS["v_pool_contigs"] = """
+SELECT artifact_id, genome_id, kind, 'ctg' || cast(doc_id AS string) || '.1' AS contig_id, 1 AS ord,
+       substr(seq, 1, cast(floor(length(seq) / 2.0) AS int)) AS seq
+FROM {v_pool_whole}
+UNION ALL
+SELECT artifact_id, genome_id, kind, 'ctg' || cast(doc_id AS string) || '.2', 2, substr(seq, cast(floor(length(seq) / 2.0) AS int) + 1)
+FROM {v_pool_whole}
+"""
+VIEWS["v_pool_whole"] = """
+SELECT doc_id, 100 + doc_id % 3 AS artifact_id,
+       CASE WHEN doc_id % 5 = 0 THEN cast(100 + doc_id % 3 AS string) || '_' ELSE '' END || 'b' || cast(doc_id AS string) AS genome_id,
+       CASE WHEN doc_id % 5 = 0 THEN 'LCG' ELSE 'MAG' END AS kind, """ + dna("text") + """ AS seq
+FROM {documents}
+"""
+VIEWS["v_pool_quality"] = """
+SELECT artifact_id, genome_id AS bin_id, kind, cast(40 + (doc_id * 7) % 61 AS double) AS completeness,
+       cast((doc_id * 3) % 15 AS double) AS contamination, cast((doc_id % 5) * 25 AS double) AS strain_heterogeneity
+FROM {v_pool_whole}
+"""
+VIEWS["v_pool_aln"] = """
+SELECT sample_id, read_id, flag, CASE WHEN ref_id = '*' THEN ref_id ELSE 'ctg' || cast(cast(floor((pos - 1) / 7.0) AS bigint) AS string)
+                                      || '.' || cast(1 + length(read_id) % 2 AS string) END AS ref_id,
+       1 + pos % 97 AS pos, mapq, cigar, tag_nm
+FROM {v_align}
+"""
+VIEWS["v_pool_lengths"] = """
+SELECT contig_id AS ref_id, cast(length(seq) + 300 AS bigint) AS length FROM {v_pool_contigs}
+"""
+VIEWS["v_pool_tips"] = """
+SELECT CASE WHEN kind = 'LCG' THEN '' ELSE cast(artifact_id AS string) || '_' END || genome_id AS tip FROM {v_pool_whole} WHERE doc_id % 4 <> 1
+"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 

@@ -45,3 +45,18 @@ def test_best_bin_threshold_and_ties(spark):
         "sample_id string, binner string, contig_id string, bin_id string, score double")
     best = {r.contig_id: (r.binner, r.bin_id) for r in CT.best_bin(CT.drop_pseudo_bins(bins)).collect()}
     assert best == {"c1": ("CONCOCT", "concoct.1")}          # tie -> smaller binner; 0.5 is not > 0.5
+
+
+def test_binner_files_take_their_own_columns(spark, tmp_path):
+    (tmp_path / "s 1.concoct.tsv").write_text("c1\tbin.1\n\nc2\n")
+    (tmp_path / "s 1.maxbin2.tsv").write_text("c1\tm.1\textra\r\n\tm.2\n")
+    (tmp_path / "s+2.metabat2.tsv").write_text("c1\tx\ty\tbin.7\nc2\tbin.8\n")
+    (tmp_path / "s3.other.tsv").write_text("c1\tb\n")
+    good, bad = CT.read_binner_files_checked(spark, str(tmp_path))
+    assert sorted(map(tuple, good.collect())) == [("s 1", "CONCOCT", "c1", "bin.1"), ("s 1", "MaxBin", "c1", "m.1"),
+                                                  ("s+2", "MetaBAT", "c1", "bin.7")]
+    assert sorted((r.line, r.reason) for r in bad.collect()) == [
+        ("\tm.2", "empty contig or bin"), ("c1\tb", "unknown binner"), ("c2", "too few columns"), ("c2\tbin.8", "too few columns")]
+    CT.write_binner_files(good, str(tmp_path / "again"))
+    back, none = CT.read_binner_files_checked(spark, str(tmp_path / "again"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, good.collect())) and none.count() == 0
