@@ -3,7 +3,8 @@
 ``write`` puts one record per page into archives that are one gzip stream each (the form that cannot be
 read from the middle).  ``normalise`` inflates each such stream once, front to back in bounded memory,
 rewrites every record as a gzip member of its own and writes a sidecar offset index beside it.
-``read`` uses that index: a task seeks to a range of members and parses them.
+``read`` opens that index, not the archive, to find the members: it cuts it into ranges of at most a
+number of bytes (or one record), and tasks seek to their ranges and inflate them in bounded memory.
 
 Payloads that are equal and at least ``least`` bytes long are stored once: the smallest page_id's record
 is the response, the others are revisits that refer to it.  Equality is by SHA-1; copies are found by
@@ -24,7 +25,7 @@ import hashlib
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from longtab.session import cut_lineage, ensure_checkpoint_dir
 
 LEAST_BYTES = 0
-BLOCK_RECORDS = 200      # records that one index row (one unit of reading) covers
+BLOCK_BYTES = 8 << 20    # compressed bytes that one unit of reading covers; a longer record is a unit of its own
 READ = 1 << 20
+ROWS = 4096              # rows that a task hands over at once
 STAMP = "2024-01-01T00:00:00Z"
 
 
@@ -104,13 +106,15 @@ def parse(raw: bytes) -> tuple[dict, bytes]:
     return fields, rest[:int(fields["content-length"])]
 
 
-def inflate(stream) -> Iterator[bytes]:
-    """Pieces of a gzip file of one or many members, in bounded memory."""
+def inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of a gzip file of one or many members that comes in ``pieces``, in bounded memory."""
     z = zlib.decompressobj(31)
-    while data := stream.read(READ):
+    for data in pieces:
+        if z.eof:
+            z = zlib.decompressobj(31)
         while data:
             yield z.decompress(data, READ)
-            while z.unconsumed_tail:
+            while z.unconsumed_tail and not z.eof:
                 yield z.decompress(z.unconsumed_tail, READ)
             data = z.unused_data
             if z.eof and data:
@@ -142,68 +146,126 @@ def write(rows: DataFrame, folder: str) -> DataFrame:
     return cut_lineage(rows.select("page_id", "url", "html", "first_id").mapInArrow(run, "archive string, records long"), "archives")
 
 
-def normalise(archives: DataFrame, block: int = BLOCK_RECORDS) -> DataFrame:
-    """``archives(archive)`` of any gzip layout -> (archive, start, stop, records): ranges of members of the
-    rewritten files.  Beside each rewritten file stands its index: a JSON line per record (id, offset, length)."""
+def normalise(archives: DataFrame) -> DataFrame:
+    """``archives(archive)`` of any gzip layout -> (archive, records): the rewritten files, one member per record.
+    Beside each stands its index ``<archive>.idx``: a JSON line per record (id, offset, length)."""
     def run(batches):
         for b in batches:
             for source in b.column("archive").to_pylist():
                 where, path = _open(source)
                 name = f"{source.rpartition('/')[0]}/norm-{uuid.uuid4().hex}.warc.gz"
-                at, split, ranges = 0, Splitter(), []
+                at, n, split = 0, 0, Splitter()
                 to, target = _open(name)
                 with where.open_input_stream(path, compression=None) as stream, \
                         to.open_output_stream(target, compression=None) as out, \
                         to.open_output_stream(f"{target}.idx", compression=None) as index:
-                    for piece in inflate(stream):
+                    for piece in inflate(iter(lambda: stream.read(READ), b"")):
                         for raw in split.feed(piece):
                             z = zlib.compressobj(6, zlib.DEFLATED, 31)
                             member = z.compress(raw) + z.flush()
                             out.write(member)
                             fields, _ = parse(raw)
                             index.write(json.dumps({"id": fields["warc-record-id"], "offset": at, "length": len(member)}).encode() + b"\n")
-                            if not ranges or ranges[-1][2] == block:
-                                ranges.append([at, at, 0])
-                            at += len(member)
-                            ranges[-1][1:] = [at, ranges[-1][2] + 1]
+                            at, n = at + len(member), n + 1
                 if split.held:
                     raise ValueError(f"{source} ends inside a record")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(ranges), pa.string()), *[pa.array([r[i] for r in ranges], pa.int64()) for i in range(3)]],
-                    names=["archive", "start", "stop", "records"])
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["archive", "records"])
     # one archive a task: a row is a whole file's work
     n = max(1, archives.count())
     spread = archives.select("archive").repartitionByRange(n, "archive")
-    return cut_lineage(spread.mapInArrow(run, "archive string, start long, stop long, records long"), "members")
+    return cut_lineage(spread.mapInArrow(run, "archive string, records long"), "normalised")
+
+
+def entries(archive: str) -> Iterator[tuple[str, int, int]]:
+    """(record id, offset, length) of every line of an archive's index, streamed."""
+    where, path = _open(f"{archive}.idx")
+    held = b""
+    with where.open_input_stream(path, compression=None) as f:
+        while data := f.read(READ):
+            *lines, held = (held + data).split(b"\n")
+            for line in lines:
+                e = json.loads(line)
+                yield e["id"], e["offset"], e["length"]
+    if held:
+        raise ValueError(f"the index of {archive} is cut off")
+
+
+def fetch(archive: str, offset: int, length: int) -> tuple[dict, bytes]:
+    """The header fields and payload of the one record that an index entry names."""
+    where, path = _open(archive)
+    with where.open_input_file(path) as f:
+        return parse(zlib.decompress(f.read_at(length, offset), 31))
+
+
+def ranges(archives: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
+    """(archive, start, stop, records): the members of every archive's index in ranges of at most ``block`` bytes."""
+    def cut(name):
+        start = stop = records = 0
+        for _, offset, length in entries(name):
+            if offset != stop:
+                raise ValueError(f"the index of {name} leaves out bytes {stop} to {offset}")
+            if records and stop + length - start > block:
+                yield name, start, stop, records
+                start, records = stop, 0
+            stop, records = stop + length, records + 1
+        if records:
+            yield name, start, stop, records
 
-
-def read(ranges: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record in the ranges of members.
-    A response's payload is hashed again and must agree with its header."""
+    def run(batches):
+        for b in batches:
+            for name in b.column("archive").to_pylist():
+                rows = list(cut(name))
+                for i in range(0, len(rows), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:i + ROWS]], pa.string() if not k else pa.int64())
+                                                      for k in range(4)], names=["archive", "start", "stop", "records"])
+    return archives.select("archive").mapInArrow(run, "archive string, start long, stop long, records long")
+
+
+def _window(f, start: int, stop: int) -> Iterator[bytes]:
+    while start < stop:
+        data = f.read_at(min(READ, stop - start), start)
+        if not data:
+            raise ValueError("the archive is shorter than its index")
+        yield data
+        start += len(data)
+
+
+def read(archives: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of normalised ``archives(archive)``,
+    found by their indexes.  A response's payload is hashed again and must agree with its header, and a range
+    must hold as many records as its index says."""
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
     number = lambda s: None if s == "<urn:page:->" else int(s[10:-1])
 
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=list(names))
+
     def run(batches):
         for b in batches:
-            for name, start, stop in zip(*[b.column(c).to_pylist() for c in ("archive", "start", "stop")], strict=True):
+            for name, start, stop, records in zip(*[b.column(c).to_pylist() for c in ("archive", "start", "stop", "records")], strict=True):
                 where, path = _open(name)
-                cols: dict[str, list] = {c: [] for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")}
+                rows, seen, split = [], 0, Splitter()
                 with where.open_input_file(path) as f:
-                    data = f.read_at(stop - start, start)
-                while data:
-                    z = zlib.decompressobj(31)
-                    fields, payload = parse(z.decompress(data))
-                    data = z.unused_data
-                    kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
-                    if kind == "response" and (digest != base32_sha1(payload) or int(fields["x-payload-length"]) != len(payload)):
-                        raise ValueError(f"{name}: payload of {fields['warc-record-id']} does not match its digest")
-                    refers = fields.get("warc-refers-to")
-                    for c, v in zip(cols.values(), (number(fields["warc-record-id"]), int(fields["x-payload-length"]), digest, kind,
-                                                    number(refers) if refers else None), strict=True):
-                        c.append(v)
-                types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols.values(), types, strict=True)], names=list(cols))
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return ranges.select("archive", "start", "stop").mapInArrow(run, schema)
+                    for piece in inflate(_window(f, start, stop)):
+                        for raw in split.feed(piece):
+                            fields, payload = parse(raw)
+                            kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
+                            if kind == "response" and (digest != base32_sha1(payload) or int(fields["x-payload-length"]) != len(payload)):
+                                raise ValueError(f"{name}: payload of {fields['warc-record-id']} does not match its digest")
+                            refers = fields.get("warc-refers-to")
+                            rows.append((number(fields["warc-record-id"]), int(fields["x-payload-length"]), digest, kind,
+                                         number(refers) if refers else None))
+                            if len(rows) == ROWS:
+                                yield batch(rows)
+                                seen, rows = seen + len(rows), []
+                if split.held or seen + len(rows) != records:
+                    raise ValueError(f"{name}: bytes {start} to {stop} do not hold the {records} records of the index")
+                yield batch(rows)
+    # ranges of one archive are dealt to many tasks
+    n = max(archives.sparkSession.sparkContext.defaultParallelism, archives.count())
+    dealt = ranges(archives, block).repartition(n, "archive", "start")
+    return dealt.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def round_trip(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:

@@ -330,7 +330,29 @@ def test_warc_round_trip(spark, tmp_path):
     for name, data in (("a.warc.gz", whole), ("b.warc.gz", many)):
         (tmp_path / name).write_bytes(data)
         files = spark.createDataFrame([(f"file://{tmp_path}/{name}",)], "archive string")
-        assert sorted(r.payload_bytes for r in warc.read(warc.normalise(files, block=2)).collect()) == [1, 2, 3]
+        assert sorted(r.payload_bytes for r in warc.read(warc.normalise(files), block=2).collect()) == [1, 2, 3]
+
+
+def test_warc_index_finds_single_records(spark, tmp_path):
+    raws = [warc.record(i, "u", bytes([65 + i]) * (50_000 * i), None) for i in range(30)]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(raws)))
+    done = warc.normalise(spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "archive string"))
+    (row,) = done.collect()
+    index = list(warc.entries(row.archive))
+    assert row.records == 30 and [e[0] for e in index] == [f"<urn:page:{i}>" for i in range(30)]
+    for i in (29, 0, 7):
+        fields, payload = warc.fetch(row.archive, *index[i][1:])
+        assert fields["warc-record-id"] == f"<urn:page:{i}>" and payload == bytes([65 + i]) * (50_000 * i)
+    for block in (1, 1000, 1 << 30):        # one record a range, some, all
+        cut = warc.ranges(done, block).collect()
+        assert sum(r.records for r in cut) == 30 and (len(cut) == 30 if block == 1 else len(cut) < 30)
+        assert sorted(r.page_id for r in warc.read(done, block).collect()) == list(range(30))
+    path = row.archive.removeprefix("file://")
+    lines = open(f"{path}.idx", "rb").read().splitlines(keepends=True)
+    for wrong in (lines[:5] + lines[6:], [*lines[:-1], lines[-1][:-4]], [*lines, lines[0].replace(b'"offset": 0', b'"offset": %d' % (index[-1][1] + index[-1][2]))]):
+        open(f"{path}.idx", "wb").write(b"".join(wrong))
+        with pytest.raises(Exception):
+            warc.read(done).collect()
 
 
 def test_ann_recall_and_ties(spark):
