@@ -15,6 +15,9 @@ SCORE_HETEROGENEITY_WEIGHT = 1.0
 SCORE_N50_WEIGHT = 0.5
 GAP = "N" * 20
 
+CHUNK = 1 << 16              # characters of a genome in one row
+LANE = 1 << 12               # contigs (by their place in file) whose lengths are summed in one window
+
 
 def merge_quality(quality: DataFrame) -> DataFrame:
     """SET2: one quality table over artifacts, genome ids prefixed ``<artifact>_``."""
@@ -90,6 +93,73 @@ def concat_genomes(contigs: DataFrame, gap: str = GAP, genome_col: str = "genome
     return g.select(genome_col, F.array_join(F.transform("_s", lambda x: x["seq"]), gap).alias("seq"))
 
 
+def _placed(contigs: DataFrame, gap: str, genome_col: str, order_col: str) -> DataFrame:
+    """(genome_col, _start, _b): the bytes every non-empty contig adds to its genome (its gap in front, but for the first one)
+    and the place of the first of them.
+
+    Lengths are summed over (genome, place in file), then over lanes of places and over the lanes of a genome, so
+    neither a window nor a row holds a genome; the sequences move once, to meet their starts."""
+    key = F.struct(F.col(genome_col).alias("g"), F.col(order_col).cast("bigint").alias("o"))    # equal with nulls in it, too
+    c = contigs.filter(F.length("seq") > 0).select(key.alias("_k"), F.encode("seq", "US-ASCII").alias("_b"))
+    takes = F.octet_length("_b").cast("bigint") + len(gap)
+    per = c.groupBy("_k").agg(F.sum(takes).alias("_n")).withColumn(
+        "_lane", F.struct("_k.g", F.floor(F.col("_k.o") / LANE).alias("no")))
+    before = lambda part, by: F.coalesce(F.sum("_n").over(
+        Window.partitionBy(part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lanes = per.groupBy("_lane").agg(F.sum("_n").alias("_n")).select("_lane", before("_lane.g", "_lane.no").alias("_ahead"))
+    starts = per.withColumn("_in", before("_lane", "_k.o")).join(lanes, "_lane").select("_k", (F.col("_ahead") + F.col("_in")).alias("_before"))
+    ties = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)    # one row where places are unique
+    at = F.col("_before") + F.coalesce(F.sum(takes).over(ties), F.lit(0))
+    c = c.join(starts, "_k").select(F.col("_k.g").alias(genome_col), at.alias("_at"), "_b")
+    first = F.col("_at") == 0
+    return c.select(genome_col, F.when(first, 0).otherwise(F.col("_at") - len(gap)).alias("_start"),
+                    F.when(first, F.col("_b")).otherwise(F.concat(F.lit(gap.encode("ascii")), "_b")).alias("_b"))
+
+
+def _in_chunks(placed: DataFrame, keys: list[str], chunk: int, overlap: int) -> DataFrame:
+    """Bytes at their places -> (keys, chunk_no, seq), rows of ``chunk`` characters and ``overlap`` of the next one's."""
+    end = F.col("_start") + F.octet_length("_b")
+    lo = F.greatest(F.floor((F.col("_start") - overlap) / chunk), F.lit(0))
+    low, high = lambda i: F.greatest(F.col("_start"), i * chunk), lambda i: F.least(end, i * chunk + chunk + overlap)
+    cut = F.transform(F.sequence(lo, F.floor((end - 1) / chunk)), lambda i: F.struct(
+        i.alias("chunk_no"), low(i).alias("at"),
+        F.substring(F.col("_b"), (low(i) - F.col("_start") + 1).cast("int"), (high(i) - low(i)).cast("int")).alias("part")))
+    parts = placed.select(*keys, F.explode(cut).alias("_x")).select(
+        *keys, "_x.chunk_no", F.struct("_x.at", F.decode("_x.part", "US-ASCII").alias("part")).alias("_p"))
+    return parts.groupBy(*keys, "chunk_no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("_p")), lambda x: x["part"]), "").alias("seq"))
+
+
+def genome_chunks(contigs: DataFrame, gap: str = GAP, chunk: int = CHUNK, overlap: int = 0, genome_col: str = "genome_id",
+                  order_col: str = "ord") -> DataFrame:
+    """AGG11 for genomes of any size: ``concat_genomes``' sequence as rows (genome, chunk_no from 0, seq) of ``chunk``
+    characters, each with the first ``overlap`` characters of what follows (k - 1 of them keep all k-mers, each once).
+
+    Sequences are ASCII.  Contigs of one place stand by sequence, a null place is first, rows without a genome id are one
+    genome, empty contigs and genomes of nothing else give no row; other columns are left out."""
+    return _in_chunks(_placed(contigs, gap, genome_col, order_col), [genome_col], chunk, overlap)
+
+
+def record_chunks(contigs: DataFrame, chunk: int = CHUNK, genome_col: str = "genome_id", order_col: str = "ord",
+                  title_col: str = "title") -> DataFrame:
+    """AGG11, a record per contig: rows (genome, place in file, title up to white space, chunk_no, seq); an empty contig
+    keeps its title with an empty chunk 0.  Contigs of one genome, place and title are one record of each other's text, so
+    places must be unique."""
+    word = F.regexp_extract(F.trim(F.col(title_col)), r"^>?(\S*)", 1).alias("title")
+    keys = [genome_col, order_col, "title"]
+    c = contigs.select(genome_col, order_col, word, F.lit(0).cast("bigint").alias("_start"),
+                       F.encode(F.coalesce("seq", F.lit("")), "US-ASCII").alias("_b"))
+    bare = c.filter(F.octet_length("_b") == 0).select(*keys, F.lit(0).cast("bigint").alias("chunk_no"), F.lit("").alias("seq"))
+    return _in_chunks(c.filter(F.octet_length("_b") > 0), keys, chunk, 0).unionByName(bare)
+
+
+def fasta_lines(chunks: DataFrame, name_col: str) -> DataFrame:
+    """``line`` of every chunk: FASTA text once the rows stand in the order of their genome (and place) and chunk_no.  The parts
+    of ``exports.write_sorted_text`` in name order are one such text; one part alone may begin inside a sequence."""
+    head = F.concat(F.lit(">"), F.coalesce(F.col(name_col).cast("string"), F.lit("")), F.lit("\n"))
+    return chunks.withColumn("line", F.when(F.col("chunk_no") == 0, F.concat(head, "seq")).otherwise(F.col("seq")))
+
+
 def concat_stats(contigs: DataFrame, genome_col: str = "genome_id") -> DataFrame:
     """AGG12: genomes, sequences and characters written."""
     c = contigs.filter(F.length("seq") > 0)

@@ -106,7 +106,7 @@ def genome_table(quality: DataFrame, contigs: DataFrame, aln: DataFrame, lengths
     ``contigs``: artifact_id, genome_id (the bin), contig_id, ord, seq, and kind where LCG rows carry their artifact;
     ``aln.ref_id`` is a contig id."""
     scored, kept = genome_quality(quality, contigs)
-    clusters = SM.dereplicate(SM.sketches(QL.concat_genomes(kept), k, s), scored, threshold, k, s)
+    clusters = SM.dereplicate(SM.sketches(QL.genome_chunks(kept, overlap=k - 1), k, s), scored, threshold, k, s)
     reps = kept.join(clusters.filter("is_rep").select("genome_id"), "genome_id", "left_semi")
     of = reps.select(F.col("contig_id").alias("ref_id"), "genome_id")
     hits = A.min_filter(A.flag_filter(aln), min_identity, min_aligned)
@@ -124,8 +124,9 @@ def genome_table(quality: DataFrame, contigs: DataFrame, aln: DataFrame, lengths
 
 
 def concat(files: DataFrame, metadata: DataFrame, records: DataFrame, words: str = "", gap: str = QL.GAP) -> dict[str, DataFrame]:
-    """PIPE6: ``genomes`` (one sequence per genome id, contigs in order), ``stats``, and the errors: ``unknown``
-    files and ``duplicates`` (genome ids of several files; they are left out of ``genomes``).
+    """PIPE6: ``chunks`` of the genomes (contigs in order, no row holds a genome), ``records`` (a record per contig instead),
+    ``genomes`` (one row per genome id, for small ones), ``stats``, and the errors: ``unknown`` files and ``duplicates``
+    (genome ids of several files; they are left out).  ``quality.fasta_lines`` and ``exports.write_sorted_text`` write either.
 
     ``records``: file_name, title, ord, seq; ``words`` drops records by title."""
     mapped = QL.map_genome_ids(files, metadata)
@@ -133,5 +134,6 @@ def concat(files: DataFrame, metadata: DataFrame, records: DataFrame, words: str
     known = mapped.filter(F.col("genome_id").isNotNull()).join(twice, "genome_id", "left_anti")
     titled = QL.title_filter(records, words) if any(words.split(",")) else records
     contigs = titled.join(known.select("file_name", "genome_id"), "file_name")
-    return {"genomes": QL.concat_genomes(contigs, gap), "stats": QL.concat_stats(contigs),
+    return {"chunks": QL.genome_chunks(contigs, gap), "records": QL.record_chunks(contigs),
+            "genomes": QL.concat_genomes(contigs, gap), "stats": QL.concat_stats(contigs),
             "unknown": mapped.filter(F.col("genome_id").isNull()), "duplicates": twice}

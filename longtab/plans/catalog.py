@@ -671,6 +671,23 @@ def q_genome_concat(spark, sf):
     return QL.concat_genomes(V.view(spark, sf, "v_contigs"))
 
 
+@register("genome_chunks", f"""
+WITH whole AS (SELECT genome_id, string_agg(seq, repeat('N', 20) ORDER BY ord) AS s FROM v_contigs WHERE length(seq) > 0 GROUP BY genome_id)
+SELECT genome_id, c AS chunk_no, substr(s, c * {QL.CHUNK} + 1, {QL.CHUNK}) AS seq
+FROM (SELECT genome_id, s, unnest(range(0, (length(s) - 1) // {QL.CHUNK} + 1)) AS c FROM whole) x
+""")
+def q_genome_chunks(spark, sf):
+    return QL.genome_chunks(V.view(spark, sf, "v_contigs"))
+
+
+@register("genome_records", """
+SELECT genome_id, ord, contig_id AS title, c AS chunk_no, substr(seq, c * 1024 + 1, 1024) AS seq
+FROM (SELECT genome_id, ord, contig_id, seq, unnest(range(0, greatest(length(seq) - 1, 0) // 1024 + 1)) AS c FROM v_contigs) x
+""")
+def q_genome_records(spark, sf):
+    return QL.record_chunks(V.view(spark, sf, "v_contigs"), chunk=1024, title_col="contig_id")
+
+
 @register("genome_concat_stats", """
 SELECT count(DISTINCT genome_id) AS genomes, count(*) AS sequences, cast(sum(length(seq)) AS bigint) AS characters
 FROM v_contigs WHERE length(seq) > 0

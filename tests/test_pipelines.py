@@ -65,6 +65,8 @@ def test_concat_leaves_out_ambiguous_genomes(spark):
                                      ("y.fna", ">1 chr", 1, "GG")], "file_name string, title string, ord int, seq string")
     out = PL.concat(files, meta, records, words="plasmid", gap="N")
     assert [(r.genome_id, r.seq) for r in out["genomes"].collect()] == [("G1", "AANTT")]
+    assert [(r.genome_id, r.chunk_no, r.seq) for r in out["chunks"].collect()] == [("G1", 0, "AANTT")]
+    assert sorted((r.genome_id, r.ord, r.title, r.seq) for r in out["records"].collect()) == [("G1", 1, "2", "AA"), ("G1", 3, "3", "TT")]
     assert [r.file_name for r in out["unknown"].collect()] == ["w.fna"] and out["duplicates"].count() == 1
 
 
