@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from longtab.llm.common import by_chars, hashed_sample, id_crc, map_batches, texts_of
@@ -29,6 +29,7 @@ from longtab.llm.wordscan import Words, affix_hash, bucket, scan, word_hash
 BITS = 18
 # Training bounds: documents per class, and characters of a document that may be in the sample.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 30_000
+SAMPLE_TOTAL = 40_000_000      # characters of all sampled texts; about 32 bytes a token on the driver
 EPOCHS, BATCH, RATE, DECAY = 4, 60_000, 0.3, 1e-5
 FIELDS = 8   # word, prefix 3/4/5, suffix 4, previous word, next word, bias
 
@@ -211,16 +212,18 @@ def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model
 def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN) -> Model:
     """``docs(doc_id, text)``, ``labels(doc_id, toxic)``; only ids whose crc32 as text modulo 5 is not 0 teach.
 
-    The sampled ids (bounded per class) are broadcast; their texts come to the driver, at most
-    (sample_toxic + sample_clean) x SAMPLE_CHARS characters."""
+    The sampled ids (bounded per class) are broadcast; their texts come to the driver, at most SAMPLE_TOTAL characters, in
+    the order of a hash of the id, so which ones does not depend on the input's order.  An id with unlike texts gives its least."""
     own = (labels.where(F.col("toxic").isNotNull() & (id_crc() % 5 != 0)).groupBy("doc_id")
            .agg(F.max("toxic").alias("toxic")))
     n = {bool(r.toxic): r["n"] for r in own.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     ids = hashed_sample(own.where("toxic > 0"), "doc_id", sample_toxic, "toxic").unionByName(
         hashed_sample(own.where("toxic <= 0"), "doc_id", sample_clean, "toxic"))
     rows = (docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS)
-            .join(F.broadcast(ids), "doc_id")
-            .select("doc_id", "text", (F.col("toxic") > 0).alias("toxic")).dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
+            .join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), (F.max("toxic") > 0).alias("toxic")))
+    held = Window.orderBy(F.xxhash64(F.lit("toxic"), F.col("doc_id")), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("held", F.sum(F.length("text")).over(held)).where(F.col("held") <= SAMPLE_TOTAL)     # the sample's rows
+    rows = rows.select("doc_id", "text", "toxic").toArrow().sort_by("doc_id")
     toxic = np.array(rows.column("toxic").to_pylist(), dtype=bool)
     share = n.get(True, 0) / max(1, int(toxic.sum()))
     return fit(rows.column("text").to_pylist(), toxic, (n.get(False, 0) / max(1, int((~toxic).sum()))) / max(share, 1e-9))
