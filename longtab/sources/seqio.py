@@ -38,6 +38,16 @@ def read_fasta(spark: SparkSession, paths, genome_from_file: bool = True, keep_p
     return out if keep_path else out.drop("file_path")
 
 
+def read_fasta_checked(spark: SparkSession, paths, **how) -> tuple[DataFrame, DataFrame]:
+    """(records, quarantine ``(file_name, line, reason)``): ``read_fasta`` with its bad records apart, ``line`` their title:
+    no name, no sequence, symbols that stand for no base or residue."""
+    reason = (F.when(F.col("contig_id") == "", "no name").when(F.col("seq") == "", "no sequence")
+               .when(F.col("seq").rlike(r"[^A-Za-z*.-]"), "symbols that are no sequence"))
+    told = read_fasta(spark, paths, **how).withColumn("reason", reason)
+    return (told.filter(F.col("reason").isNull()).drop("reason"),
+            told.filter(F.col("reason").isNotNull()).select("file_name", F.trim(F.concat_ws(" ", "contig_id", "description")).alias("line"), "reason"))
+
+
 def _wrap(seq: Column, width: int | None) -> Column:
     if not width:
         return seq
@@ -144,6 +154,21 @@ def read_gfa(spark: SparkSession, paths) -> DataFrame:
     return t.select("file_name", *more, *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("rec_type", "contig_id", "seq"))])
 
 
+def read_gfa_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine ``(file_name, line, reason)``): ``read_gfa`` with its bad rows apart: no record type, segments without
+    a name or sequence.  Blank lines are neither."""
+    filled = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    raw = spark.read.text(paths).filter(F.trim("value") != "")
+    more = [c for c in raw.columns if c != "value"]
+    t = raw.select("value", F.split("value", "\t").alias("f"), F.col("_metadata.file_name").alias("file_name"), *more)
+    t = t.select("file_name", *more, "value", *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("rec_type", "contig_id", "seq"))])
+    reason = (F.when(~F.col("rec_type").rlike("^[A-Z#]$"), "no record type")
+               .when((F.col("rec_type") == "S") & ~(filled("contig_id") & filled("seq")), "segment without name or sequence"))
+    told = t.withColumn("reason", reason)
+    return (told.filter(F.col("reason").isNull()).drop("reason", "value"),
+            told.filter(F.col("reason").isNotNull()).select("file_name", F.col("value").alias("line"), "reason"))
+
+
 # --- SAM -----------------------------------------------------------------------------------------
 SAM_COLUMNS = ("read_id", "flag", "ref_id", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
 

@@ -23,6 +23,98 @@ def _tsv(spark: SparkSession, header: bool = False):
     return spark.read.option("sep", "\t").option("header", str(header).lower()).option("mode", "PERMISSIVE")
 
 
+# --- readers with a quarantine -------------------------------------------------------------------
+# ``read_x_checked`` returns (good rows, quarantine ``(file_name, line, reason)``); every line that is neither blank nor a
+# header or comment is in exactly one of them.  The plain readers keep such rows with null cells.
+def _text_lines(spark: SparkSession, paths) -> DataFrame:
+    """(file_name, line, f): lines that are not blank, without a carriage return at their end, and their tab-separated cells."""
+    line = F.regexp_replace("value", "\r$", "")
+    return (spark.read.text(paths).select(F.col("_metadata.file_name").alias("file_name"), line.alias("line"))
+            .filter(F.trim("line") != "").withColumn("f", F.split("line", "\t")))
+
+
+def _cell(i: int) -> Column:
+    return F.get("f", F.lit(i))
+
+
+def _apart(rows: DataFrame, reason: Column, *cols: Column | str) -> tuple[DataFrame, DataFrame]:
+    told = rows.withColumn("reason", reason)
+    return (told.filter(F.col("reason").isNull()).select(*cols),
+            told.filter(F.col("reason").isNotNull()).select("file_name", "line", "reason"))
+
+
+def read_manifest_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """SRC1 with its bad lines apart: no path, an empty sample, text for an artifact.  Cells are taken as they stand, quotes too."""
+    artifact = F.trim(_cell(2)).try_cast("bigint")
+    reason = (F.when(F.trim(_cell(0)) == "", "empty sample").when(F.coalesce(F.trim(_cell(1)), F.lit("")) == "", "no path")
+               .when((F.coalesce(F.trim(_cell(2)), F.lit("")) != "") & artifact.isNull(), "artifact is no number"))
+    return _apart(_text_lines(spark, paths), reason, _cell(0).alias("sample_id"), _cell(1).alias("path"), artifact.alias("artifact_id"))
+
+
+def read_lengths_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """SRC8 with its bad lines apart: no reference, a length that is no whole number above -1."""
+    length = F.trim(_cell(1)).try_cast("bigint")
+    reason = (F.when(F.trim(_cell(0)) == "", "empty reference")
+               .when(F.coalesce(length < 0, F.lit(True)), "length is no whole number"))
+    return _apart(_text_lines(spark, paths), reason, _cell(0).alias("ref_id"), length.alias("length"))
+
+
+def read_coords_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """SRC9 with its bad lines apart: genes of a block without a name, coordinates that are missing, text or below 1."""
+    rows = (_coord_lines(spark, paths).withColumn("f", F.split("line", "\t")))
+    a, z = (F.trim(_cell(i)).try_cast("bigint") for i in (1, 2))
+    reason = (F.when(F.col("ref_id") == "", "no reference").when(F.trim(_cell(0)) == "", "empty gene")
+               .when(F.coalesce(F.least(a, z) < 1, F.lit(True)) | a.isNull() | z.isNull(), "coordinate is no whole number from 1"))
+    return _apart(rows, reason, "ref_id", _cell(0).alias("gene_id"), (F.least(a, z) - 1).alias("start"),
+                  F.greatest(a, z).alias("stop"), F.when(a > z, "-").otherwise("+").alias("strand"))
+
+
+def read_map_checked(spark: SparkSession, paths, name: str) -> tuple[DataFrame, DataFrame]:
+    """SRC10 with its bad lines apart: no source, or no target that is not empty.  Good rows are one per target."""
+    targets = F.filter(_after_first(F.col("f")), lambda t: t != "")
+    reason = F.when(F.trim(_cell(0)) == "", "empty source").when(F.size(targets) == 0, "no target")
+    good, bad = _apart(_text_lines(spark, paths).filter(~F.col("line").startswith("#")), reason, _cell(0).alias("source"), targets.alias("t"))
+    return good.select(F.lit(name).alias("map"), "source", F.explode("t").alias("target")), bad
+
+
+def read_lineage_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """SRC11 with its bad lines apart: no reference or no lineage."""
+    reason = (F.when(F.trim(_cell(0)) == "", "empty reference").when(F.coalesce(F.trim(_cell(1)), F.lit("")) == "", "no lineage"))
+    return _apart(_text_lines(spark, paths), reason, _cell(0).alias("ref_id"), _cell(1).alias("lineage"),
+                  F.transform(F.split(_cell(1), ";"), lambda x: F.trim(x)).alias("ranks"))
+
+
+def read_quality_checked(spark: SparkSession, paths, id_col: str = "Bin Id") -> tuple[DataFrame, DataFrame]:
+    """SRC7 with its bad rows apart: no bin, or text for a number (``NA`` is one, too).  ``line`` joins the row's cells by tabs."""
+    raw = _tsv(spark, header=True).csv(paths)
+    names = [c for c in ("Completeness", "Contamination", "Strain heterogeneity") if c in raw.columns]
+    cells = F.array_join(F.array(*[F.col(f"`{c}`") for c in raw.columns]), "\t", "")
+    reason = F.when(F.coalesce(F.trim(F.col(f"`{id_col}`")), F.lit("")) == "", "no bin")
+    for c in names:
+        reason = reason.when(F.col(f"`{c}`").try_cast("double").isNull(), f"{c} is no number")
+    rows = raw.withColumn("file_name", F.col("_metadata.file_name")).withColumn("line", cells)
+    return _apart(rows, reason, *[F.col(f"`{c}`").try_cast("double").alias(c) if c in names else F.col(f"`{c}`") for c in raw.columns], "file_name")
+
+
+def read_feature_tsv_checked(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """SRC12 with its bad lines apart: no feature, more or fewer cells than the header names samples, text in a cell.  A bad
+    line gives no cell; zeros and blanks of good ones are dropped."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
+                                          F.regexp_replace("value", "\r$", "").alias("line"))
+    lines = lines.filter((F.trim("line") != "") & ~F.col("line").startswith("# "))
+    head = (lines.filter(F.col("line").startswith("#")).groupBy("path").agg(F.min("line").alias("head"))
+                 .select("path", _after_first(F.split("head", "\t")).alias("names")))
+    rows = (lines.filter(~F.col("line").startswith("#")).withColumn("f", F.split("line", "\t")).join(head, "path", "left")
+                 .withColumn("cells", F.transform(_after_first(F.col("f")), lambda x: F.trim(x))))
+    reason = (F.when(F.col("names").isNull(), "no header").when(F.trim(_cell(0)) == "", "empty feature")
+               .when(F.size("cells") != F.size("names"), "cells and samples differ in number")
+               .when(F.exists("cells", lambda x: (x != "") & x.try_cast("double").isNull()), "text in a cell"))
+    good, bad = _apart(rows, reason, _cell(0).alias("feature_id"), F.explode(F.arrays_zip("names", "cells")).alias("x"))
+    value = F.col("x.cells").try_cast("double")
+    return (good.select(F.col("x.names").alias("sample_id"), "feature_id", value.alias("value"))
+                .filter(F.col("value").isNotNull() & (F.col("value") != 0)), bad)
+
+
 def read_manifest(spark: SparkSession, paths) -> DataFrame:
     """SRC1: headerless ``sample, path[, artifact]`` lines, tab separated only; blank lines skipped."""
     df = _tsv(spark).schema(MANIFEST_SCHEMA).csv(paths)
@@ -58,15 +150,20 @@ def read_lengths(spark: SparkSession, paths) -> DataFrame:
     return _tsv(spark).schema(LENGTHS_SCHEMA).csv(paths)
 
 
+def _coord_lines(spark: SparkSession, paths) -> DataFrame:
+    """(file_name, ref_id, line): the lines of every block that are not blank, by the block's name."""
+    blocks = spark.read.option("lineSep", "\n>").text(paths)
+    b = blocks.select(F.col("_metadata.file_name").alias("file_name"), F.regexp_replace("value", r"^>", "").alias("v"))
+    b = b.select("file_name", F.trim(F.substring_index("v", "\n", 1)).alias("ref_id"),
+                 F.explode(_after_first(F.split("v", "\n"))).alias("line"))
+    return b.filter(F.trim("line") != "")
+
+
 def read_coords(spark: SparkSession, paths) -> DataFrame:
     """SRC9: gene coordinates in blocks: ``>ref_id`` then ``gene <tab> a <tab> b`` lines.
     Coordinates are 1-based inclusive and may be reversed (a > b); output is 0-based half-open
     ``start < stop`` plus ``strand``."""
-    blocks = spark.read.option("lineSep", "\n>").text(paths)
-    b = blocks.select(F.regexp_replace("value", r"^>", "").alias("v"))
-    b = b.select(F.trim(F.substring_index("v", "\n", 1)).alias("ref_id"),
-                 F.explode(_after_first(F.split("v", "\n"))).alias("line"))
-    f = b.filter(F.trim("line") != "").select("ref_id", F.split("line", "\t").alias("f"))
+    f = _coord_lines(spark, paths).select("ref_id", F.split("line", "\t").alias("f"))
     a, z = (F.get("f", F.lit(i)).try_cast("bigint") for i in (1, 2))
     both = a.isNotNull() & z.isNotNull()                  # short or textual lines keep their gene with null coordinates
     return f.select("ref_id", F.col("f")[0].alias("gene_id"), F.when(both, F.least(a, z) - 1).alias("start"),

@@ -148,3 +148,47 @@ def test_feature_tsv_uses_each_files_own_header(spark, tmp_path):
     (tmp_path / "2.tsv").write_text("#OTU ID\tS2\nf\t2\ng\t\n")
     got = TB.read_feature_tsv(spark, [str(tmp_path / "1.tsv"), str(tmp_path / "2.tsv")])
     assert sorted((r.sample_id, r.feature_id, r.value) for r in got.collect()) == [("S1", "f", 1.0), ("S2", "f", 2.0)]
+
+
+def _checked(spark, tmp_path, text, read):
+    path = tmp_path / "in.txt"
+    path.write_text(text)
+    good, bad = read(spark, str(path))
+    return sorted(tuple(r) for r in good.collect()), sorted((r.line, r.reason) for r in bad.collect())
+
+
+def test_quarantine_takes_every_line_that_is_no_row(spark, tmp_path):
+    good, bad = _checked(spark, tmp_path, "S1\tp\t7\r\nS2\tq\n\n\tr\nS3\nS4\tt\tx\nS5\t\t1\n", TB.read_manifest_checked)
+    assert sorted(good, key=str) == [("S1", "p", 7), ("S2", "q", None)]
+    assert bad == [("\tr", "empty sample"), ("S3", "no path"), ("S4\tt\tx", "artifact is no number"), ("S5\t\t1", "no path")]
+    good, bad = _checked(spark, tmp_path, "r1\t5\nr2\tx\nr3\n\t4\nr4\t-1\nr5\t0\tmore\n", TB.read_lengths_checked)
+    assert good == [("r1", 5), ("r5", 0)] and len(bad) == 4 and ("\t4", "empty reference") in bad
+    good, bad = _checked(spark, tmp_path, ">a\ng1\t10\t3\ng2\t1\t4\ng3\tx\t4\ng4\t5\n>\ng5\t1\t2\n>b\n\ng6\t0\t2\n", TB.read_coords_checked)
+    assert good == [("a", "g1", 2, 10, "-"), ("a", "g2", 0, 4, "+")]
+    assert [b[0].split("\t")[0] for b in bad] == ["g3", "g4", "g5", "g6"] and bad[2][1] == "no reference"
+    good, bad = _checked(spark, tmp_path, "# c\ns1\ta\t\tb\ns2\t\ns3\n\tz\n", lambda sp, p: TB.read_map_checked(sp, p, "ko"))
+    assert good == [("ko", "s1", "a"), ("ko", "s1", "b")] and len(bad) == 3
+    good, bad = _checked(spark, tmp_path, "r1\tk__B; p__F\nr2\n\tk__B\n", TB.read_lineage_checked)
+    assert good == [("r1", "k__B; p__F", ["k__B", "p__F"])] and len(bad) == 2
+    text = "Bin Id\tCompleteness\tContamination\tx y\nb1\t90\t1.5\tu\nb2\tNA\t1\tv\n\t90\t1\tw\nb3\t80\n"
+    good, bad = _checked(spark, tmp_path, text, TB.read_quality_checked)
+    assert good == [("b1", 90.0, 1.5, "u", "in.txt")]
+    assert bad == [("\t90\t1\tw", "no bin"), ("b2\tNA\t1\tv", "Completeness is no number"), ("b3\t80\t\t", "Contamination is no number")]
+    text = "# Constructed\n#OTU ID\tS1\tS2\nf1\t1\t0\nf2\t\t2.5\nf3\t1\nf4\tx\t1\n\t1\t1\nf5\t1\t2\t3\n"
+    good, bad = _checked(spark, tmp_path, text, TB.read_feature_tsv_checked)
+    assert good == [("S1", "f1", 1.0), ("S2", "f2", 2.5)] and len(bad) == 4
+
+
+def test_quarantine_of_sequences_and_graphs(spark, tmp_path):
+    good, bad = _checked(spark, tmp_path, ">c1 d e\nACGT\nAC\n>c2\n>\nAC\n>c3 x\nA1\n", lambda sp, p: SQ.read_fasta_checked(sp, p))
+    assert [(r[1], r[3]) for r in good] == [("c1", "ACGTAC")]
+    assert bad == [("", "no name"), ("c2", "no sequence"), ("c3 x", "symbols that are no sequence")]
+    good, bad = _checked(spark, tmp_path, "H\tVN\nS\ts1\tAC\n\nS\ts2\nL\ts1\t+\nxx\ty\n", SQ.read_gfa_checked)
+    assert {r[1:] for r in good} == {("H", "VN", None), ("S", "s1", "AC"), ("L", "s1", "+")}
+    assert bad == [("S\ts2", "segment without name or sequence"), ("xx\ty", "no record type")]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "a.txt").write_text("\n")
+    for read in (TB.read_manifest_checked, TB.read_lengths_checked, TB.read_coords_checked, TB.read_lineage_checked, SQ.read_gfa_checked,
+                 TB.read_feature_tsv_checked):
+        assert [d.count() for d in read(spark, str(empty))] == [0, 0]
