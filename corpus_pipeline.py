@@ -3,6 +3,9 @@
 ``run`` applies the stages to ``documents``; each stage's rows are written as Parquet in the shared folder
 and read again as the next one's documents.  All stages but the last return the columns of
 ``documents``; columns beyond them are not carried on.
+
+Rows that repeat an id are rows of their own: one stays of each SimHash group, the mix shares copies among them.  Null texts
+count as empty and stay null; rows without an id pass all stages.  Ties are broken by value, so reruns agree.
 """
 
 from __future__ import annotations
@@ -47,8 +50,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_duplicates), ("pii", redact_pii), ("mixing", mix_sources),
           ("packing", pack_sequences)]
 
-# Learned models and approximate packing are beyond SQL; tests hold the operators against brute-force versions, the stages
-# only by columns and row counts.
+# Learned models and approximate packing are beyond SQL; tests hold the operators and every stage against brute-force versions.
 ORACLE_SQL = None
 
 
