@@ -5,7 +5,7 @@ and read again as the next one's documents.  All stages but the last return the
 ``documents``; columns beyond them are not carried on.
 
 Rows that repeat an id are rows of their own: one stays of each SimHash group, the mix shares copies among them.  Null texts
-count as empty and stay null; rows without an id pass all stages.  Ties are broken by value, so reruns agree.
+count as empty and stay null; rows without an id are judged, mixed and packed like others and stand in no SimHash group.  Ties are broken by value, so reruns agree.
 """
 
 from __future__ import annotations
