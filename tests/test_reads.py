@@ -106,3 +106,22 @@ def test_kmers_of_pieces_equal_those_of_the_whole(spark):
     brute = sorted((r, s[i:i + 5].encode()) for r, s in rows for i in range(len(s) - 4))
     for chunk in (1, 10, 1 << 16):
         assert sorted((r.read_id, bytes(r.kmer)) for r in RD.kmers(df, ["read_id"], 5, chunk=chunk).collect()) == brute
+
+
+def test_adapter_seeds_meet_windows_in_the_tasks(spark, monkeypatch):
+    """A small set of adapters goes to the tasks, so no stretch of a read moves; a set beyond SEED_ROWS has the same hits by a shuffle."""
+    import random
+    rnd = random.Random(5)
+    dna = lambda n: "".join(rnd.choices("ACGT", k=n))
+    ads = [("a", "ACGTTGCAAC"), ("b", dna(22)), ("c", dna(31))]
+    rows = [("S", f"r{i}", dna(i % 7) + ads[i % 3][1] + dna(150) + ads[(i + 1) % 3][1][::-1].translate(str.maketrans("ACGT", "TGCA")) + dna(i % 5))
+            for i in range(30)] + [(None, "r0", dna(40)), ("S", None, ads[1][1]), ("S", "short", "ACG")]
+    reads = spark.createDataFrame([(*r, "I" * len(r[2])) for r in rows], "sample_id string, read_id string, seq string, qual string")
+    adapters = spark.createDataFrame(ads, "adapter_id string, seq string")
+    found = lambda: sorted(map(str, RD.find_adapters(reads, adapters).collect()))
+    plan = RD.find_adapters(reads, adapters)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [side" in plan, plan
+    small = found()
+    monkeypatch.setattr(RD, "SEED_ROWS", 0)
+    assert "BroadcastHashJoin [side" not in RD.find_adapters(reads, adapters)._jdf.queryExecution().sparkPlan().toString()
+    assert found() == small
