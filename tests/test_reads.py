@@ -125,3 +125,13 @@ def test_adapter_seeds_meet_windows_in_the_tasks(spark, monkeypatch):
     monkeypatch.setattr(RD, "SEED_ROWS", 0)
     assert "BroadcastHashJoin [side" not in RD.find_adapters(reads, adapters)._jdf.queryExecution().sparkPlan().toString()
     assert found() == small
+
+
+def test_kmers_are_cut_from_small_pieces(spark):
+    """No k-mer is taken from a long row's whole value (which is copied each time): rows hold KMER_PIECE k-mers when theirs are cut."""
+    rnd = random.Random(4)
+    for n in (RD.KMER_PIECE + 6, RD.KMER_PIECE + 7, 5 * RD.KMER_PIECE + 3, RD.KMER_CHUNK + 300):
+        s = "".join(rnd.choices("ACGT", k=n))
+        got = RD.kmers(spark.createDataFrame([("r", s)], "id string, seq string"), ["id"], 7)
+        assert sorted(bytes(r.kmer) for r in got.collect()) == sorted(s[i:i + 7].encode() for i in range(n - 6))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 3      # chunks, small pieces, places
