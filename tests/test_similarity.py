@@ -109,3 +109,32 @@ def test_registered_pairs_match_the_oracle_over_all_pairs(spark):
     want = con.execute(E.oracle_sql()["genome_pairs"]).fetchall()
     got = E.queries()["genome_pairs"](spark, "/root/testdata/sf0.001").collect()
     assert sorted(map(tuple, got)) == sorted(want) and want
+
+
+def test_sketches_hash_inside_the_row(spark):
+    """Rows that move hold a piece's s smallest hashes; repeated genomes and k-mers, long rows and both strands agree with brute force."""
+    import hashlib
+    rnd = random.Random(6)
+    rc = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    dna = lambda n: "".join(rnd.choices("ACGT", k=n))
+    rows = [("g1", dna(700)), ("g1", dna(300)), ("g2", dna(66_000)), ("g3", "ACGTT" * 400 + dna(30)), ("g4", "ACG"), ("g5", dna(9)), (None, dna(50)), ("g6", None)]
+    k, s = 9, 40
+    want = {}
+    for g, q in rows:
+        for i in range(len(q or "") - k + 1):
+            want.setdefault(g, set()).add(int(hashlib.md5(min(q[i:i + k], rc(q[i:i + k])).encode()).hexdigest()[:15], 16))
+    df = spark.createDataFrame(rows, "genome_id string, seq string")
+    assert all(len(r.low) <= s for r in SM._piece_sketches(df, k, s, "md5", "genome_id").collect())
+    got = {r.genome_id: r.hs for r in SM.packed_sketches(df, k, s).collect()}
+    assert got == {g: sorted(h)[:s] for g, h in want.items()}
+
+
+def test_chain_of_shared_hashes_takes_few_rounds(spark):
+    """Genomes that share a prefix hash each with the next, but are unlike, don't wait for one another one round each."""
+    n, size = 40, 5
+    rows = [(f"g{i:02d}", h) for i in range(n) for h in [i, i + 1, *range(1000 + 10 * i, 1000 + 10 * i + size)]]
+    sk = spark.createDataFrame(rows, "genome_id string, h long")
+    scores = spark.createDataFrame([(f"g{i:02d}", float(n - i)) for i in range(n)], "genome_id string, score double")
+    out = SM.dereplicate(sk, scores, 0.9, 21, 64).collect()
+    assert len(out) == n and all(r.is_rep for r in out)
+    assert max(r.round for r in out) <= 3
