@@ -131,7 +131,7 @@ def test_sketches_hash_inside_the_row(spark):
 
 def test_chain_of_shared_hashes_takes_few_rounds(spark):
     """Genomes that share a prefix hash each with the next, but are unlike, don't wait for one another one round each."""
-    n, size = 40, 5
+    n, size = 40, 8
     rows = [(f"g{i:02d}", h) for i in range(n) for h in [i, i + 1, *range(1000 + 10 * i, 1000 + 10 * i + size)]]
     sk = spark.createDataFrame(rows, "genome_id string, h long")
     scores = spark.createDataFrame([(f"g{i:02d}", float(n - i)) for i in range(n)], "genome_id string, score double")
