@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from longtab.llm.common import by_chars, texts_of
 from longtab.llm.warc import _open
-from longtab.llm.wordids import encoder
+from longtab.llm.wordids import STRETCH, encoder
 from longtab.session import cut_lineage, ensure_checkpoint_dir
 
 BLOCK, SHARE, END = 1024, 0.95, 2
@@ -216,7 +216,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END, block: i
 
     def run(batches):
         out = writer = name = part = None
-        close = np.array([end], "<u4")
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), texts_of(batch)
             if out is None and ids:
@@ -225,9 +224,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END, block: i
                 where.create_dir(path.rpartition("/")[0])
                 out = where.open_output_stream(path, compression=None)
                 writer = Writer(out, block)
-            for a, b in by_chars(texts):
-                for i, raw in zip(ids[a:b], encoder(tokenizer).encode(texts[a:b]), strict=True):
-                    writer.add(i, np.concatenate([np.frombuffer(raw, "<u4"), close]))
+            for a, b in by_chars(texts, STRETCH):
+                every, stops = encoder(tokenizer).stretch(texts[a:b])
+                every, stops = np.insert(every, stops, end), (stops + np.arange(1, b - a + 1)).tolist()
+                for i, first, stop in zip(ids[a:b], [0, *stops[:-1]], stops, strict=True):
+                    writer.add(i, every[first:stop])
         if out is not None:
             writer.close()
             out.close()

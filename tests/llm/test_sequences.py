@@ -201,6 +201,38 @@ def test_run_ids_equal_whole_texts(path):
             assert np.frombuffer(raw, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_signs_and_numbers_cost_no_word_its_place(path):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(path)
+    e = wordids.Encoder(path, runs=50, cores=4)
+    given, plain = [], e._plain
+    e._plain = lambda text: given.append(text) or plain(text)
+    texts = ["Word word, (word) word*** wörd-word/Word", "", " word&&& ", "[wörd]_word?!"]
+    got = e.encode(texts)
+    assert sum(g.lower().count("word") for g in given) == 1 and e.cores.keys() == {"word", "wörd"}
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in got] == want
+    ids, ends = e.stretch(texts)
+    assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
+    for a in range(0, 200, 40):
+        e.encode([" ".join(map(str, range(1000 + a, 1040 + a)))])
+        assert len(e.runs) <= 50 and e.cores.keys() == {"word", "wörd"}
+    e.encode(["one two three four five six"])
+    assert len(e.cores) <= 4 and e.stretch([])[0].size == 0 and e.stretch(["", " "])[1].tolist() == [0, 0]
+
+
+def test_cuts_at_signs_equal_whole_texts(path):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(17)
+    e = wordids.Encoder(path, runs=300, cores=200)
+    pool = [*map(chr, range(32, 127)), *"aAhHsStT" * 3, *"éÉ’\t\n\r\x0b\u00a0\u2003\u0338\u0331\u0301\u0307\u0130Σς\U0001f600\ue000", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL"]
+    for _ in range(40):
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(0, 40))) for _ in range(100)]
+        for t, raw in zip(texts, e.encode(texts), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_blocks_round_trip(tmp_path):
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 100, 1024):
