@@ -9,7 +9,7 @@ gradient.  Forward-backward marginals give each token's probability; a logistic
 (expected toxic tokens, strongest token, share), fitted on the quarter of the sample that the field has
 not seen, gives the document score; tokens at 0.5 or more are the offending offsets.
 
-Learns from a bounded hashed sample per class.  Null and empty texts have no token and get the
+Learns from a bounded hashed sample per class, in the task that gathers it: the driver gets the model, no text.  Null and empty texts have no token and get the
 score of a text without evidence.  Without labels of both classes every score is the share of toxic
 labels (0 if there is none).  Repeated label rows of one document: the largest label counts.
 """
@@ -29,8 +29,9 @@ from longtab.llm.wordscan import Words, affix_hash, bucket, scan, word_hash
 BITS = 18
 # Training bounds: documents per class, and characters of a document that may be in the sample.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 30_000
-SAMPLE_TOTAL = 40_000_000      # characters of all sampled texts; about 32 bytes a token on the driver
+SAMPLE_TOTAL = 40_000_000      # characters of all sampled texts; the task that learns holds about 8 bytes a token
 EPOCHS, BATCH, RATE, DECAY = 4, 60_000, 0.3, 1e-5
+LABEL_DOCS = 500   # documents whose distinct features are counted at once
 FIELDS = 8   # word, prefix 3/4/5, suffix 4, previous word, next word, bias
 
 
@@ -42,6 +43,9 @@ class Model:
     base: float             # answer without a field
 
 
+MODEL = "weight binary, trans binary, layer binary, base double"
+
+
 @dataclass
 class Chains:
     words: Words | None     # positions of the tokens, where they are asked for
@@ -51,34 +55,94 @@ class Chains:
     size: np.ndarray        # tokens of every sentence
 
 
-def chains(texts: list[str]) -> Chains:
-    w = scan(texts)
+@dataclass
+class Sample:
+    """Chains of many texts with the features of every distinct word held once."""
+    doc: np.ndarray         # text of every token
+    word: np.ndarray        # row of ``table`` of every token
+    table: np.ndarray       # [distinct words, OWN]: features of the word itself, then its value as previous and as next word
+    seq: np.ndarray         # first token of every sentence
+    size: np.ndarray        # tokens of every sentence
+
+    def part(self, pick: np.ndarray) -> tuple[Chains, np.ndarray]:
+        """The sentences ``pick`` as chains of their own, and where their tokens were."""
+        size = self.size[pick]
+        first = np.cumsum(size) - size
+        at = np.repeat(self.seq[pick] - first, size) + np.arange(size.sum())
+        return Chains(None, self.doc[at], _features(self.table[self.word[at]], first, size), first, size), at
+
+
+OWN = 7    # columns of a word alone: word, prefix 3/4/5, suffix 4, as previous word, as next word
+
+
+def _own(w: Words) -> np.ndarray:
+    """[words, OWN] features that depend on the word alone."""
+    word = word_hash(w)
+    out = np.empty((len(w.start), OWN), dtype=np.int32)
+    for i, h in enumerate((word, lambda: affix_hash(w, 3), lambda: affix_hash(w, 4), lambda: affix_hash(w, 5),
+                           lambda: affix_hash(w, 4, suffix=True), word, word)):
+        out[:, i] = bucket(h() if callable(h) else h, i + 1, BITS)
+    return out
+
+
+def _features(own: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """[tokens, FIELDS] from the tokens' own columns; sentences begin at ``first`` and follow each other."""
+    out = np.empty((len(own), FIELDS), dtype=np.int32)
+    out[:, :5] = own[:, :5]
+    out[1:, 5] = own[:-1, 5]
+    out[:-1, 6] = own[1:, 6]
+    edge = np.ones(1, dtype=np.uint64)
+    out[first, 5] = bucket(edge, 6, BITS)
+    out[first + size - 1, 6] = bucket(edge, 7, BITS)
+    out[:, 7] = bucket(edge - edge, 8, BITS)
+    return out
+
+
+def _sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First token and number of tokens of every sentence."""
     n = len(w.start)
     stop = np.cumsum(np.isin(w.codes, np.array([10, 13, 33, 46, 63], dtype=w.codes.dtype)))
     part = stop[w.start] if n else np.zeros(0, dtype=np.int64)
     new = np.flatnonzero(np.diff(part, prepend=-1)) if n else np.zeros(0, dtype=np.int64)
-    size = np.diff(np.append(new, n))
-    word = word_hash(w)
-    first, last = np.zeros(n, bool), np.zeros(n, bool)
-    first[new] = True
-    last[new + size - 1] = True
-    edge = np.uint64(1)
-    before = np.where(first, edge, np.roll(word, 1)) if n else word
-    after = np.where(last, edge, np.roll(word, -1)) if n else word
-    cols = [word, affix_hash(w, 3), affix_hash(w, 4), affix_hash(w, 5), affix_hash(w, 4, suffix=True), before, after,
-            np.zeros(n, dtype=np.uint64)]
-    feats = np.stack([bucket(c, i + 1, BITS) for i, c in enumerate(cols)], axis=1).astype(np.int32)
-    return Chains(w, w.doc, feats, new, size)
-
-
-def sample_chains(texts: list[str]) -> Chains:
-    """``chains`` of a sample, slice by slice: only tokens' features stay in memory, no characters."""
-    parts, tokens = [], 0
+    return new, np.diff(np.append(new, n))
+
+
+def chains(texts: list[str]) -> Chains:
+    w = scan(texts)
+    seq, size = _sentences(w)
+    return Chains(w, w.doc, _features(_own(w), seq, size), seq, size)
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, and for every row which of them it is."""
+    order = np.lexsort(rows.T)
+    held = rows[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (held[1:] != held[:-1]).any(axis=1)
+    of = np.empty(len(rows), dtype=np.int32)
+    of[order] = np.cumsum(new) - 1
+    return held[new], of
+
+
+def sample_chains(texts: list[str]) -> Sample:
+    """``chains`` of a sample, slice by slice: a token stays as the number of its word, no characters stay."""
+    docs, words, tables, seqs, sizes, tokens = [], [], [], [], [], 0
     for a, b in by_chars(texts):
-        c = chains(texts[a:b])
-        parts.append((c.doc + a, c.feats, c.seq + tokens, c.size))
-        tokens += len(c.feats)
-    return Chains(None, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+        w = scan(texts[a:b])
+        seq, size = _sentences(w)
+        table, of = _distinct(_own(w))
+        docs.append((w.doc + a).astype(np.int32))
+        words.append(of)
+        tables.append(table)
+        seqs.append(seq + tokens)
+        sizes.append(size)
+        tokens += len(of)
+    table, of = _distinct(np.concatenate(tables))
+    at = 0
+    for word, part in zip(words, tables, strict=True):
+        word[:] = of[at:at + len(part)][word]
+        at += len(part)
+    return Sample(np.concatenate(docs), np.concatenate(words), table, np.concatenate(seqs), np.concatenate(sizes))
 
 
 def messages(c: Chains, em: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,30 +186,25 @@ def _evidence(c: Chains, p: np.ndarray, n_docs: int) -> np.ndarray:
     return np.stack([np.ones(n_docs), np.log1p(total), top, total / np.maximum(np.bincount(doc, minlength=n_docs), 1)], axis=1)
 
 
-def token_labels(c: Chains, toxic: np.ndarray) -> np.ndarray:
+def token_labels(c: Sample, toxic: np.ndarray) -> np.ndarray:
     """1 for tokens of toxic documents whose word, prefix or suffix occurs mostly in toxic documents."""
-    doc, out = c.doc, np.zeros(len(c.doc), bool)
+    out = np.zeros(len(c.doc), bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    cuts = np.searchsorted(c.doc, np.arange(0, len(toxic) + LABEL_DOCS, LABEL_DOCS))   # tokens stand in the texts' order
     for f in range(5):
-        pair = np.unique(doc.astype(np.int64) << 32 | c.feats[:, f])
-        of, cell = toxic[pair >> 32], pair & 0xFFFFFFFF
-        a = np.bincount(cell[of], minlength=1 << BITS)
-        b = np.bincount(cell[~of], minlength=1 << BITS)
+        a, b = np.zeros(1 << BITS, dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
+        for x, y in zip(cuts, cuts[1:]):
+            pair = np.unique(c.doc[x:y].astype(np.int64) << 32 | c.table[c.word[x:y], f])
+            of, cell = toxic[pair >> 32], pair & 0xFFFFFFFF
+            a += np.bincount(cell[of], minlength=1 << BITS)
+            b += np.bincount(cell[~of], minlength=1 << BITS)
         odds = np.log((a + 0.1) / (n1 + 0.2)) - np.log((b + 0.1) / (n0 + 0.2))
         strong = (a >= max(4, 0.004 * n1)) & (odds > 3.0)
-        out |= strong[c.feats[:, f]]
-    return out & toxic[doc]
-
-
-def _part(c: Chains, pick: np.ndarray) -> tuple[Chains, np.ndarray]:
-    """The sentences ``pick`` as a table of their own, and where their tokens were."""
-    size = c.size[pick]
-    first = np.cumsum(size) - size
-    at = np.repeat(c.seq[pick] - first, size) + np.arange(size.sum())
-    return Chains(None, c.doc[at], c.feats[at], first, size), at
+        out |= strong[c.table[:, f]][c.word]
+    return out & toxic[c.doc]
 
 
-def fit_field(c: Chains, y: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def fit_field(c: Sample, y: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """AdaGrad on the chain likelihood; batches of whole sentences."""
     rng = np.random.default_rng(seed)
     weight, seen = np.zeros(1 << BITS), np.full(1 << BITS, 1e-3)
@@ -154,7 +213,7 @@ def fit_field(c: Chains, y: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.n
     for _ in range(EPOCHS):
         order = rng.permutation(np.flatnonzero(has | (rng.random(len(c.seq)) < 0.5)))
         for part in np.array_split(order, max(1, int(c.size[order].sum()) // BATCH)):
-            b, at = _part(c, part)
+            b, at = c.part(part)
             if not len(at):
                 continue
             t, yy = np.exp(trans), y[at]
@@ -212,8 +271,9 @@ def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model
 def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN) -> Model:
     """``docs(doc_id, text)``, ``labels(doc_id, toxic)``; only ids whose crc32 as text modulo 5 is not 0 teach.
 
-    The sampled ids (bounded per class) are broadcast; their texts come to the driver, at most SAMPLE_TOTAL characters, in
-    the order of a hash of the id, so which ones does not depend on the input's order.  An id with unlike texts gives its least."""
+    The sampled ids (bounded per class) are broadcast; their texts, at most SAMPLE_TOTAL characters in the order of a hash of
+    the id, so which ones does not depend on the input's order, meet in one task, which learns.  Only the model comes to the
+    driver.  An id with unlike texts gives its least."""
     own = (labels.where(F.col("toxic").isNotNull() & (id_crc() % 5 != 0)).groupBy("doc_id")
            .agg(F.max("toxic").alias("toxic")))
     n = {bool(r.toxic): r["n"] for r in own.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -223,7 +283,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
             .join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), (F.max("toxic") > 0).alias("toxic")))
     held = Window.orderBy(F.xxhash64(F.lit("toxic"), F.col("doc_id")), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("held", F.sum(F.length("text")).over(held)).where(F.col("held") <= SAMPLE_TOTAL)     # the sample's rows
-    rows = rows.select("doc_id", "text", "toxic").toArrow().sort_by("doc_id")
+
+    def learn(batches):
+        found = list(batches)
+        if found:
+            m = _fit_rows(pa.Table.from_batches(found).sort_by("doc_id"), n)
+            yield pa.RecordBatch.from_pylist([{"weight": m.weight.tobytes(), "trans": m.trans.tobytes(), "layer": m.layer.tobytes(),
+                                               "base": m.base}])
+    got = rows.select("doc_id", "text", "toxic").coalesce(1).mapInArrow(learn, MODEL).first()
+    if got is None:
+        return fit([], np.zeros(0, bool))
+    return Model(np.frombuffer(got.weight), np.frombuffer(got.trans).reshape(2, 2), np.frombuffer(got.layer), got.base)
+
+
+def _fit_rows(rows: pa.Table, n: dict[bool, int]) -> Model:
+    """``fit`` on the sample's rows; ``n``: how many labelled documents there are of either class."""
     toxic = np.array(rows.column("toxic").to_pylist(), dtype=bool)
     share = n.get(True, 0) / max(1, int(toxic.sum()))
     return fit(rows.column("text").to_pylist(), toxic, (n.get(False, 0) / max(1, int((~toxic).sum()))) / max(share, 1e-9))
