@@ -97,6 +97,7 @@ def consolidate(intervals: DataFrame, lengths: DataFrame, chunk: int = IV.DEFAUL
     pooled = (IV.merge_intervals(intervals, ["ref_id"], chunk=chunk)
                 .groupBy("ref_id").agg(F.sum(F.col("stop") - F.col("start")).alias("covered"))
                 .withColumn("sample_id", F.lit("*")))
-    both = per_sample.unionByName(pooled).join(L, "ref_id")
+    # Spark takes the union of parts dealt out alike by ref_id for dealt out, and may not find it so when it runs: deal it out here
+    both = per_sample.unionByName(pooled).repartition("ref_id").join(L, "ref_id")
     return both.select("sample_id", "ref_id", "covered", "length",
                        F.when(F.col("length") > 0, F.col("covered") / F.col("length")).alias("fraction"))

@@ -1,5 +1,6 @@
 import random
 
+from longtab.operators import coverage as COV
 from longtab.operators import intervals as IV
 
 
@@ -97,3 +98,26 @@ def test_overlap_join_matches_nested_loop(spark):
         got = sorted((r.a_id, r.b_id) for r in
                      IV.overlap_join(left, right, ["ref_id"], ("start", "stop"), ("g_start", "g_stop"), size).collect())
         assert got == want, size
+
+
+def test_coverage_of_intervals_that_a_join_dealt_out(spark):
+    """Intervals kept by a join on their reference come dealt out by it, and so do the parts that are united after."""
+    rnd = random.Random(1)
+    rows = [(f"S{rnd.randint(0, 2)}", f"r{rnd.randint(0, 9)}", s := rnd.randint(0, 900), s + rnd.randint(1, 120)) for _ in range(400)]
+    iv = spark.createDataFrame(rows, "sample_id string, ref_id string, start long, stop long")
+    lengths = spark.createDataFrame([(f"r{i}", 1100) for i in range(10)], "ref_id string, length long")
+    kept = spark.createDataFrame([(f"r{i}",) for i in range(8)], "ref_id string")
+    want = {}
+    for s, r, a, b in rows:
+        if r < "r8":
+            for key in ((s, r), ("*", r)):
+                want.setdefault(key, set()).update(range(a, b))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for chunk in (1 << 20, 50):
+            merged = IV.merge_intervals(iv.join(kept, "ref_id", "left_semi"), ["sample_id", "ref_id"], chunk=chunk)
+            got = {(r.sample_id, r.ref_id): r.covered for r in COV.consolidate(merged, lengths, chunk=chunk).collect()}
+            assert got == {k: len(v) for k, v in want.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
