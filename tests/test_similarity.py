@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+
 from longtab.operators import similarity as SM
 
 
@@ -138,3 +140,57 @@ def test_chain_of_shared_hashes_takes_few_rounds(spark):
     out = SM.dereplicate(sk, scores, 0.9, 21, 64).collect()
     assert len(out) == n and all(r.is_rep for r in out)
     assert max(r.round for r in out) <= 3
+
+
+def test_codes_hold_the_hashes_in_less_room(spark):
+    """Sketches are kept as the letters they come from where that is shorter, in any alphabet, and decode to the same hashes."""
+    import hashlib
+    from longtab.functions import kmerhash as KH
+    rnd = random.Random(9)
+    rc = lambda x: x[::-1].translate(bytes.maketrans(b"ACGT", b"TGCA"))
+    for k, s in ((3, 5), (21, 200), (24, 1000), (70, 50)):
+        seqs = [bytes(rnd.choices(a, k=n)) for a in (b"ACGT", b"ACGTNacg") for n in (k, k + 1, 700, 3000)] + [b"ACGTT" * 300]
+        want = [sorted({int(hashlib.md5(min(q[i:i + k], rc(q[i:i + k]))).hexdigest()[:15], 16) for i in range(len(q) - k + 1)})[:s] for q in seqs]
+        codes = list(KH.codes_of_sequences(seqs, k, s))
+        assert [h.tolist() for h in KH.decoded([c for c, _ in codes])] == want and [n for _, n in codes] == [len(w) for w in want]
+        for x, y in zip(want, want[1:]):
+            u = sorted({*x, *y})[:s]
+            a, b = KH.decoded([KH.code_of_hashes(np.array(z)) for z in (x, y)])
+            assert KH.jaccard(a, b, s) == sum(h in x and h in y for h in u) / len(u)
+    g = spark.createDataFrame([(i, "".join(rnd.choices("ACGT", k=2500))) for i in range(20)], "genome_id long, seq string")
+    rows = SM.coded_sketches(g).collect()
+    assert all(r.n == 1000 and len(r.code) < 1200 for r in rows) and len(rows) == 20     # 8000 bytes of hashes
+
+
+def test_what_a_round_writes_leaves_no_shuffle_files(spark):
+    from longtab.session import cut_lineage
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    spark.range(10).count()
+    before = files()
+    out = cut_lineage(spark.range(1000).selectExpr("id % 50 AS g").groupBy("g").count(), "free", free=True)
+    assert out.count() == 50 and files() <= before + 4           # those of the counts' own jobs
+
+
+def test_crowds_that_share_passages_equal_the_sequential_greedy(spark):
+    """Near copies in groups whose genomes also share long passages with better genomes of other groups."""
+    rnd = random.Random(21)
+    dna = lambda n: "".join(rnd.choices("ACGT", k=n))
+    passages, rows = [dna(60) for _ in range(4)], []
+    for group in range(12):
+        base = "".join(dna(60) + rnd.choice(passages) for _ in range(4))
+        for i in range(6):
+            rows.append((f"g{group:02d}{i}", "".join(c if rnd.random() > 0.002 * i else rnd.choice("ACGT") for c in base), float(rnd.randint(0, 9))))
+    rows.append(("lone", dna(300), 3.0))
+    g = spark.createDataFrame(rows, "genome_id string, seq string, score double")
+    k, s, thr = 15, 200, 0.985
+    sk_df, sk = SM.coded_sketches(g, k, s).cache(), {}
+    for r in SM.sketches(g, k, s).collect():
+        sk.setdefault(r.genome_id, set()).add(r.h)
+    want = _sequential(sk, {r[0]: r[2] for r in rows}, k, s, thr)
+    for pairs in (0, 2):
+        before, SM.PAIRS = SM.PAIRS, pairs
+        try:
+            got = {r.genome_id: r.rep_id for r in SM.dereplicate(sk_df, g.select("genome_id", "score"), thr, k, s).collect()}
+        finally:
+            SM.PAIRS = before
+        assert got == want and 12 < len(set(want.values())) < len(want)
