@@ -106,7 +106,7 @@ def genome_table(quality: DataFrame, contigs: DataFrame, aln: DataFrame, lengths
     ``contigs``: artifact_id, genome_id (the bin), contig_id, ord, seq, and kind where LCG rows carry their artifact;
     ``aln.ref_id`` is a contig id."""
     scored, kept = genome_quality(quality, contigs)
-    clusters = SM.dereplicate(SM.packed_sketches(QL.genome_chunks(kept, overlap=k - 1), k, s), scored, threshold, k, s)
+    clusters = SM.dereplicate(SM.coded_sketches(QL.genome_chunks(kept, overlap=k - 1), k, s), scored, threshold, k, s)
     reps = kept.join(clusters.filter("is_rep").select("genome_id"), "genome_id", "left_semi")
     of = reps.select(F.col("contig_id").alias("ref_id"), "genome_id")
     hits = A.min_filter(A.flag_filter(aln), min_identity, min_aligned)
